@@ -11,6 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrapanel.operators.indicators import (
+    PERIOD,
+    clean_indicator,
+    knn_fill,
+    min_present,
+    pair_distances,
+    to_cells,
+    value_columns,
+    wide_to_long,
+)
 from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
 from terrapanel.operators.panel import country_year, drop_incomplete_years, month_series
 from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_k
@@ -28,6 +38,13 @@ from terrapanel.sources import tables
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_N = 10
 SLICE = (15, 25)
+IND_IDS = ["Country Name", "Country Code", "Indicator Name", "Indicator Code"]
+IND_DROP = ["Indicator Name", "Indicator Code"]
+IND_ENTITY = "Country Code"
+IND_VALUE = "OrderValue"
+# Present cells a row needs (ids included) out of 4 ids + 7 years.
+IND_MIN_CELLS = 9
+KNN_K = 2
 PANEL_MEASURES = ["temperature", "precipitation", "co2", "energy", "population"]
 
 
@@ -189,6 +206,42 @@ def pooled_effects_tests(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(tests)
 
 
+# --- indicators -------------------------------------------------------------
+
+def _kept_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return min_present(tables.indicator_wide(spark, sf), IND_MIN_CELLS)
+
+
+def indicator_min_present(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_kept_wide(spark, sf))
+
+
+def indicator_pair_distance(spark: SparkSession, sf: str) -> DataFrame:
+    wide = _kept_wide(spark, sf)
+    n = len(value_columns(wide, IND_IDS))
+    d = pair_distances(to_cells(wide, IND_IDS), IND_ENTITY, n)
+    return tidy(d.select(F.col("a").alias("code_a"), F.col("b").alias("code_b"), "n_shared", "distance"))
+
+
+def indicator_knn_imputed(spark: SparkSession, sf: str) -> DataFrame:
+    wide = _kept_wide(spark, sf)
+    n = len(value_columns(wide, IND_IDS))
+    fill = knn_fill(to_cells(wide, IND_IDS), IND_ENTITY, n, KNN_K)
+    return tidy(fill.select(IND_ENTITY, F.col(PERIOD).alias("Year"),
+                            F.col("imputed").alias(IND_VALUE), "n_donors"))
+
+
+def indicator_long(spark: SparkSession, sf: str) -> DataFrame:
+    wide = tables.indicator_wide(spark, sf).drop(*IND_DROP)
+    return tidy(wide_to_long(wide, ["Country Name", "Country Code"], IND_VALUE))
+
+
+def indicator_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    wide = tables.indicator_wide(spark, sf)
+    return tidy(clean_indicator(wide, IND_IDS, IND_ENTITY, IND_VALUE, IND_MIN_CELLS, KNN_K,
+                                drop=IND_DROP))
+
+
 QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
@@ -217,4 +270,9 @@ QUERIES: dict[str, Query] = {
     "ridge_tests": ridge_tests_q,
     "pooled_effects_coefficients": pooled_effects_coefficients,
     "pooled_effects_tests": pooled_effects_tests,
+    "indicator_min_present": indicator_min_present,
+    "indicator_pair_distance": indicator_pair_distance,
+    "indicator_knn_imputed": indicator_knn_imputed,
+    "indicator_long": indicator_long,
+    "indicator_cleaned": indicator_cleaned,
 }

@@ -262,6 +262,41 @@ def _gb(body: str) -> str:
     return sql(["panel", "top10", "low10"], body, ctes)
 
 
+IND_MIN_CELLS = 9
+_IND = f"""
+ents AS (SELECT DISTINCT country_name, country_id FROM gaps),
+yrs AS (SELECT DISTINCT year FROM gaps),
+ncols AS (SELECT count(*) AS t FROM yrs),
+cells AS (
+  SELECT e.country_name, e.country_id, y.year, g.value
+  FROM ents e CROSS JOIN yrs y
+  LEFT JOIN gaps g ON g.country_id = e.country_id AND g.year = y.year),
+kept AS (SELECT country_id FROM cells GROUP BY country_id HAVING 4 + count(value) >= {IND_MIN_CELLS}),
+kc AS (SELECT * FROM cells WHERE country_id IN (SELECT country_id FROM kept)),
+pres AS (SELECT country_id, year, value FROM kc WHERE value IS NOT NULL),
+pd AS (
+  SELECT a.country_id AS code_a, b.country_id AS code_b, count(*) AS n_shared,
+         sqrt(CAST((SELECT t FROM ncols) AS DOUBLE) / count(*) * sum(pow(a.value - b.value, 2))) AS distance
+  FROM pres a JOIN pres b ON a.year = b.year AND a.country_id <> b.country_id
+  GROUP BY a.country_id, b.country_id),
+miss AS (SELECT country_id AS a, year FROM kc WHERE value IS NULL),
+cand AS (
+  SELECT m.a, m.year, d.code_b AS b, d.distance, p.value AS vb
+  FROM miss m JOIN pd d ON d.code_a = m.a
+  JOIN pres p ON p.country_id = d.code_b AND p.year = m.year),
+rk AS (SELECT *, row_number() OVER (PARTITION BY a, year ORDER BY distance, b) AS r FROM cand),
+nn AS (SELECT a, year, avg(vb) AS knn, count(*) AS n_donors FROM rk WHERE r <= 2 GROUP BY a, year),
+ym AS (SELECT year, avg(value) AS ymean FROM pres GROUP BY year),
+fill AS (
+  SELECT m.a AS country_id, m.year, coalesce(nn.knn, ym.ymean) AS imputed,
+         coalesce(nn.n_donors, 0) AS n_donors
+  FROM miss m LEFT JOIN nn ON nn.a = m.a AND nn.year = m.year LEFT JOIN ym ON ym.year = m.year)"""
+
+
+def _ind(body: str) -> str:
+    return sql(["gaps"], body, _IND.strip())
+
+
 ORACLE: dict[str, str] = {
     "obs_clean": sql(["clean"], f"""
 SELECT station, strftime(obs_date, '%Y-%m-%d') AS obs_date, country_code, CAST(year AS BIGINT) AS year,
@@ -316,6 +351,26 @@ SELECT country_code, CAST(year AS BIGINT) AS year, 'YEAR_' || CAST(year AS VARCH
        CAST(1 AS BIGINT) AS value
 FROM panel WHERE year <> (SELECT min(year) FROM panel)"""),
     "gram_entries": _gram_entries(),
+    "indicator_min_present": _ind(f"""
+SELECT * FROM (PIVOT (
+  SELECT country_name AS "Country Name", country_id AS "Country Code",
+         '{INDICATOR_NAME}' AS "Indicator Name", '{INDICATOR_CODE}' AS "Indicator Code",
+         year, {r6('value')} AS value
+  FROM kc) ON year USING first(value))"""),
+    "indicator_pair_distance": _ind(f"""
+SELECT code_a, code_b, n_shared, {r6('distance')} AS distance FROM pd"""),
+    "indicator_knn_imputed": _ind(f"""
+SELECT country_id AS "Country Code", CAST(year AS BIGINT) AS "Year", {r6('imputed')} AS OrderValue,
+       n_donors FROM fill"""),
+    "indicator_long": _ind(f"""
+SELECT country_name AS "Country Name", country_id AS "Country Code", CAST(year AS BIGINT) AS "Year",
+       {r6('value')} AS OrderValue FROM cells WHERE value IS NOT NULL"""),
+    "indicator_cleaned": _ind(f"""
+SELECT * FROM (
+  SELECT k.country_name AS "Country Name", k.country_id AS "Country Code", CAST(k.year AS BIGINT) AS "Year",
+         {r6('coalesce(k.value, f.imputed)')} AS OrderValue
+  FROM kc k LEFT JOIN fill f ON f.country_id = k.country_id AND f.year = k.year) x
+WHERE OrderValue IS NOT NULL"""),
     "ridge_three_factor": _ridge_three_factor(),
     "ridge_predictions": _ridge_predictions(),
     "ridge_tests": _ridge_tests(),
