@@ -31,7 +31,27 @@ from terrapanel.operators.regress import (
     ridge_predictions,
     ridge_tests,
 )
+from terrapanel.operators.series import (
+    LONG_HORIZON,
+    MONTH,
+    PRECIPITATION_ORDER,
+    SERIES,
+    TEMPERATURE_ORDER,
+    VALUE,
+    fit_forecast,
+    lag_features,
+    month_axis,
+    monthly_long,
+    order_table,
+    score,
+    seasonal_difference,
+    seasonal_naive,
+    split_by_position,
+)
+from terrapanel.operators.sarima import Order
 from terrapanel.operators.stats import moments, zscore_by, zscore_global
+from terrapanel.functions.weather import fahrenheit_to_celsius
+from terrapanel.session import cut_lineage
 from terrapanel.plans.common import avg_co2, clean_days, panel, tidy, weather_by_country_year
 from terrapanel.sources import tables
 
@@ -45,6 +65,14 @@ IND_VALUE = "OrderValue"
 # Present cells a row needs (ids included) out of 4 ids + 7 years.
 IND_MIN_CELLS = 9
 KNN_K = 2
+# Positional split of the monthly series: six whole years to train on, then
+# the following ten months held out (the final, partial month is left out).
+N_TRAIN, N_TEST = 72, 10
+# Candidate orders of the model search, per series (the chosen ones included).
+ORDER_GRID = {
+    "temperature": [TEMPERATURE_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
+    "precipitation": [PRECIPITATION_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
+}
 PANEL_MEASURES = ["temperature", "precipitation", "co2", "energy", "population"]
 
 
@@ -242,6 +270,88 @@ def indicator_cleaned(spark: SparkSession, sf: str) -> DataFrame:
                                 drop=IND_DROP))
 
 
+# --- monthly series and forecasts ------------------------------------------
+
+def _series(spark: SparkSession, sf: str) -> DataFrame:
+    return monthly_long(month_series(clean_days(spark, sf)))
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    return split_by_position(_series(spark, sf), N_TRAIN, N_TEST)
+
+
+def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_split(spark, sf).select(SERIES, MONTH, VALUE, "position", "split"))
+
+
+def seasonal_difference_q(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(seasonal_difference(_series(spark, sf)).select(SERIES, MONTH, VALUE, "diff"))
+
+
+def lag_features_q(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(lag_features(_series(spark, sf)))
+
+
+def month_axis_q(spark: SparkSession, sf: str) -> DataFrame:
+    li = tables.table(spark, sf, "lineitem")
+    bounds = li.agg(F.min(F.to_date("l_shipdate")).alias("start"),
+                    F.max(F.to_date("l_shipdate")).alias("end"))
+    return tidy(month_axis(bounds))
+
+
+def fahrenheit_to_celsius_q(spark: SparkSession, sf: str) -> DataFrame:
+    m = month_series(clean_days(spark, sf))
+    return tidy(m.select("year", "month", fahrenheit_to_celsius("temperature").alias("temperature_c")))
+
+
+def holdout_compare(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(seasonal_naive(_split(spark, sf)))
+
+
+def holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(score(seasonal_naive(_split(spark, sf))))
+
+
+def _reference_orders(spark: SparkSession) -> DataFrame:
+    return order_table(spark, {"temperature": [TEMPERATURE_ORDER],
+                               "precipitation": [PRECIPITATION_ORDER]})
+
+
+def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame) -> DataFrame:
+    split = _split(spark, sf)
+    train = split.where(F.col("split") == "train")
+    test = split.where(F.col("split") == "test").select(SERIES, MONTH, F.col(VALUE).alias("actual"))
+    fc = cut_lineage(fit_forecast(train, orders, N_TEST))
+    return fc.join(test, [SERIES, MONTH], "left")
+
+
+def seasonal_arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    fc = _holdout_forecast(spark, sf, _reference_orders(spark))
+    return tidy(fc.select(SERIES, "order_label", MONTH, "step", "yhat", "actual", "sigma2"))
+
+
+def sarima_holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
+    fc = _holdout_forecast(spark, sf, _reference_orders(spark)).withColumnRenamed("yhat", "predicted")
+    return tidy(score(fc.where(F.col("actual").isNotNull()), keys=["order_label"]))
+
+
+def forecast_long_range(spark: SparkSession, sf: str) -> DataFrame:
+    split = _split(spark, sf)
+    train = split.where(F.col("split") == "train")
+    fc = fit_forecast(train, _reference_orders(spark), LONG_HORIZON)
+    yhat = F.when(F.col(SERIES) == "temperature", fahrenheit_to_celsius("yhat")).otherwise(F.col("yhat"))
+    return tidy(fc.select(SERIES, MONTH, F.date_format(MONTH, "MMM-yy").alias("label"), "step",
+                          yhat.alias("yhat")))
+
+
+def order_grid_rank(spark: SparkSession, sf: str) -> DataFrame:
+    fc = _holdout_forecast(spark, sf, order_table(spark, ORDER_GRID)).withColumnRenamed("yhat", "predicted")
+    scored = score(fc.where(F.col("actual").isNotNull()), keys=["order_label"])
+    from pyspark.sql import Window
+    w = Window.partitionBy(SERIES).orderBy(F.col("mse").asc_nulls_last(), "order_label")
+    return tidy(scored.withColumn("rank", F.row_number().over(w)))
+
+
 QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
@@ -275,4 +385,15 @@ QUERIES: dict[str, Query] = {
     "indicator_knn_imputed": indicator_knn_imputed,
     "indicator_long": indicator_long,
     "indicator_cleaned": indicator_cleaned,
+    "train_test_split": train_test_split,
+    "seasonal_difference": seasonal_difference_q,
+    "lag_features": lag_features_q,
+    "month_axis": month_axis_q,
+    "fahrenheit_to_celsius": fahrenheit_to_celsius_q,
+    "holdout_compare": holdout_compare,
+    "holdout_mse": holdout_mse,
+    "seasonal_arima_forecast": seasonal_arima_forecast,
+    "sarima_holdout_mse": sarima_holdout_mse,
+    "forecast_long_range": forecast_long_range,
+    "order_grid_rank": order_grid_rank,
 }

@@ -297,6 +297,33 @@ def _ind(body: str) -> str:
     return sql(["gaps"], body, _IND.strip())
 
 
+N_TRAIN, N_TEST = 72, 10
+_SERIES = f"""
+ml AS (
+  SELECT 'temperature' AS series, make_date(CAST(year AS BIGINT), CAST(month AS BIGINT), 1) AS month,
+         temperature AS value FROM monthly
+  UNION ALL
+  SELECT 'precipitation', make_date(CAST(year AS BIGINT), CAST(month AS BIGINT), 1), precipitation FROM monthly),
+pos AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY month) AS position FROM ml),
+sp AS (SELECT *, CASE WHEN position <= {N_TRAIN} THEN 'train' ELSE 'test' END AS split
+       FROM pos WHERE position <= {N_TRAIN + N_TEST}),
+lastseason AS (
+  SELECT series, month(month) AS moy, arg_max(value, month) AS predicted
+  FROM sp WHERE split = 'train' GROUP BY series, month(month)),
+naive AS (
+  SELECT s.series, s.month, s.value AS actual, l.predicted
+  FROM sp s LEFT JOIN lastseason l ON l.series = s.series AND l.moy = month(s.month)
+  WHERE s.split = 'test')"""
+
+
+def _ser(body: str) -> str:
+    return sql(["monthly"], body, _SERIES.strip())
+
+
+def _month(col: str = "month") -> str:
+    return f"strftime({col}, '%Y-%m-%d') AS {col}"
+
+
 ORACLE: dict[str, str] = {
     "obs_clean": sql(["clean"], f"""
 SELECT station, strftime(obs_date, '%Y-%m-%d') AS obs_date, country_code, CAST(year AS BIGINT) AS year,
@@ -351,6 +378,30 @@ SELECT country_code, CAST(year AS BIGINT) AS year, 'YEAR_' || CAST(year AS VARCH
        CAST(1 AS BIGINT) AS value
 FROM panel WHERE year <> (SELECT min(year) FROM panel)"""),
     "gram_entries": _gram_entries(),
+    "train_test_split": _ser(f"""
+SELECT series, {_month()}, {r6('value')} AS value, position, split FROM sp"""),
+    "seasonal_difference": _ser(f"""
+SELECT series, {_month()}, {r6('value')} AS value,
+       {r6('value - lag(value, 1) OVER w - lag(value, 12) OVER w + lag(value, 13) OVER w')} AS diff
+FROM ml WINDOW w AS (PARTITION BY series ORDER BY month)"""),
+    "lag_features": _ser(f"""
+SELECT series, {_month()}, {r6('value')} AS value, {r6('lag(value, 1) OVER w')} AS lag_1,
+       {r6('lag(value, 12) OVER w')} AS lag_12, {r6('lag(value, 13) OVER w')} AS lag_13
+FROM ml WINDOW w AS (PARTITION BY series ORDER BY month)"""),
+    "month_axis": sql([], f"""
+WITH b AS (SELECT CAST(min(l_shipdate) AS DATE) AS s, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem),
+m AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', s) AS TIMESTAMP),
+                                         CAST(date_trunc('month', e - INTERVAL 1 DAY) AS TIMESTAMP),
+                                         INTERVAL 1 MONTH)) AS DATE) AS month FROM b)
+SELECT row_number() OVER (ORDER BY month) AS idx, {_month()}, strftime(month, '%b-%y') AS label FROM m"""),
+    "fahrenheit_to_celsius": sql(["monthly"], f"""
+SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
+       {r6('(temperature - 32) * (CAST(5 AS DOUBLE) / 9)')} AS temperature_c FROM monthly"""),
+    "holdout_compare": _ser(f"""
+SELECT series, {_month()}, {r6('actual')} AS actual, {r6('predicted')} AS predicted FROM naive"""),
+    "holdout_mse": _ser(f"""
+SELECT series, {r6('avg(pow(actual - predicted, 2))')} AS mse, count(*) AS n_months
+FROM naive GROUP BY series"""),
     "indicator_min_present": _ind(f"""
 SELECT * FROM (PIVOT (
   SELECT country_name AS "Country Name", country_id AS "Country Code",
