@@ -61,6 +61,21 @@ def country_year_via_stations(
     return _finish(joined, [key, "year"])
 
 
+def country_year_geocoded(clean_days: DataFrame, stations: DataFrame, codes: DataFrame) -> DataFrame:
+    """:func:`country_year` keyed by a country resolved from each station's coordinates.
+
+    ``codes`` maps distinct (latitude, longitude) to ``country_code`` (see
+    :func:`terrapanel.operators.geo.geocode`); readings are pre-summed per
+    (station, year) before meeting it, exactly as in
+    :func:`country_year_via_stations`.
+    """
+    partial = _partial_sums(clean_days, ["station", "year"])
+    st = stations.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    joined = (partial.join(st.select("station", "latitude", "longitude"), "station")
+              .join(codes.select("latitude", "longitude", "country_code"), ["latitude", "longitude"]))
+    return _finish(joined, ["country_code", "year"])
+
+
 def month_series(clean: DataFrame) -> DataFrame:
     """Mean temperature and precipitation per (year, month) over all readings."""
     return clean.groupBy("year", "month").agg(

@@ -21,8 +21,15 @@ from terrapanel.operators.indicators import (
     value_columns,
     wide_to_long,
 )
+from terrapanel.operators.geo import geocode, nearest_place
+from terrapanel.operators.mapout import code_merge, emission_class, grid_cells, point_features, popup_text
 from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
-from terrapanel.operators.panel import country_year, drop_incomplete_years, month_series
+from terrapanel.operators.panel import (
+    country_year,
+    country_year_geocoded,
+    drop_incomplete_years,
+    month_series,
+)
 from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_k
 from terrapanel.operators.regress import (
     group_betas,
@@ -73,6 +80,8 @@ ORDER_GRID = {
     "temperature": [TEMPERATURE_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
     "precipitation": [PRECIPITATION_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
 }
+# Marker clustering cell, degrees.
+CLUSTER_DEG = 30.0
 PANEL_MEASURES = ["temperature", "precipitation", "co2", "energy", "population"]
 
 
@@ -352,6 +361,70 @@ def order_grid_rank(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(scored.withColumn("rank", F.row_number().over(w)))
 
 
+# --- coordinates to countries ----------------------------------------------
+
+def _located_stations(spark: SparkSession, sf: str) -> DataFrame:
+    return with_coordinates(tables.stations(spark, sf))
+
+
+def distinct_coordinates(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct station coordinates with their reading counts (counted per station first)."""
+    per_station = tables.station_days(spark, sf).groupBy("station").agg(F.count(F.lit(1)).alias("_n"))
+    located = per_station.join(_located_stations(spark, sf), "station")
+    return tidy(located.groupBy("latitude", "longitude").agg(F.sum("_n").alias("n_obs")))
+
+
+def nearest_place_country(spark: SparkSession, sf: str) -> DataFrame:
+    near = nearest_place(_located_stations(spark, sf), tables.gazetteer(spark, sf))
+    return tidy(near.select("latitude", "longitude", "place_id", "cc", "distance_km"))
+
+
+def _codes(spark: SparkSession, sf: str) -> DataFrame:
+    return geocode(_located_stations(spark, sf), tables.gazetteer(spark, sf), tables.iso_codes(spark, sf))
+
+
+def country_code_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_codes(spark, sf).select("latitude", "longitude", "country_code"))
+
+
+def geo_country_year_means(spark: SparkSession, sf: str) -> DataFrame:
+    out = country_year_geocoded(clean_days(spark, sf), tables.stations(spark, sf), _codes(spark, sf))
+    return tidy(out)
+
+
+# --- map table ----------------------------------------------------------------
+
+def _co2_per_country(spark: SparkSession, sf: str) -> DataFrame:
+    return avg_co2(spark, sf).select(F.col("country_code").alias("code_3"), F.col("avg_co2").alias("co2"))
+
+
+def _merged(spark: SparkSession, sf: str) -> DataFrame:
+    return code_merge(tables.country_points(spark, sf), _co2_per_country(spark, sf))
+
+
+def code_merge_q(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_merged(spark, sf))
+
+
+def emission_class_q(spark: SparkSession, sf: str) -> DataFrame:
+    m = _merged(spark, sf)
+    return tidy(m.select("code_3", "co2", emission_class("co2").alias("fill_color")))
+
+
+def popup_text_q(spark: SparkSession, sf: str) -> DataFrame:
+    m = _merged(spark, sf)
+    return tidy(m.select("code_3", popup_text("Country", "co2").alias("popup")))
+
+
+def point_features_q(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(point_features(_merged(spark, sf)))
+
+
+def grid_cells_q(spark: SparkSession, sf: str) -> DataFrame:
+    pts = point_features(_merged(spark, sf))
+    return tidy(grid_cells(pts, CLUSTER_DEG))
+
+
 QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
@@ -396,4 +469,13 @@ QUERIES: dict[str, Query] = {
     "sarima_holdout_mse": sarima_holdout_mse,
     "forecast_long_range": forecast_long_range,
     "order_grid_rank": order_grid_rank,
+    "distinct_coordinates": distinct_coordinates,
+    "nearest_place_country": nearest_place_country,
+    "country_code_lookup": country_code_lookup,
+    "geo_country_year_means": geo_country_year_means,
+    "code_merge": code_merge_q,
+    "emission_class": emission_class_q,
+    "popup_text": popup_text_q,
+    "point_features": point_features_q,
+    "grid_cells": grid_cells_q,
 }

@@ -324,6 +324,48 @@ def _month(col: str = "month") -> str:
     return f"strftime({col}, '%Y-%m-%d') AS {col}"
 
 
+_GEO = """
+q AS (SELECT DISTINCT latitude, longitude FROM stations WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+qv AS (SELECT latitude, longitude,
+              cos(radians(latitude)) * cos(radians(longitude)) AS x,
+              cos(radians(latitude)) * sin(radians(longitude)) AS y, sin(radians(latitude)) AS z FROM q),
+gv AS (SELECT place_id, cc,
+              cos(radians(latitude)) * cos(radians(longitude)) AS x,
+              cos(radians(latitude)) * sin(radians(longitude)) AS y, sin(radians(latitude)) AS z FROM gazetteer),
+pairs AS (SELECT q.latitude, q.longitude, g.place_id, g.cc,
+                 sqrt(pow(q.x - g.x, 2) + pow(q.y - g.y, 2) + pow(q.z - g.z, 2)) AS chord
+          FROM qv q CROSS JOIN gv g),
+best AS (SELECT * FROM (
+           SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY chord, place_id) AS r
+           FROM pairs) WHERE r = 1),
+codes AS (SELECT b.*, coalesce(i.alpha_3, 'NA') AS country_code
+          FROM best b LEFT JOIN iso_codes i ON b.cc = i.alpha_2)"""
+
+
+def _geo(body: str, uses: list[str] | None = None) -> str:
+    return sql((uses or []) + ["stations", "gazetteer", "iso_codes"], body, _GEO.strip())
+
+
+_MAP = """
+pts AS (SELECT ' ' || cc AS code_3, cc AS Country, avg(latitude) AS Latitude, avg(longitude) AS Longitude
+        FROM gazetteer GROUP BY cc),
+cpc AS (SELECT country_code AS code_3, avg_co2 AS co2 FROM avgco2),
+merged AS (SELECT trim(p.code_3) AS code_3, p.Country, p.Latitude, p.Longitude, c.co2
+           FROM pts p JOIN cpc c ON trim(p.code_3) = trim(c.code_3)),
+feat AS (SELECT code_3, Country AS country, Latitude AS latitude, Longitude AS longitude,
+                CAST(5 AS BIGINT) AS radius,
+                printf('Country : %s<br>' || chr(10) || '                    Average co2 emission(kt) : %.2f<br>',
+                       Country, co2) AS popup,
+                CASE WHEN co2 < 2 THEN 'green' WHEN co2 >= 2 AND co2 < 10 THEN 'orange' ELSE 'red' END
+                  AS fill_color,
+                'grey' AS color, CAST(0.7 AS DOUBLE) AS fill_opacity
+         FROM merged)"""
+
+
+def _map(body: str) -> str:
+    return sql(["gazetteer", "avgco2"], body, _MAP.strip())
+
+
 ORACLE: dict[str, str] = {
     "obs_clean": sql(["clean"], f"""
 SELECT station, strftime(obs_date, '%Y-%m-%d') AS obs_date, country_code, CAST(year AS BIGINT) AS year,
@@ -378,6 +420,34 @@ SELECT country_code, CAST(year AS BIGINT) AS year, 'YEAR_' || CAST(year AS VARCH
        CAST(1 AS BIGINT) AS value
 FROM panel WHERE year <> (SELECT min(year) FROM panel)"""),
     "gram_entries": _gram_entries(),
+    "distinct_coordinates": sql(["obs"], f"""
+SELECT {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, count(*) AS n_obs
+FROM obs WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY latitude, longitude"""),
+    "nearest_place_country": _geo(f"""
+SELECT {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, place_id, cc,
+       {r6('2 * 6371.0 * asin(least(chord / 2, 1))')} AS distance_km FROM best"""),
+    "country_code_lookup": _geo(f"""
+SELECT {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, country_code FROM codes"""),
+    "geo_country_year_means": _geo(f"""
+SELECT c.country_code, CAST(k.year AS BIGINT) AS year, {r6('avg(k.temperature)')} AS temperature,
+       {r6('avg(k.precipitation)')} AS precipitation, {r6('sum(k.snow)')} AS snow, count(*) AS n_obs
+FROM clean k JOIN codes c ON k.latitude = c.latitude AND k.longitude = c.longitude
+GROUP BY c.country_code, k.year""", ["clean"]),
+    "code_merge": _map(f"""
+SELECT code_3, Country, {r6('Latitude')} AS Latitude, {r6('Longitude')} AS Longitude, {r6('co2')} AS co2
+FROM merged"""),
+    "emission_class": _map(f"""
+SELECT code_3, {r6('co2')} AS co2,
+       CASE WHEN co2 < 2 THEN 'green' WHEN co2 >= 2 AND co2 < 10 THEN 'orange' ELSE 'red' END AS fill_color
+FROM merged"""),
+    "popup_text": _map("SELECT code_3, popup FROM feat"),
+    "point_features": _map(f"""
+SELECT code_3, country, {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, radius, popup,
+       fill_color, color, {r6('fill_opacity')} AS fill_opacity FROM feat"""),
+    "grid_cells": _map(f"""
+SELECT CAST(floor(latitude / 30.0) AS BIGINT) AS cell_lat, CAST(floor(longitude / 30.0) AS BIGINT) AS cell_lon,
+       count(*) AS n_points, {r6('avg(latitude)')} AS centroid_lat, {r6('avg(longitude)')} AS centroid_lon
+FROM feat GROUP BY 1, 2"""),
     "train_test_split": _ser(f"""
 SELECT series, {_month()}, {r6('value')} AS value, position, split FROM sp"""),
     "seasonal_difference": _ser(f"""

@@ -164,3 +164,15 @@ def indicator_wide(spark: SparkSession, sf_dir: str, years: list[int] | None = N
         .pivot("year", years)
         .agg(F.first("value"))
     )
+
+
+def country_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map points per country: code_3 (with surrounding blanks), Country, Latitude, Longitude.
+
+    The point is the mean position of the country's gazetteer places.
+    """
+    g = gazetteer(spark, sf_dir)
+    return g.groupBy("cc").agg(
+        F.avg("latitude").alias("Latitude"), F.avg("longitude").alias("Longitude")
+    ).select(F.concat(F.lit(" "), F.col("cc")).alias("code_3"), F.col("cc").alias("Country"),
+             "Latitude", "Longitude")
