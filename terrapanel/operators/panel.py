@@ -38,6 +38,28 @@ def country_year(clean: DataFrame, key: str = "country_code") -> DataFrame:
     )
 
 
+def station_year_sums(clean_days: DataFrame) -> DataFrame:
+    """Partial sums per (station, year): the one pass over readings that every yearly roll-up shares.
+
+    Map-side combined, so a station holding a third of all rows costs one
+    partial row per task.
+    """
+    return _partial_sums(clean_days, ["station", "year"])
+
+
+def rollup_station_sums(
+    sums: DataFrame,
+    stations: DataFrame,
+    key: str = "country_code",
+    require_coordinates: bool = True,
+) -> DataFrame:
+    """Finish :func:`station_year_sums` into per (key, year) means, total snow and counts."""
+    st = stations
+    if require_coordinates:
+        st = st.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    return _finish(sums.join(st.select("station", key), "station"), [key, "year"])
+
+
 def country_year_via_stations(
     clean_days: DataFrame,
     stations: DataFrame,
@@ -46,32 +68,24 @@ def country_year_via_stations(
 ) -> DataFrame:
     """:func:`country_year` for readings whose country lives on a station table.
 
-    Readings are first summed per (station, year) — map-side combined, so a
-    station holding a third of all rows costs one partial row per task — and
-    only those partial sums meet the station table.  The join input shrinks
-    from |readings| to |stations| x |years| before anything is shuffled by
-    country, and the result equals the row-level roll-up exactly (sums of
-    sums; means as total / count).
+    Readings are first summed per (station, year) and only those partial
+    sums meet the station table: the join input shrinks from |readings| to
+    |stations| x |years| before anything is shuffled by country, and the
+    result equals the row-level roll-up exactly (sums of sums; means as
+    total / count).
     """
-    partial = _partial_sums(clean_days, ["station", "year"])
-    st = stations
-    if require_coordinates:
-        st = st.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    joined = partial.join(st.select("station", key), "station")
-    return _finish(joined, [key, "year"])
+    return rollup_station_sums(station_year_sums(clean_days), stations, key, require_coordinates)
 
 
-def country_year_geocoded(clean_days: DataFrame, stations: DataFrame, codes: DataFrame) -> DataFrame:
-    """:func:`country_year` keyed by a country resolved from each station's coordinates.
+def country_year_geocoded(sums: DataFrame, stations: DataFrame, codes: DataFrame) -> DataFrame:
+    """Per (country, year) roll-up with the country resolved from each station's coordinates.
 
-    ``codes`` maps distinct (latitude, longitude) to ``country_code`` (see
-    :func:`terrapanel.operators.geo.geocode`); readings are pre-summed per
-    (station, year) before meeting it, exactly as in
-    :func:`country_year_via_stations`.
+    ``sums`` comes from :func:`station_year_sums`; ``codes`` maps distinct
+    (latitude, longitude) to ``country_code`` (see
+    :func:`terrapanel.operators.geo.geocode`).
     """
-    partial = _partial_sums(clean_days, ["station", "year"])
     st = stations.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    joined = (partial.join(st.select("station", "latitude", "longitude"), "station")
+    joined = (sums.join(st.select("station", "latitude", "longitude"), "station")
               .join(codes.select("latitude", "longitude", "country_code"), ["latitude", "longitude"]))
     return _finish(joined, ["country_code", "year"])
 

@@ -21,7 +21,7 @@ from terrapanel.operators.indicators import (
     value_columns,
     wide_to_long,
 )
-from terrapanel.operators.geo import geocode, nearest_place
+from terrapanel.operators.geo import country_codes, nearest_place
 from terrapanel.operators.mapout import code_merge, emission_class, grid_cells, point_features, popup_text
 from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
 from terrapanel.operators.panel import (
@@ -58,8 +58,15 @@ from terrapanel.operators.series import (
 from terrapanel.operators.sarima import Order
 from terrapanel.operators.stats import moments, zscore_by, zscore_global
 from terrapanel.functions.weather import fahrenheit_to_celsius
-from terrapanel.session import cut_lineage
-from terrapanel.plans.common import avg_co2, clean_days, panel, tidy, weather_by_country_year
+from terrapanel.plans.common import (
+    avg_co2,
+    clean_days,
+    panel,
+    shared,
+    station_sums,
+    tidy,
+    weather_by_country_year,
+)
 from terrapanel.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +125,7 @@ def month_year_means(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def series_drop_year(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(drop_incomplete_years(month_series(clean_days(spark, sf))))
+    return tidy(drop_incomplete_years(_monthly(spark, sf)))
 
 
 def panel_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,8 +252,12 @@ def pooled_effects_tests(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- indicators -------------------------------------------------------------
 
+def _wide(spark: SparkSession, sf: str) -> DataFrame:
+    return shared(spark, sf, "indicator_wide", lambda: tables.indicator_wide(spark, sf))
+
+
 def _kept_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return min_present(tables.indicator_wide(spark, sf), IND_MIN_CELLS)
+    return min_present(_wide(spark, sf), IND_MIN_CELLS)
 
 
 def indicator_min_present(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,20 +280,24 @@ def indicator_knn_imputed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def indicator_long(spark: SparkSession, sf: str) -> DataFrame:
-    wide = tables.indicator_wide(spark, sf).drop(*IND_DROP)
+    wide = _wide(spark, sf).drop(*IND_DROP)
     return tidy(wide_to_long(wide, ["Country Name", "Country Code"], IND_VALUE))
 
 
 def indicator_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    wide = tables.indicator_wide(spark, sf)
+    wide = _wide(spark, sf)
     return tidy(clean_indicator(wide, IND_IDS, IND_ENTITY, IND_VALUE, IND_MIN_CELLS, KNN_K,
                                 drop=IND_DROP))
 
 
 # --- monthly series and forecasts ------------------------------------------
 
+def _monthly(spark: SparkSession, sf: str) -> DataFrame:
+    return shared(spark, sf, "monthly", lambda: month_series(clean_days(spark, sf)))
+
+
 def _series(spark: SparkSession, sf: str) -> DataFrame:
-    return monthly_long(month_series(clean_days(spark, sf)))
+    return monthly_long(_monthly(spark, sf))
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,7 +324,7 @@ def month_axis_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fahrenheit_to_celsius_q(spark: SparkSession, sf: str) -> DataFrame:
-    m = month_series(clean_days(spark, sf))
+    m = _monthly(spark, sf)
     return tidy(m.select("year", "month", fahrenheit_to_celsius("temperature").alias("temperature_c")))
 
 
@@ -326,21 +341,21 @@ def _reference_orders(spark: SparkSession) -> DataFrame:
                                "precipitation": [PRECIPITATION_ORDER]})
 
 
-def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame) -> DataFrame:
+def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame, key: str) -> DataFrame:
     split = _split(spark, sf)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test").select(SERIES, MONTH, F.col(VALUE).alias("actual"))
-    fc = cut_lineage(fit_forecast(train, orders, N_TEST))
+    fc = shared(spark, sf, f"fits_{key}", lambda: fit_forecast(train, orders, N_TEST))
     return fc.join(test, [SERIES, MONTH], "left")
 
 
 def seasonal_arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    fc = _holdout_forecast(spark, sf, _reference_orders(spark))
+    fc = _holdout_forecast(spark, sf, _reference_orders(spark), "chosen")
     return tidy(fc.select(SERIES, "order_label", MONTH, "step", "yhat", "actual", "sigma2"))
 
 
 def sarima_holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
-    fc = _holdout_forecast(spark, sf, _reference_orders(spark)).withColumnRenamed("yhat", "predicted")
+    fc = _holdout_forecast(spark, sf, _reference_orders(spark), "chosen").withColumnRenamed("yhat", "predicted")
     return tidy(score(fc.where(F.col("actual").isNotNull()), keys=["order_label"]))
 
 
@@ -354,7 +369,7 @@ def forecast_long_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_grid_rank(spark: SparkSession, sf: str) -> DataFrame:
-    fc = _holdout_forecast(spark, sf, order_table(spark, ORDER_GRID)).withColumnRenamed("yhat", "predicted")
+    fc = _holdout_forecast(spark, sf, order_table(spark, ORDER_GRID), "grid").withColumnRenamed("yhat", "predicted")
     scored = score(fc.where(F.col("actual").isNotNull()), keys=["order_label"])
     from pyspark.sql import Window
     w = Window.partitionBy(SERIES).orderBy(F.col("mse").asc_nulls_last(), "order_label")
@@ -369,18 +384,23 @@ def _located_stations(spark: SparkSession, sf: str) -> DataFrame:
 
 def distinct_coordinates(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct station coordinates with their reading counts (counted per station first)."""
-    per_station = tables.station_days(spark, sf).groupBy("station").agg(F.count(F.lit(1)).alias("_n"))
+    per_station = station_sums(spark, sf).groupBy("station").agg(F.sum("_n").alias("_n"))
     located = per_station.join(_located_stations(spark, sf), "station")
     return tidy(located.groupBy("latitude", "longitude").agg(F.sum("_n").alias("n_obs")))
 
 
+def _nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return shared(spark, sf, "nearest_place", lambda: nearest_place(
+        _located_stations(spark, sf), tables.gazetteer(spark, sf)))
+
+
 def nearest_place_country(spark: SparkSession, sf: str) -> DataFrame:
-    near = nearest_place(_located_stations(spark, sf), tables.gazetteer(spark, sf))
+    near = _nearest(spark, sf)
     return tidy(near.select("latitude", "longitude", "place_id", "cc", "distance_km"))
 
 
 def _codes(spark: SparkSession, sf: str) -> DataFrame:
-    return geocode(_located_stations(spark, sf), tables.gazetteer(spark, sf), tables.iso_codes(spark, sf))
+    return country_codes(_nearest(spark, sf), tables.iso_codes(spark, sf))
 
 
 def country_code_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,7 +408,7 @@ def country_code_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def geo_country_year_means(spark: SparkSession, sf: str) -> DataFrame:
-    out = country_year_geocoded(clean_days(spark, sf), tables.stations(spark, sf), _codes(spark, sf))
+    out = country_year_geocoded(station_sums(spark, sf), tables.stations(spark, sf), _codes(spark, sf))
     return tidy(out)
 
 

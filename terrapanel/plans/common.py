@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrapanel.operators.clean import clean_observations
-from terrapanel.operators.panel import build_panel, country_year_via_stations
+from terrapanel.operators.panel import build_panel, rollup_station_sums, station_year_sums
 from terrapanel.operators.rank import group_average
+from terrapanel.session import cut_lineage
 from terrapanel.sources import tables
 
 DECIMALS = 6
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Materialise an intermediate used by many queries once per application.
+
+    The result is checkpointed to the shared folder named by
+    ``spark.checkpoint.dir``: later queries start from it (short plans, no
+    recomputation from the raw tables), and a lost executor re-reads it
+    instead of re-running the scans and joins below it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SHARED:
+        _SHARED[key] = cut_lineage(build())
+    return _SHARED[key]
 
 
 def tidy(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
@@ -35,13 +53,23 @@ def clean_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_observations(tables.station_days(spark, sf_dir))
 
 
+def station_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (station, year) partial sums of cleaned readings (one scan, materialised once)."""
+    return shared(spark, sf_dir, "station_year_sums",
+                  lambda: station_year_sums(clean_days(spark, sf_dir)))
+
+
 def weather_by_country_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country/year weather roll-up of readings with coordinates."""
-    return country_year_via_stations(clean_days(spark, sf_dir), tables.stations(spark, sf_dir))
+    return rollup_station_sums(station_sums(spark, sf_dir), tables.stations(spark, sf_dir))
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """country_code, year, temperature, precipitation, co2, energy, population."""
+    """country_code, year, temperature, precipitation, co2, energy, population (materialised once)."""
+    return shared(spark, sf_dir, "panel", lambda: build_country_panel(spark, sf_dir))
+
+
+def build_country_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     wx = weather_by_country_year(spark, sf_dir).select(
         "country_code", "year", "temperature", "precipitation")
     ind = tables.indicators(spark, sf_dir)

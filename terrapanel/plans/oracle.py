@@ -420,9 +420,9 @@ SELECT country_code, CAST(year AS BIGINT) AS year, 'YEAR_' || CAST(year AS VARCH
        CAST(1 AS BIGINT) AS value
 FROM panel WHERE year <> (SELECT min(year) FROM panel)"""),
     "gram_entries": _gram_entries(),
-    "distinct_coordinates": sql(["obs"], f"""
+    "distinct_coordinates": sql(["clean"], f"""
 SELECT {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, count(*) AS n_obs
-FROM obs WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY latitude, longitude"""),
+FROM clean WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY latitude, longitude"""),
     "nearest_place_country": _geo(f"""
 SELECT {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, place_id, cc,
        {r6('2 * 6371.0 * asin(least(chord / 2, 1))')} AS distance_km FROM best"""),
