@@ -412,6 +412,12 @@ def geo_country_year_means(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(out)
 
 
+def country_year_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The yearly roll-up computed incrementally by a streaming query."""
+    from terrapanel.streaming.rollup import run_country_year_stream
+    return tidy(spark.read.parquet(run_country_year_stream(spark, sf)))
+
+
 # --- map table ----------------------------------------------------------------
 
 def _co2_per_country(spark: SparkSession, sf: str) -> DataFrame:
@@ -493,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "nearest_place_country": nearest_place_country,
     "country_code_lookup": country_code_lookup,
     "geo_country_year_means": geo_country_year_means,
+    "country_year_stream": country_year_stream,
     "code_merge": code_merge_q,
     "emission_class": emission_class_q,
     "popup_text": popup_text_q,

@@ -383,6 +383,9 @@ FROM obs o WHERE NOT EXISTS (SELECT 1 FROM weights w WHERE w.flag = coalesce(tri
 SELECT country_code, CAST(year AS BIGINT) AS year, {r6('temperature')} AS temperature,
        {r6('precipitation')} AS precipitation, {r6('snow')} AS snow, n_obs FROM wx"""),
     "country_year_rowwise": sql(["wx"], f"""
+SELECT country_code, CAST(year AS BIGINT) AS year, {r6('temperature')} AS temperature,
+       {r6('precipitation')} AS precipitation, {r6('snow')} AS snow, n_obs FROM wx"""),
+    "country_year_stream": sql(["wx"], f"""
 SELECT country_code, CAST(year AS BIGINT) AS year, {r6('temperature')} AS temperature,
        {r6('precipitation')} AS precipitation, {r6('snow')} AS snow, n_obs FROM wx"""),
     "month_year_means": sql(["monthly"], f"""

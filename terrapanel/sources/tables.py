@@ -36,7 +36,11 @@ def _grid_coordinate(key: str, mult: int, modulus: int, offset: float) -> F.Colu
 
 def station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station-day readings: station, obs_date, temp, prcp, prcp_flag, snow_depth."""
-    li = table(spark, sf_dir, "lineitem")
+    return station_days_from(table(spark, sf_dir, "lineitem"))
+
+
+def station_days_from(li: DataFrame) -> DataFrame:
+    """The station-day mapping over a lineitem frame (batch or streaming)."""
     return li.select(
         F.col("l_suppkey").alias("station"),
         F.to_date("l_shipdate").alias("obs_date"),
