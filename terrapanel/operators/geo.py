@@ -11,9 +11,9 @@ work proportional to the local density: points in dense areas resolve at
 fine levels with few candidates, sparse areas fall through to coarse levels
 where they still meet only nearby places.  Ties go to the smaller place id.
 
-Between levels the unresolved points are written to the shared checkpoint
-folder, which keeps each level's plan short and lets a lost executor resume
-from the last finished level.
+Each level's best candidates and the points still unresolved are written to
+the shared checkpoint folder, so every level's join runs once, plans stay
+short, and a lost executor resumes from the last finished level.
 """
 
 from __future__ import annotations
@@ -105,12 +105,11 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
             "latitude", "longitude", *_AXES, *[F.col(f"_nb.{c}").alias(c) for c in _CELL])
         bucket = {c: F.floor(F.col(g) / F.lit(edge)) for c, g in zip(_CELL, ("_gx", "_gy", "_gz"))}
         cand = probes.join(gaz.withColumns(bucket), list(_CELL)).withColumn("_chord", chord())
-        best = cand.groupBy("latitude", "longitude").agg(
-            F.min(F.struct("_chord", "place_id", "cc")).alias("_b"))
-        accepted = best if last else best.where(F.col("_b._chord") <= edge)
-        accepted = accepted.select(
+        best = cut_lineage(cand.groupBy("latitude", "longitude").agg(
+            F.min(F.struct("_chord", "place_id", "cc")).alias("_b")).select(
             "latitude", "longitude", F.col("_b.place_id").alias("place_id"),
-            F.col("_b.cc").alias("cc"), F.col("_b._chord").alias("chord"))
+            F.col("_b.cc").alias("cc"), F.col("_b._chord").alias("chord")))
+        accepted = best if last else best.where(F.col("chord") <= edge)
         found.append(accepted)
         if last:
             break
