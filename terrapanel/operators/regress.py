@@ -232,10 +232,11 @@ def solve_pooled(
     period: str,
     lam: float,
     panel_columns: int,
-) -> tuple[list[str], dict[str, np.ndarray], dict[str, float], int, int]:
+) -> tuple[list[str], dict[str, np.ndarray], dict[str, float], int, int, dict]:
     """Driver-side p x p ridge on z-scored dummies + factors (drop-first levels).
 
-    Returns (term names, beta per target, RSS per target, dof, p).
+    Returns (term names, beta per target, RSS per target, dof, p,
+    (mean, sd) per term name).
     """
     targets, factors = list(targets), list(factors)
     cols = targets + factors
@@ -289,7 +290,9 @@ def solve_pooled(
             rss[t] = float(n - 2 * n * b @ ry + n * b @ corr @ b)
     names = [f"CC_{v}" for v in e_lv] + [f"YEAR_{v}" for v in p_lv] + factors
     dof = int(n) - (panel_columns + 1)
-    return names, betas, rss, dof, p
+    scales = {nm: (float(mu), float(sdv)) for nm, mu, sdv in zip(
+        names, list(m) + [glob[mean_col(f)] for f in factors], sd)}
+    return names, betas, rss, dof, p, scales
 
 
 def pooled_effects(
@@ -311,7 +314,7 @@ def pooled_effects(
     """
     spark = panel.sparkSession
     glob, cells = pooled_statistics(panel, targets, factors, entity, period)
-    names, betas, rss, dof, p = solve_pooled(
+    names, betas, rss, dof, p, _ = solve_pooled(
         glob, cells, targets, factors, entity, period, lam, panel_columns)
     n = float(glob["n"])
     coef_rows = []
@@ -334,3 +337,54 @@ def pooled_effects(
         T.StructField("dof", T.LongType())])
     tests = finish_tests(spark.createDataFrame(test_rows, test_schema), alpha, decision_tail)
     return coefficients, tests
+
+
+def pooled_predictions(
+    panel: DataFrame,
+    targets: Sequence[str] = POOLED_TARGETS,
+    factors: Sequence[str] = POOLED_FACTORS,
+    entity: str = "country_code",
+    period: str = "year",
+    lam: float = 1.0,
+    panel_columns: int = PANEL_COLUMNS,
+) -> DataFrame:
+    """Fitted values (z units) and squared residuals of the fixed-effects ridge, per panel row.
+
+    With standardised dummies the fit is a constant plus one effect per
+    country and one per year plus the factor terms, so each row needs only
+    two small effect tables (one row per level) joined on its keys.
+    """
+    spark = panel.sparkSession
+    targets, factors = list(targets), list(factors)
+    glob, cells = pooled_statistics(panel, targets, factors, entity, period)
+    names, betas, _, _, _, scales = solve_pooled(
+        glob, cells, targets, factors, entity, period, lam, panel_columns)
+    nd = len(names) - len(factors)
+    const = {t: -sum(betas[t][i] * scales[names[i]][0] / scales[names[i]][1] for i in range(nd))
+             for t in targets}
+
+    def effects(prefix: str, key: str, key_type: T.DataType) -> DataFrame:
+        rows = []
+        for i, nm in enumerate(names[:nd]):
+            if nm.startswith(prefix):
+                level = nm[len(prefix):]
+                rows.append((int(level) if isinstance(key_type, T.IntegerType) else level,
+                             *[float(betas[t][i] / scales[nm][1]) for t in targets]))
+        schema = T.StructType([T.StructField(key, key_type)]
+                              + [T.StructField(f"_eff_{key}_{t}", T.DoubleType()) for t in targets])
+        return spark.createDataFrame(rows, schema)
+
+    key_types = {f.name: f.dataType for f in panel.schema.fields}
+    out = (panel.join(effects("CC_", entity, key_types[entity]), entity, "left")
+           .join(effects("YEAR_", period, key_types[period]), period, "left"))
+    cols = {}
+    for t in targets:
+        pred = F.lit(const[t]) + F.coalesce(F.col(f"_eff_{entity}_{t}"), F.lit(0.0)) + F.coalesce(
+            F.col(f"_eff_{period}_{t}"), F.lit(0.0))
+        for f in factors:
+            mu, sdv = scales[f]
+            pred = pred + F.lit(float(betas[t][names.index(f)])) * (F.col(f) - mu) / sdv
+        z_t = (F.col(t) - glob[mean_col(t)]) / glob[sd_col(t)]
+        cols[f"pred_{t}"] = pred
+        cols[f"sq_err_{t}"] = F.pow(pred - z_t, 2)
+    return out.select(entity, period, *[e.alias(c) for c, e in cols.items()])

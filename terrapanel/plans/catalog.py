@@ -34,6 +34,7 @@ from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_
 from terrapanel.operators.regress import (
     group_betas,
     pooled_effects,
+    pooled_predictions,
     ridge_fit,
     ridge_predictions,
     ridge_tests,
@@ -451,6 +452,10 @@ def grid_cells_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(grid_cells(pts, CLUSTER_DEG))
 
 
+def pooled_effects_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(pooled_predictions(panel(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
@@ -479,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "ridge_tests": ridge_tests_q,
     "pooled_effects_coefficients": pooled_effects_coefficients,
     "pooled_effects_tests": pooled_effects_tests,
+    "pooled_effects_predictions": pooled_effects_predictions,
     "indicator_min_present": indicator_min_present,
     "indicator_pair_distance": indicator_pair_distance,
     "indicator_knn_imputed": indicator_knn_imputed,

@@ -29,7 +29,8 @@ D = "CAST({} AS DOUBLE)".format
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, 6)"
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does.
+    return f"(round({expr}, 6) + 0.0)"
 
 
 _WEIGHTS = ", ".join(f"('{k}', {v})" for k, v in FLAG_HOURS.items())

@@ -35,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

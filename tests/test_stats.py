@@ -7,6 +7,7 @@ from terrapanel.operators.regress import (
     finish_tests,
     group_betas,
     pooled_effects,
+    pooled_predictions,
     ridge_fit,
     ridge_tests,
 )
@@ -90,6 +91,7 @@ def _dense_reference(pdf, lam=1.0):
         var = float(np.sum((x - x.mean()) ** 2))
         se = np.sqrt(rss / dof / var)
         out[target] = (beta, se, list(dummies.columns) + ["co2", "energy", "population"])
+        out["pred_" + target] = (x @ beta, (x @ beta - y) ** 2)
     return out
 
 
@@ -98,7 +100,8 @@ def test_pooled_effects_match_dense(spark):
     ref = _dense_reference(pdf)
     coef, tests = pooled_effects(_panel(spark))
     coef = {(r.target, r.term): r.beta for r in coef.collect()}
-    for target, (beta, se, names) in ref.items():
+    for target in ["temperature", "precipitation"]:
+        beta, se, names = ref[target]
         assert coef[(target, "intercept")] == pytest.approx(beta[0], abs=1e-9)
         for name, b in zip(names, beta[1:]):
             assert coef[(target, name)] == pytest.approx(b, abs=1e-8)
@@ -132,3 +135,13 @@ def test_pooled_spread_closed_form():
     x = np.c_[np.ones(60), z]
     assert float(np.sum((x - x.mean()) ** 2)) == pytest.approx(225.0)
     assert 60 * (4 - 1 / 4) == pytest.approx(225.0)
+
+
+def test_pooled_predictions_match_dense(spark):
+    pdf = _panel(spark).toPandas().sort_values(["country_code", "year"]).reset_index(drop=True)
+    ref = _dense_reference(pdf)
+    got = pooled_predictions(_panel(spark)).toPandas().sort_values(["country_code", "year"])
+    for target in ["temperature", "precipitation"]:
+        pred, sq = ref["pred_" + target]
+        assert got[f"pred_{target}"].to_numpy() == pytest.approx(pred, abs=1e-8)
+        assert got[f"sq_err_{target}"].to_numpy() == pytest.approx(sq, abs=1e-8)
