@@ -90,10 +90,11 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
     distinct_places = places.groupBy("latitude", "longitude").agg(
         F.min(F.struct("place_id", "cc")).alias("_p")).select(
         "latitude", "longitude", F.col("_p.place_id").alias("place_id"), F.col("_p.cc").alias("cc"))
-    gaz = _with_xyz(distinct_places).select(
-        "place_id", "cc", *[F.col(a).alias(g) for a, g in zip(_AXES, ("_gx", "_gy", "_gz"))])
+    # Materialised once: every level re-reads it instead of re-running the dedupe.
+    gaz = cut_lineage(_with_xyz(distinct_places).select(
+        "place_id", "cc", *[F.col(a).alias(g) for a, g in zip(_AXES, ("_gx", "_gy", "_gz"))]))
     if first_edge is None:
-        first_edge = default_edge(places.count()) / GROWTH
+        first_edge = default_edge(gaz.count()) / GROWTH
     pending = pts
     found: list[DataFrame] = []
     steps = levels(first_edge)

@@ -26,7 +26,7 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     recomputation from the raw tables), and a lost executor re-reads it
     instead of re-running the scans and joins below it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (f"{spark.sparkContext.applicationId}/{id(spark)}", sf_dir, name)
     if key not in _SHARED:
         _SHARED[key] = cut_lineage(build())
     return _SHARED[key]

@@ -47,6 +47,18 @@ def test_nearest_place_matches_brute_force(spark, edge):
     assert got == _brute(points, places)
 
 
+def test_nearest_place_with_a_hot_position(spark):
+    # a third of all places share one position: they collapse to the smallest id
+    places = [(1000 + i, 10.0, 20.0, "HOT") for i in range(200)]
+    places += [(i, -30.0 + i * 0.37, -100.0 + i * 0.91, "C%d" % (i % 5)) for i in range(400)]
+    points = [(10.0, 20.0), (10.001, 20.001), (-29.9, -99.0), (45.0, 45.0)]
+    pl = spark.createDataFrame(places, "place_id long, latitude double, longitude double, cc string")
+    pt = spark.createDataFrame(points, "latitude double, longitude double")
+    got = {(r.latitude, r.longitude): r.place_id for r in nearest_place(pt, pl).collect()}
+    assert got == _brute(points, places)
+    assert got[(10.0, 20.0)] == 1000
+
+
 def test_unknown_code_is_na(spark):
     near = spark.createDataFrame([(1.0, 2.0, 1, "XX"), (3.0, 4.0, 2, "FR")],
                                  "latitude double, longitude double, place_id long, cc string")
