@@ -11,7 +11,7 @@ work proportional to the local density: points in dense areas resolve at
 fine levels with few candidates, sparse areas fall through to coarse levels
 where they still meet only nearby places.  Ties go to the smaller place id.
 
-Each level's best candidates and the points still unresolved are written to
+The deduplicated gazetteer and each level's best candidates are written to
 the shared checkpoint folder, so every level's join runs once, plans stay
 short, and a lost executor resumes from the last finished level.
 """
@@ -19,7 +19,6 @@ short, and a lost executor resumes from the last finished level.
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,10 +99,12 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
     steps = levels(first_edge)
     for k, edge in enumerate(steps):
         last = k == len(steps) - 1
-        near = [F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(_CELL, delta)])
-                for delta in product((-1, 0, 1), repeat=3)]
-        probes = pending.withColumns(_cells(edge)).withColumn("_nb", F.explode(F.array(*near))).select(
-            "latitude", "longitude", *_AXES, *[F.col(f"_nb.{c}").alias(c) for c in _CELL])
+        # 27 neighbour cubes: one explode of the offsets -1, 0, 1 per axis.
+        probes = pending.withColumns(_cells(edge))
+        for c in _CELL:
+            probes = probes.withColumn(f"{c}_d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+        probes = probes.select("latitude", "longitude", *_AXES,
+                               *[(F.col(c) + F.col(f"{c}_d")).alias(c) for c in _CELL])
         bucket = {c: F.floor(F.col(g) / F.lit(edge)) for c, g in zip(_CELL, ("_gx", "_gy", "_gz"))}
         cand = probes.join(gaz.withColumns(bucket), list(_CELL)).withColumn("_chord", chord())
         best = cut_lineage(cand.groupBy("latitude", "longitude").agg(
@@ -114,8 +115,10 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
         found.append(accepted)
         if last:
             break
-        pending = cut_lineage(pending.join(accepted.select("latitude", "longitude"),
-                                           ["latitude", "longitude"], "left_anti"))
+        # An anti-join against the checkpointed candidates: cheap, so it is
+        # not materialised (its plan grows by one join per level).
+        pending = pending.join(accepted.select("latitude", "longitude"),
+                               ["latitude", "longitude"], "left_anti")
         if pending.isEmpty():
             break
     out = found[0]
