@@ -107,7 +107,8 @@ def obs_with_coordinates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def obs_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    df = observation_rejects(tables.observations(spark, sf))
+    # Rejects need no station attributes: no join with the station table.
+    df = observation_rejects(tables.station_days(spark, sf))
     return tidy(df.select("station", "obs_date", "prcp_flag"))
 
 
