@@ -54,7 +54,7 @@ def read_observations(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     raw = _csv(spark, gsod_schema()).csv(path)
     return raw.select(
         F.col("STATION").alias("station"),
-        F.try_to_date(F.trim("DATE"), F.lit("yyyy-MM-dd")).alias("obs_date"),
+        F.try_to_date(F.trim("DATE"), "yyyy-MM-dd").alias("obs_date"),
         F.col("LATITUDE").alias("latitude"),
         F.col("LONGITUDE").alias("longitude"),
         F.col("TEMP").alias("temp"),
