@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.panel import build_panel, rollup_station_sums, station_year_sums
 from terrapanel.operators.rank import group_average
-from terrapanel.session import cut_lineage
+from terrapanel.session import application_key, cut_lineage
 from terrapanel.sources import tables
 
 DECIMALS = 6
@@ -26,7 +26,7 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     recomputation from the raw tables), and a lost executor re-reads it
     instead of re-running the scans and joins below it.
     """
-    key = (f"{spark.sparkContext.applicationId}/{id(spark)}", sf_dir, name)
+    key = (application_key(spark), sf_dir, name)
     if key not in _SHARED:
         _SHARED[key] = cut_lineage(build())
     return _SHARED[key]

@@ -43,7 +43,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     an unset directory is an error, because a machine-local folder would not
     survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -59,6 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def application_key(spark: SparkSession) -> str:
+    """Identifies the running application (and session object) for per-session caches."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        app = spark.conf.get("spark.app.id", "remote")
+    return f"{app}/{id(spark)}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
 

@@ -85,6 +85,19 @@ def read_indicator_long(spark: SparkSession, path: str, value_name: str) -> Data
     )
 
 
+def read_map_inputs(spark: SparkSession, points_path: str, values_path: str) -> tuple[DataFrame, DataFrame]:
+    """The two map inputs: country points (code_3, Country, Latitude, Longitude) and
+    per-country values (code_3, co2).  Codes may carry surrounding blanks; the
+    merge trims them (:func:`terrapanel.operators.mapout.code_merge`)."""
+    points = _csv(spark).csv(points_path)
+    points = points.select("code_3", "Country",
+                           F.col("Latitude").try_cast("double").alias("Latitude"),
+                           F.col("Longitude").try_cast("double").alias("Longitude"))
+    values = _csv(spark).csv(values_path)
+    values = values.select("code_3", F.col("co2").try_cast("double").alias("co2"))
+    return points, values
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """CSV with a header line (no index column), replacing ``path``."""
     writer = df.write.mode("overwrite").option("header", True)

@@ -89,3 +89,16 @@ def test_point_features_and_geojson(spark, tmpdir_path):
     assert spark.read.text(out).count() == 2
     cells = grid_cells(feats, 30.0).collect()
     assert sorted((c.cell_lat, c.cell_lon, c.n_points) for c in cells) == [(1, 0, 2)]
+
+
+def test_map_inputs_from_csv(spark, tmpdir_path):
+    from terrapanel.sources import files
+
+    pts, vals = f"{tmpdir_path}/points.csv", f"{tmpdir_path}/co2.csv"
+    with open(pts, "w") as fh:
+        fh.write('code_3,Country,Latitude,Longitude\n" FRA",France,46.2,2.2\nDEU ,Germany,51.1,10.4\n')
+    with open(vals, "w") as fh:
+        fh.write("code_3,co2\nFRA,1.5\nDEU,9.99\nITA,3.0\n")
+    p, v = files.read_map_inputs(spark, pts, vals)
+    got = {r.code_3: r.fill_color for r in point_features(code_merge(p, v)).collect()}
+    assert got == {"FRA": "green", "DEU": "orange"}
