@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrapanel.operators.sarima import Order, fit_and_forecast
+from terrapanel.operators.sarima import Order, difference_poly, fit_and_forecast
 
 SERIES, MONTH, VALUE = "series", "month", "value"
 
@@ -66,7 +66,6 @@ def lag_features(series: DataFrame, lags: Sequence[int] = (1, 12, 13),
 
 def difference_coefficients(d: int = 1, D: int = 1, s: int = 12) -> dict[int, float]:
     """Lag -> coefficient of (1-B)^d (1-B^s)^D."""
-    from terrapanel.operators.sarima import difference_poly
     poly = difference_poly(Order(0, d, 0, 0, D, 0, s))
     return {lag: float(c) for lag, c in enumerate(poly) if c != 0}
 

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrapanel.functions.weather import fahrenheit_to_celsius
+from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
+from terrapanel.operators.geo import country_codes, nearest_place
 from terrapanel.operators.indicators import (
     PERIOD,
     clean_indicator,
@@ -21,9 +24,7 @@ from terrapanel.operators.indicators import (
     value_columns,
     wide_to_long,
 )
-from terrapanel.operators.geo import country_codes, nearest_place
 from terrapanel.operators.mapout import code_merge, emission_class, grid_cells, point_features, popup_text
-from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
 from terrapanel.operators.panel import (
     country_year,
     country_year_geocoded,
@@ -32,6 +33,8 @@ from terrapanel.operators.panel import (
 )
 from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_k
 from terrapanel.operators.regress import (
+    POOLED_FACTORS,
+    POOLED_TARGETS,
     group_betas,
     pooled_effects,
     pooled_predictions,
@@ -39,6 +42,7 @@ from terrapanel.operators.regress import (
     ridge_predictions,
     ridge_tests,
 )
+from terrapanel.operators.sarima import Order
 from terrapanel.operators.series import (
     LONG_HORIZON,
     MONTH,
@@ -56,9 +60,7 @@ from terrapanel.operators.series import (
     seasonal_naive,
     split_by_position,
 )
-from terrapanel.operators.sarima import Order
-from terrapanel.operators.stats import moments, zscore_by, zscore_global
-from terrapanel.functions.weather import fahrenheit_to_celsius
+from terrapanel.operators.stats import corr_sql, moments, zscore_by, zscore_global
 from terrapanel.plans.common import (
     avg_co2,
     clean_days,
@@ -69,6 +71,7 @@ from terrapanel.plans.common import (
     weather_by_country_year,
 )
 from terrapanel.sources import tables
+from terrapanel.streaming.rollup import run_country_year_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_N = 10
@@ -211,10 +214,8 @@ def dummy_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def gram_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Entries of X'X and X'y for the z-scored three-factor design with a bias column."""
-    from terrapanel.operators.regress import POOLED_FACTORS, POOLED_TARGETS
     cols = list(POOLED_TARGETS) + list(POOLED_FACTORS)
     design = ["bias"] + list(POOLED_FACTORS)
-    from terrapanel.operators.stats import corr_sql
     m = moments(panel(spark, sf), cols)
     rows = []
     for i, a in enumerate(design):
@@ -373,7 +374,6 @@ def forecast_long_range(spark: SparkSession, sf: str) -> DataFrame:
 def order_grid_rank(spark: SparkSession, sf: str) -> DataFrame:
     fc = _holdout_forecast(spark, sf, order_table(spark, ORDER_GRID), "grid").withColumnRenamed("yhat", "predicted")
     scored = score(fc.where(F.col("actual").isNotNull()), keys=["order_label"])
-    from pyspark.sql import Window
     w = Window.partitionBy(SERIES).orderBy(F.col("mse").asc_nulls_last(), "order_label")
     return tidy(scored.withColumn("rank", F.row_number().over(w)))
 
@@ -416,7 +416,6 @@ def geo_country_year_means(spark: SparkSession, sf: str) -> DataFrame:
 
 def country_year_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The yearly roll-up computed incrementally by a streaming query."""
-    from terrapanel.streaming.rollup import run_country_year_stream
     return tidy(spark.read.parquet(run_country_year_stream(spark, sf)))
 
 
