@@ -10,17 +10,22 @@ at the NaN-aware Euclidean distance
 
 T the number of year columns.  The gap gets the mean of the k nearest donors
 with a defined distance (ties broken by entity code), or the year's mean when
-no donor has one.  Everything runs in long form: distances are a self-join on
-the year followed by a grouped sum, donors are ranked per missing cell.
+no donor has one.  Everything runs in long form; the donor search is pruned
+by value bands (see :func:`knn_fill`), distances of candidate pairs are a
+join on the year followed by a grouped sum, donors are ranked per missing
+cell.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrapanel.session import cut_lineage
+
 PERIOD = "_period"
 VALUE = "_value"
 
@@ -72,22 +77,120 @@ def pair_distances(cells: DataFrame, entity: str, n_features: int,
              F.sqrt(F.lit(float(n_features)) / F.col("n_shared") * F.col("_ss")).alias("distance"))
 
 
-def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2) -> DataFrame:
-    """Fill for every missing cell: entity, _period, imputed, n_donors (0 = year mean used)."""
-    present = cells.where(F.col(VALUE).isNotNull())
-    missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
-    receivers = missing.select(F.col("a").alias(entity)).distinct()
-    dist = pair_distances(cells, entity, n_features, receivers)
-    donors = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
-    cand = missing.join(dist, "a").join(donors, ["b", PERIOD])
+# Band search for the donors: growth of the band per level and the number of
+# pivot years per receiver.
+BAND_GROWTH = 4.0
+N_PIVOTS = 3
+
+
+def _pair_distances_for(pairs: DataFrame, present: DataFrame, entity: str, n_features: int) -> DataFrame:
+    """Exact NaN-aware distances for the given (a, b) pairs; pairs sharing no year get no row."""
+    pa = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va"))
+    pb = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
+    return pairs.join(pa, "a").join(pb, ["b", PERIOD]).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("n_shared"),
+        F.sum(F.pow(F.col("va") - F.col("vb"), 2)).alias("_ss"),
+    ).select("a", "b", F.sqrt(F.lit(float(n_features)) / F.col("n_shared") * F.col("_ss")).alias("distance"))
+
+
+def _nearest(cells: DataFrame, dist: DataFrame, donors: DataFrame, k: int) -> DataFrame:
+    """Per missing cell (a, _period): mean of the k nearest donors having that year."""
+    cand = cells.join(dist, "a").join(donors, ["b", PERIOD])
     ranked = cand.withColumn(
         "_rk", F.row_number().over(Window.partitionBy("a", PERIOD).orderBy("distance", "b")))
-    nearest = ranked.where(F.col("_rk") <= k).groupBy("a", PERIOD).agg(
-        F.avg("vb").alias("_knn"), F.count(F.lit(1)).alias("n_donors"))
-    year_mean = present.groupBy(PERIOD).agg(F.avg(VALUE).alias("_mean"))
+    return ranked.where(F.col("_rk") <= k).groupBy("a", PERIOD).agg(
+        F.avg("vb").alias("_knn"), F.count(F.lit(1)).alias("n_donors"), F.max("distance").alias("_kth"))
+
+
+def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
+             levels: int | None = None) -> DataFrame:
+    """Fill for every missing cell: entity, _period, imputed, n_donors (0 = year mean used).
+
+    Exact k-nearest-neighbour search without comparing every receiver with
+    every donor.  For any year s both rows have, d(a, b) >= |a_s - b_s|
+    (the scale T/|S| is at least 1).  Each receiver gets up to three pivot
+    years (its years with the most donors).  At band width w the candidates
+    are the donors within w of the receiver on the first pivot (an
+    equi-join on value buckets) or lacking that pivot, and a candidate is
+    dropped when it is farther than w on any other pivot it shares: every
+    dropped or never-seen donor is provably farther than w.  When the k-th
+    best candidate is within w the cell is settled exactly; otherwise it
+    moves to a band four times wider.  The widest band spans the whole value
+    range of the pivot year, and a final pass over every donor of the year
+    handles the cells still open (those with fewer than k comparable donors).
+    Each level's results and the open cells are checkpointed.
+    """
+    present = cells.where(F.col(VALUE).isNotNull()).select(entity, PERIOD, VALUE)
+    missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
+    donors = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
+    years = cut_lineage(present.groupBy(PERIOD).agg(
+        F.count(F.lit(1)).alias("_n_t"), F.avg(VALUE).alias("_mean"),
+        F.greatest(F.max(VALUE) - F.min(VALUE), (F.max(F.abs(VALUE)) + 1.0) * 1e-9).alias("_range")))
+    if levels is None:
+        # End at the full range; start near the typical k-th neighbour distance
+        # of n donors spread in about two effective dimensions, range*(2k/n)^(1/2)
+        # (yearly series of one indicator are strongly correlated).  The
+        # choice only affects speed, never the result.
+        n_max = years.agg(F.max("_n_t")).first()[0] or 1
+        levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
+    receivers = missing.select("a").distinct()
+    rcells = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va")).join(
+        receivers, "a", "left_semi")
+    order = Window.partitionBy("a").orderBy(F.col("_n_t").desc(), F.col(PERIOD).asc())
+    pivots = cut_lineage(
+        rcells.join(years.select(PERIOD, "_n_t", "_range"), PERIOD)
+        .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= N_PIVOTS)
+        .select("a", "_r", F.col(PERIOD).alias("p"), F.col("va").alias("ap"), "_range"))
+    first = pivots.where(F.col("_r") == 1).drop("_r")
+    others = [pivots.where(F.col("_r") == r).select(
+        "a", F.col("p").alias(f"_p{r}"), F.col("ap").alias(f"_ap{r}")) for r in range(2, N_PIVOTS + 1)]
+    by_year = donors.select("b", F.col(PERIOD).alias("p"), F.col("vb").alias("bp"))
+    lacking_first = missing.select(F.col("a").alias("b"), F.col(PERIOD).alias("p"))
+
+    open_cells = missing
+    settled: list[DataFrame] = []
+    for level in range(levels):
+        scale = BAND_GROWTH ** (level - levels + 1)
+        probes = (open_cells.select("a").distinct().join(first, "a")
+                  .withColumn("_w", F.col("_range") * scale)
+                  .withColumn("_d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+                  .withColumn("_bk", F.floor(F.col("ap") / F.col("_w")) + F.col("_d")))
+        banded = by_year.join(years.select(F.col(PERIOD).alias("p"), "_range"), "p").withColumn(
+            "_bk", F.floor(F.col("bp") / (F.col("_range") * scale))).drop("_range")
+        band = probes.join(banded, ["p", "_bk"]).where(
+            (F.col("a") != F.col("b")) & (F.abs(F.col("ap") - F.col("bp")) <= F.col("_w"))
+        ).select("a", "b", "_w")
+        lack = (probes.where(F.col("_d") == 0).select("a", "p", "_w").join(lacking_first, "p")
+                .where(F.col("a") != F.col("b")).select("a", "b", "_w"))
+        cand = band.unionByName(lack)
+        for r, piv in enumerate(others, start=2):
+            vals = by_year.select("b", F.col("p").alias(f"_p{r}"), F.col("bp").alias(f"_bp{r}"))
+            cand = cand.join(piv, "a", "left").join(vals, ["b", f"_p{r}"], "left").where(
+                F.col(f"_bp{r}").isNull()
+                | (F.abs(F.col(f"_ap{r}") - F.col(f"_bp{r}")) <= F.col("_w"))
+            ).select("a", "b", "_w")
+        pairs = cand.select("a", "b").distinct()
+        near = _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k)
+        width = first.select("a", (F.col("_range") * scale).alias("_w"))
+        # The margin keeps the test exact under rounding: every donor at most
+        # the k-th distance away is then strictly inside the +-1 buckets.
+        done = cut_lineage(near.join(width, "a").where(
+            (F.col("n_donors") == k) & (F.col("_kth") <= F.col("_w") * (1.0 - 1e-9))).drop("_w", "_kth"))
+        settled.append(done)
+        open_cells = cut_lineage(open_cells.join(done.select("a", PERIOD), ["a", PERIOD], "left_anti"))
+        if open_cells.isEmpty():
+            break
+    else:
+        # Final pass: every donor of the year for the cells still open (exact).
+        pairs = open_cells.join(donors, PERIOD).select("a", "b").distinct()
+        last = _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k)
+        settled.append(last.drop("_kth"))
+    nearest = settled[0]
+    for more in settled[1:]:
+        nearest = nearest.unionByName(more)
     return (
         missing.join(nearest, ["a", PERIOD], "left")
-        .join(year_mean, PERIOD, "left")
+        .join(years.select(PERIOD, "_mean"), PERIOD, "left")
         .select(F.col("a").alias(entity), PERIOD,
                 F.coalesce("_knn", "_mean").alias("imputed"),
                 F.coalesce("n_donors", F.lit(0)).alias("n_donors"))

@@ -59,19 +59,23 @@ def _brute_knn(mat: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def test_knn_matches_brute_force(spark):
-    rng = np.random.default_rng(7)
+@pytest.mark.parametrize("seed,levels", [(7, None), (8, 0), (9, 1), (10, 6)])
+def test_knn_matches_brute_force(spark, seed, levels):
+    rng = np.random.default_rng(seed)
     n, t = 30, 8
     mat = rng.normal(size=(n, t)) * 10
     mat[rng.random((n, t)) < 0.2] = np.nan
-    mat[3, :] = np.nan          # a row with nothing: every gap gets the year mean
+    mat[3, :] = np.nan          # a row with one value: few shared years with anyone
     mat[3, 0] = 1.0
+    mat[5, :] = np.nan          # a row with nothing: every gap gets the year mean
+    mat[6, 2:] = mat[7, 2:]     # an exact duplicate on most years (ties on the band edge)
+    mat[8] = mat[9] * 1000      # a far outlier
     years = [str(2000 + j) for j in range(t)]
     rows = [(f"n{i:02d}", f"c{i:02d}", "i", "c", *[None if np.isnan(v) else float(v) for v in mat[i]])
             for i in range(n)]
     wide = _wide(spark, rows, years)
     got = {(r["Country Code"], r["_period"]): r["imputed"]
-           for r in knn_fill(to_cells(wide, IDS), "Country Code", t, 2).collect()}
+           for r in knn_fill(to_cells(wide, IDS), "Country Code", t, 2, levels=levels).collect()}
     ref = _brute_knn(mat, 2)
     for i in range(n):
         for j in range(t):
