@@ -110,72 +110,83 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
     every donor.  For any year s both rows have, d(a, b) >= |a_s - b_s|
     (the scale T/|S| is at least 1).  Each receiver gets up to three pivot
     years (its years with the most donors).  At band width w the candidates
-    are the donors within w of the receiver on the first pivot (an
-    equi-join on value buckets) or lacking that pivot, and a candidate is
-    dropped when it is farther than w on any other pivot it shares: every
-    dropped or never-seen donor is provably farther than w.  When the k-th
-    best candidate is within w the cell is settled exactly; otherwise it
-    moves to a band four times wider.  The widest band spans the whole value
-    range of the pivot year, and a final pass over every donor of the year
-    handles the cells still open (those with fewer than k comparable donors).
-    Each level's results and the open cells are checkpointed.
+    are the donors within w of the receiver on some pivot (equi-joins on
+    value buckets, one per pivot) and the donors lacking all its pivots
+    (found per distinct pivot set); a candidate farther than w on any pivot
+    it shares with the receiver is dropped.  Every dropped or never-seen
+    donor is then provably farther than w, so once the k-th best candidate
+    is within w the cell is settled exactly; otherwise it moves to a band
+    four times wider.  The widest band spans the whole value range, and a
+    final pass over every donor of the year handles the cells still open
+    (those with fewer than k comparable donors).  Each level's results and
+    the open cells are checkpointed.
     """
     present = cells.where(F.col(VALUE).isNotNull()).select(entity, PERIOD, VALUE)
     missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
     donors = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
     years = cut_lineage(present.groupBy(PERIOD).agg(
         F.count(F.lit(1)).alias("_n_t"), F.avg(VALUE).alias("_mean"),
-        F.greatest(F.max(VALUE) - F.min(VALUE), (F.max(F.abs(VALUE)) + 1.0) * 1e-9).alias("_range")))
+        (F.max(VALUE) - F.min(VALUE)).alias("_range"), F.max(F.abs(VALUE)).alias("_amax")))
+    stats = years.agg(F.max("_n_t").alias("n"), F.max("_range").alias("r"), F.max("_amax").alias("m")).first()
+    n_max = stats["n"] or 1
+    # One bucket width per level for every year keeps the buckets of all
+    # pivots consistent; the widest band spans the largest yearly range.
+    full = max(stats["r"] or 0.0, ((stats["m"] or 0.0) + 1.0) * 1e-9)
     if levels is None:
-        # End at the full range; start near the typical k-th neighbour distance
-        # of n donors spread in about two effective dimensions, range*(2k/n)^(1/2)
-        # (yearly series of one indicator are strongly correlated).  The
-        # choice only affects speed, never the result.
-        n_max = years.agg(F.max("_n_t")).first()[0] or 1
+        # Start near the typical k-th neighbour distance of n donors spread in
+        # about two effective dimensions, range*(2k/n)^(1/2) (yearly series of
+        # one indicator are strongly correlated).  Only speed depends on it.
         levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
     receivers = missing.select("a").distinct()
     rcells = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va")).join(
         receivers, "a", "left_semi")
     order = Window.partitionBy("a").orderBy(F.col("_n_t").desc(), F.col(PERIOD).asc())
     pivots = cut_lineage(
-        rcells.join(years.select(PERIOD, "_n_t", "_range"), PERIOD)
+        rcells.join(years.select(PERIOD, "_n_t"), PERIOD)
         .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= N_PIVOTS)
-        .select("a", "_r", F.col(PERIOD).alias("p"), F.col("va").alias("ap"), "_range"))
-    first = pivots.where(F.col("_r") == 1).drop("_r")
-    others = [pivots.where(F.col("_r") == r).select(
-        "a", F.col("p").alias(f"_p{r}"), F.col("ap").alias(f"_ap{r}")) for r in range(2, N_PIVOTS + 1)]
+        .select("a", "_r", F.col(PERIOD).alias("p"), F.col("va").alias("ap")))
+    wide_piv = pivots.groupBy("a").agg(*[
+        c for r in range(1, N_PIVOTS + 1) for c in (
+            F.max(F.when(F.col("_r") == r, F.col("p"))).alias(f"_p{r}"),
+            F.max(F.when(F.col("_r") == r, F.col("ap"))).alias(f"_ap{r}"))])
+    # Donors lacking every pivot of a receiver, per distinct pivot set.
+    sets = wide_piv.select(*[f"_p{r}" for r in range(1, N_PIVOTS + 1)]).distinct().withColumn(
+        "_set", F.concat_ws(",", *[F.col(f"_p{r}").cast("string") for r in range(1, N_PIVOTS + 1)]))
+    set_years = sets.select("_set", F.explode(F.array(*[F.col(f"_p{r}") for r in range(1, N_PIVOTS + 1)]))
+                            .alias("p")).where(F.col("p").isNotNull())
+    set_size = set_years.groupBy("_set").agg(F.count(F.lit(1)).alias("_size"))
+    blind = (set_years.join(missing.select(F.col("a").alias("b"), F.col(PERIOD).alias("p")), "p")
+             .groupBy("_set", "b").agg(F.count(F.lit(1)).alias("_hits"))
+             .join(set_size, "_set").where(F.col("_hits") == F.col("_size")).select("_set", "b"))
+    # A receiver with fewer present years than pivots has NULL pivots and no
+    # set match; rightly so, a donor lacking all its years shares none of them.
+    receiver_set = wide_piv.join(sets, [f"_p{r}" for r in range(1, N_PIVOTS + 1)], "left").select("a", "_set")
     by_year = donors.select("b", F.col(PERIOD).alias("p"), F.col("vb").alias("bp"))
-    lacking_first = missing.select(F.col("a").alias("b"), F.col(PERIOD).alias("p"))
 
     open_cells = missing
     settled: list[DataFrame] = []
     for level in range(levels):
-        scale = BAND_GROWTH ** (level - levels + 1)
-        probes = (open_cells.select("a").distinct().join(first, "a")
-                  .withColumn("_w", F.col("_range") * scale)
+        w = full * BAND_GROWTH ** (level - levels + 1)
+        open_a = open_cells.select("a").distinct()
+        probes = (pivots.join(open_a, "a", "left_semi")
                   .withColumn("_d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-                  .withColumn("_bk", F.floor(F.col("ap") / F.col("_w")) + F.col("_d")))
-        banded = by_year.join(years.select(F.col(PERIOD).alias("p"), "_range"), "p").withColumn(
-            "_bk", F.floor(F.col("bp") / (F.col("_range") * scale))).drop("_range")
+                  .withColumn("_bk", F.floor(F.col("ap") / w) + F.col("_d")))
+        banded = by_year.withColumn("_bk", F.floor(F.col("bp") / w))
         band = probes.join(banded, ["p", "_bk"]).where(
-            (F.col("a") != F.col("b")) & (F.abs(F.col("ap") - F.col("bp")) <= F.col("_w"))
-        ).select("a", "b", "_w")
-        lack = (probes.where(F.col("_d") == 0).select("a", "p", "_w").join(lacking_first, "p")
-                .where(F.col("a") != F.col("b")).select("a", "b", "_w"))
-        cand = band.unionByName(lack)
-        for r, piv in enumerate(others, start=2):
+            (F.col("a") != F.col("b")) & (F.abs(F.col("ap") - F.col("bp")) <= w)).select("a", "b")
+        lacking = receiver_set.join(open_a, "a", "left_semi").join(blind, "_set").where(
+            F.col("a") != F.col("b")).select("a", "b")
+        cand = band.unionByName(lacking).distinct().join(wide_piv, "a")
+        for r in range(1, N_PIVOTS + 1):
             vals = by_year.select("b", F.col("p").alias(f"_p{r}"), F.col("bp").alias(f"_bp{r}"))
-            cand = cand.join(piv, "a", "left").join(vals, ["b", f"_p{r}"], "left").where(
-                F.col(f"_bp{r}").isNull()
-                | (F.abs(F.col(f"_ap{r}") - F.col(f"_bp{r}")) <= F.col("_w"))
-            ).select("a", "b", "_w")
-        pairs = cand.select("a", "b").distinct()
+            cand = cand.join(vals, ["b", f"_p{r}"], "left").where(
+                F.col(f"_bp{r}").isNull() | (F.abs(F.col(f"_ap{r}") - F.col(f"_bp{r}")) <= w))
+        pairs = cand.select("a", "b")
         near = _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k)
-        width = first.select("a", (F.col("_range") * scale).alias("_w"))
         # The margin keeps the test exact under rounding: every donor at most
         # the k-th distance away is then strictly inside the +-1 buckets.
-        done = cut_lineage(near.join(width, "a").where(
-            (F.col("n_donors") == k) & (F.col("_kth") <= F.col("_w") * (1.0 - 1e-9))).drop("_w", "_kth"))
+        done = cut_lineage(near.where(
+            (F.col("n_donors") == k) & (F.col("_kth") <= w * (1.0 - 1e-9))).drop("_kth"))
         settled.append(done)
         open_cells = cut_lineage(open_cells.join(done.select("a", PERIOD), ["a", PERIOD], "left_anti"))
         if open_cells.isEmpty():
