@@ -129,16 +129,12 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
     present = cells.where(F.col(VALUE).isNotNull()).select(entity, PERIOD, VALUE)
     missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
     donors = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
-    years = cut_lineage(present.groupBy(PERIOD).agg(
+    years = present.groupBy(PERIOD).agg(
         F.count(F.lit(1)).alias("_n_t"), F.avg(VALUE).alias("_mean"),
-        (F.max(VALUE) - F.min(VALUE)).alias("_range"), F.max(F.abs(VALUE)).alias("_amax")))
-    stats = years.agg(F.max("_n_t").alias("n"), F.max("_range").alias("r"), F.max("_amax").alias("m")).first()
-    n_max = stats["n"] or 1
-    # One bucket width per level for every year keeps the buckets of all
-    # pivots consistent; the widest band spans the largest yearly range.
-    full = max(stats["r"] or 0.0, ((stats["m"] or 0.0) + 1.0) * 1e-9)
+        (F.max(VALUE) - F.min(VALUE)).alias("_range"), F.max(F.abs(VALUE)).alias("_amax"))
     receivers = missing.select("a").distinct()
     if levels is None:
+        n_max = years.agg(F.max("_n_t")).first()[0] or 1
         if receivers.count() * n_max <= PAIR_BUDGET:
             levels = 0
         else:
@@ -147,6 +143,34 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
             # series of one indicator are strongly correlated).  Only speed
             # depends on it.
             levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
+    if levels == 0:
+        nearest = _all_donors_pass(missing, donors, present, entity, n_features, k)
+    else:
+        years = cut_lineage(years)
+        nearest = _band_search(missing, receivers, present, donors, years, entity, n_features, k, levels)
+    return (
+        missing.join(nearest, ["a", PERIOD], "left")
+        .join(years.select(PERIOD, "_mean"), PERIOD, "left")
+        .select(F.col("a").alias(entity), PERIOD,
+                F.coalesce("_knn", "_mean").alias("imputed"),
+                F.coalesce("n_donors", F.lit(0)).alias("n_donors"))
+    )
+
+
+def _all_donors_pass(open_cells: DataFrame, donors: DataFrame, present: DataFrame, entity: str,
+                     n_features: int, k: int) -> DataFrame:
+    """Exact pass over every donor of the year for the given missing cells."""
+    pairs = open_cells.join(donors, PERIOD).select("a", "b").distinct()
+    return _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k).drop("_kth")
+
+
+def _band_search(missing: DataFrame, receivers: DataFrame, present: DataFrame, donors: DataFrame,
+                 years: DataFrame, entity: str, n_features: int, k: int, levels: int) -> DataFrame:
+    """Band levels of :func:`knn_fill`; returns (a, _period, _knn, n_donors) for every settled cell."""
+    stats = years.agg(F.max("_range").alias("r"), F.max("_amax").alias("m")).first()
+    # One bucket width per level for every year keeps the buckets of all
+    # pivots consistent; the widest band spans the largest yearly range.
+    full = max(stats["r"] or 0.0, ((stats["m"] or 0.0) + 1.0) * 1e-9)
     rcells = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va")).join(
         receivers, "a", "left_semi")
     order = Window.partitionBy("a").orderBy(F.col("_n_t").desc(), F.col(PERIOD).asc())
@@ -154,22 +178,23 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
         rcells.join(years.select(PERIOD, "_n_t"), PERIOD)
         .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= N_PIVOTS)
         .select("a", "_r", F.col(PERIOD).alias("p"), F.col("va").alias("ap")))
+    pcols = [f"_p{r}" for r in range(1, N_PIVOTS + 1)]
     wide_piv = pivots.groupBy("a").agg(*[
         c for r in range(1, N_PIVOTS + 1) for c in (
             F.max(F.when(F.col("_r") == r, F.col("p"))).alias(f"_p{r}"),
             F.max(F.when(F.col("_r") == r, F.col("ap"))).alias(f"_ap{r}"))])
     # Donors lacking every pivot of a receiver, per distinct pivot set.
-    sets = wide_piv.select(*[f"_p{r}" for r in range(1, N_PIVOTS + 1)]).distinct().withColumn(
-        "_set", F.concat_ws(",", *[F.col(f"_p{r}").cast("string") for r in range(1, N_PIVOTS + 1)]))
-    set_years = sets.select("_set", F.explode(F.array(*[F.col(f"_p{r}") for r in range(1, N_PIVOTS + 1)]))
-                            .alias("p")).where(F.col("p").isNotNull())
+    sets = wide_piv.select(*pcols).distinct().withColumn(
+        "_set", F.concat_ws(",", *[F.col(c).cast("string") for c in pcols]))
+    set_years = sets.select("_set", F.explode(F.array(*[F.col(c) for c in pcols])).alias("p")).where(
+        F.col("p").isNotNull())
     set_size = set_years.groupBy("_set").agg(F.count(F.lit(1)).alias("_size"))
     blind = (set_years.join(missing.select(F.col("a").alias("b"), F.col(PERIOD).alias("p")), "p")
              .groupBy("_set", "b").agg(F.count(F.lit(1)).alias("_hits"))
              .join(set_size, "_set").where(F.col("_hits") == F.col("_size")).select("_set", "b"))
     # A receiver with fewer present years than pivots has NULL pivots and no
     # set match; rightly so, a donor lacking all its years shares none of them.
-    receiver_set = wide_piv.join(sets, [f"_p{r}" for r in range(1, N_PIVOTS + 1)], "left").select("a", "_set")
+    receiver_set = wide_piv.join(sets, pcols, "left").select("a", "_set")
     by_year = donors.select("b", F.col(PERIOD).alias("p"), F.col("vb").alias("bp"))
 
     open_cells = missing
@@ -190,8 +215,8 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
             vals = by_year.select("b", F.col("p").alias(f"_p{r}"), F.col("bp").alias(f"_bp{r}"))
             cand = cand.join(vals, ["b", f"_p{r}"], "left").where(
                 F.col(f"_bp{r}").isNull() | (F.abs(F.col(f"_ap{r}") - F.col(f"_bp{r}")) <= w))
-        pairs = cand.select("a", "b")
-        near = _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k)
+        near = _nearest(open_cells, _pair_distances_for(cand.select("a", "b"), present, entity, n_features),
+                        donors, k)
         # The margin keeps the test exact under rounding: every donor at most
         # the k-th distance away is then strictly inside the +-1 buckets.
         done = cut_lineage(near.where(
@@ -201,20 +226,11 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
         if open_cells.isEmpty():
             break
     else:
-        # Final pass: every donor of the year for the cells still open (exact).
-        pairs = open_cells.join(donors, PERIOD).select("a", "b").distinct()
-        last = _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k)
-        settled.append(last.drop("_kth"))
-    nearest = settled[0]
+        settled.append(_all_donors_pass(open_cells, donors, present, entity, n_features, k))
+    out = settled[0]
     for more in settled[1:]:
-        nearest = nearest.unionByName(more)
-    return (
-        missing.join(nearest, ["a", PERIOD], "left")
-        .join(years.select(PERIOD, "_mean"), PERIOD, "left")
-        .select(F.col("a").alias(entity), PERIOD,
-                F.coalesce("_knn", "_mean").alias("imputed"),
-                F.coalesce("n_donors", F.lit(0)).alias("n_donors"))
-    )
+        out = out.unionByName(more)
+    return out
 
 
 def knn_impute(wide: DataFrame, ids: Sequence[str], entity: str, k: int = 2,
