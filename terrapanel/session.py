@@ -17,6 +17,27 @@ DEFAULT_CONF = {
 }
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition settings sized to the input so each task handles ~``partition_bytes``.
+
+    The largest shuffle of this package is the row-level enrichment of the
+    readings (a fraction of the input), so the initial shuffle partition
+    count is the input over the target size; AQE then coalesces small
+    partitions and splits skewed ones (a key holding a third of the rows is
+    cut into target-sized pieces).  Scans read ``partition_bytes`` splits.
+    """
+    n = max(200, int(input_bytes // partition_bytes))
+    advisory = partition_bytes // 2
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(
     master: str = "local[*]",
     shuffle_partitions: int = 8,
