@@ -17,23 +17,25 @@ DEFAULT_CONF = {
 }
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Partition settings sized to the input so each task handles ~``partition_bytes``.
-
-    The largest shuffle of this package is the row-level enrichment of the
-    readings (a fraction of the input), so the initial shuffle partition
-    count is the input over the target size; AQE then coalesces small
-    partitions and splits skewed ones (a key holding a third of the rows is
-    cut into target-sized pieces).  Scans read ``partition_bytes`` splits.
+def scale_settings(input_bytes: int, split_bytes: int = 512 * 1024 * 1024,
+                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Partition settings sized to the input.
+
+    Scans read ``split_bytes`` splits.  The largest shuffle of this package
+    is the row-level enrichment of the readings (the pruned columns, a
+    fraction of the input), so about 1 GB of input per reducer keeps shuffle
+    partitions at a few hundred MB; the count is capped because the driver
+    tracks map outputs per (map task, reducer).  AQE coalesces partitions of
+    the small aggregates and splits skewed ones (a key holding a third of the
+    rows is cut into advisory-sized pieces).
     """
-    n = max(200, int(input_bytes // partition_bytes))
-    advisory = partition_bytes // 2
+    n = min(max(200, int(input_bytes // (1024 ** 3))), max_shuffle_partitions)
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     }
 
