@@ -80,3 +80,31 @@ def test_differencing_is_inverted_by_the_recursion(ys, d, big_d):
     delta = difference_poly(order)
     w = np.convolve(ext, delta)[len(delta) - 1:len(ext)]
     assert np.allclose(w[len(y) - (len(delta) - 1):], 0.0, atol=1e-6)
+
+
+coords = st.tuples(st.floats(min_value=-90, max_value=90, allow_nan=False),
+                   st.floats(min_value=-180, max_value=180, allow_nan=False))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(coords, min_size=1, max_size=40), st.lists(coords, min_size=1, max_size=15),
+       st.sampled_from([None, 0.01, 0.3]))
+def test_nearest_place_equals_brute_force(spark, places, points, edge):
+    from terrapanel.operators.geo import nearest_place
+    from tests.test_geo_map import _brute
+
+    rows = [(i, float(la), float(lo), "X") for i, (la, lo) in enumerate(places)]
+    rows += [(1000 + i, float(la), float(lo), "Y") for i, (la, lo) in enumerate(places[:3])]  # duplicates
+    pts = sorted({(float(la), float(lo)) for la, lo in points} | {(90.0, 0.0), (0.0, -180.0)})
+    pl = spark.createDataFrame(rows, "place_id long, latitude double, longitude double, cc string")
+    pt = spark.createDataFrame(pts, "latitude double, longitude double")
+    got = {(r.latitude, r.longitude): r.place_id for r in nearest_place(pt, pl, edge).collect()}
+    assert got == _brute(pts, rows)
+
+
+def test_scale_settings_bounds():
+    from terrapanel.session import scale_settings
+
+    small, big = scale_settings(10 * 1024 ** 3), scale_settings(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "50000"
