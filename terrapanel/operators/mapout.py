@@ -12,7 +12,7 @@ ORANGE_BELOW = 10.0
 RADIUS = 5
 OUTLINE = "grey"
 FILL_OPACITY = 0.7
-POPUP_TEMPLATE = "Country : %s<br>\n                    Average co2 emission(kt) : %.2f<br>"
+POPUP_TEMPLATE = "Country : %s<br>\n                    Average co2 emission(kt) : %s<br>"
 
 
 def code_merge(points: DataFrame, values: DataFrame, key: str = "code_3") -> DataFrame:
@@ -31,7 +31,10 @@ def emission_class(co2: Column | str) -> Column:
 
 
 def popup_text(country: Column | str, co2: Column | str) -> Column:
-    return F.format_string(POPUP_TEMPLATE, country, co2)
+    """Popup text; the average is printed in its shortest round-trip form
+    (Spark switches to E-notation from 1e7 and below 1e-3)."""
+    co2 = F.col(co2) if isinstance(co2, str) else co2
+    return F.format_string(POPUP_TEMPLATE, country, co2.cast("string"))
 
 
 def point_features(merged: DataFrame, name: str = "Country", co2: str = "co2") -> DataFrame:

@@ -355,8 +355,8 @@ merged AS (SELECT trim(p.code_3) AS code_3, p.Country, p.Latitude, p.Longitude,
            FROM pts p JOIN cpc c ON trim(p.code_3) = trim(c.code_3)),
 feat AS (SELECT code_3, Country AS country, Latitude AS latitude, Longitude AS longitude,
                 CAST(5 AS BIGINT) AS radius,
-                printf('Country : %s<br>' || chr(10) || '                    Average co2 emission(kt) : %.2f<br>',
-                       Country, co2) AS popup,
+                printf('Country : %s<br>' || chr(10) || '                    Average co2 emission(kt) : %s<br>',
+                       Country, CAST(co2 AS VARCHAR)) AS popup,
                 CASE WHEN co2 < 2 THEN 'green' WHEN co2 >= 2 AND co2 < 10 THEN 'orange' ELSE 'red' END
                   AS fill_color,
                 'grey' AS color, CAST(0.7 AS DOUBLE) AS fill_opacity
