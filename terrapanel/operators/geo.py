@@ -111,7 +111,9 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
             F.min(F.struct("_chord", "place_id", "cc")).alias("_b")).select(
             "latitude", "longitude", F.col("_b.place_id").alias("place_id"),
             F.col("_b.cc").alias("cc"), F.col("_b._chord").alias("chord")))
-        accepted = best if last else best.where(F.col("chord") <= edge)
+        # The margin keeps the test exact under rounding of the cube indices:
+        # a place at most the accepted chord away is strictly inside +-1 cubes.
+        accepted = best if last else best.where(F.col("chord") <= edge * (1.0 - 1e-9))
         found.append(accepted)
         if last:
             break
