@@ -29,8 +29,16 @@ D = "CAST({} AS DOUBLE)".format
 
 
 def r6(expr: str) -> str:
-    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does.
-    return f"(round({expr}, 6) + 0.0)"
+    """Round as Spark does in ``tidy``: to 9 places, then to 6 on the decimal text.
+
+    Spark rounds the shortest decimal form of a double half-up; DuckDB's
+    ``round`` works on the binary value, so a tie such as 6.4565625 would go
+    the other way.  Rounding the decimal text makes both engines agree, and
+    the first step absorbs last-bit noise from summation order.  "+ 0.0"
+    turns -0.0 into 0.0.
+    """
+    return (f"(CAST(round(CAST(CAST(round({expr}, 9) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE)"
+            f" + 0.0)")
 
 
 _WEIGHTS = ", ".join(f"('{k}', {v})" for k, v in FLAG_HOURS.items())
