@@ -58,6 +58,7 @@ from terrapanel.operators.series import (
     score,
     seasonal_difference,
     seasonal_naive,
+    split_by_date,
     split_by_position,
 )
 from terrapanel.operators.stats import corr_sql, moments, zscore_by, zscore_global
@@ -86,6 +87,8 @@ KNN_K = 2
 # Positional split of the monthly series: six whole years to train on, then
 # the following ten months held out (the final, partial month is left out).
 N_TRAIN, N_TEST = 72, 10
+# The same split by calendar: train through Dec 2000, test Jan-Oct 2001.
+TRAIN_END, TEST_END = "2000-12-01", "2001-10-01"
 # Candidate orders of the model search, per series (the chosen ones included).
 ORDER_GRID = {
     "temperature": [TEMPERATURE_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
@@ -311,6 +314,10 @@ def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(_split(spark, sf).select(SERIES, MONTH, VALUE, "position", "split"))
 
 
+def train_test_split_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(split_by_date(_series(spark, sf), TRAIN_END, TEST_END).select(SERIES, MONTH, VALUE, "split"))
+
+
 def seasonal_difference_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(seasonal_difference(_series(spark, sf)).select(SERIES, MONTH, VALUE, "diff"))
 
@@ -491,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "indicator_long": indicator_long,
     "indicator_cleaned": indicator_cleaned,
     "train_test_split": train_test_split,
+    "train_test_split_by_date": train_test_split_by_date,
     "seasonal_difference": seasonal_difference_q,
     "lag_features": lag_features_q,
     "month_axis": month_axis_q,

@@ -462,6 +462,10 @@ SELECT CAST(floor(latitude / 30.0) AS BIGINT) AS cell_lat, CAST(floor(longitude
 FROM feat GROUP BY 1, 2"""),
     "train_test_split": _ser(f"""
 SELECT series, {_month()}, {r6('value')} AS value, position, split FROM sp"""),
+    "train_test_split_by_date": _ser(f"""
+SELECT series, {_month()}, {r6('value')} AS value,
+       CASE WHEN month <= DATE '2000-12-01' THEN 'train' ELSE 'test' END AS split
+FROM ml WHERE month <= DATE '2001-10-01'"""),
     "seasonal_difference": _ser(f"""
 SELECT series, {_month()}, {r6('value')} AS value,
        {r6('value - lag(value, 1) OVER w - lag(value, 12) OVER w + lag(value, 13) OVER w')} AS diff
