@@ -346,7 +346,7 @@ def holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(score(seasonal_naive(_split(spark, sf))))
 
 
-def _reference_orders(spark: SparkSession) -> DataFrame:
+def _chosen_orders(spark: SparkSession) -> DataFrame:
     return order_table(spark, {"temperature": [TEMPERATURE_ORDER],
                                "precipitation": [PRECIPITATION_ORDER]})
 
@@ -360,19 +360,19 @@ def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame, key: str)
 
 
 def seasonal_arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    fc = _holdout_forecast(spark, sf, _reference_orders(spark), "chosen")
+    fc = _holdout_forecast(spark, sf, _chosen_orders(spark), "chosen")
     return tidy(fc.select(SERIES, "order_label", MONTH, "step", "yhat", "actual", "sigma2"))
 
 
 def sarima_holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
-    fc = _holdout_forecast(spark, sf, _reference_orders(spark), "chosen").withColumnRenamed("yhat", "predicted")
+    fc = _holdout_forecast(spark, sf, _chosen_orders(spark), "chosen").withColumnRenamed("yhat", "predicted")
     return tidy(score(fc.where(F.col("actual").isNotNull()), keys=["order_label"]))
 
 
 def forecast_long_range(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
     train = split.where(F.col("split") == "train")
-    fc = fit_forecast(train, _reference_orders(spark), LONG_HORIZON)
+    fc = fit_forecast(train, _chosen_orders(spark), LONG_HORIZON)
     yhat = F.when(F.col(SERIES) == "temperature", fahrenheit_to_celsius("yhat")).otherwise(F.col("yhat"))
     return tidy(fc.select(SERIES, MONTH, F.date_format(MONTH, "MMM-yy").alias("label"), "step",
                           yhat.alias("yhat")))

@@ -73,7 +73,7 @@ def test_group_betas_match_lstsq(spark):
             list(beta), abs=1e-7)
 
 
-def _dense_reference(pdf, lam=1.0):
+def _dense_build(pdf, lam=1.0):
     """The pooled statistic built densely: drop-first dummies, ddof-0 z-scores, ridge with bias."""
     import pandas as pd
 
@@ -97,7 +97,7 @@ def _dense_reference(pdf, lam=1.0):
 
 def test_pooled_effects_match_dense(spark):
     pdf = _panel(spark).toPandas()
-    ref = _dense_reference(pdf)
+    ref = _dense_build(pdf)
     coef, tests = pooled_effects(_panel(spark))
     coef = {(r.target, r.term): r.beta for r in coef.collect()}
     for target in ["temperature", "precipitation"]:
@@ -139,7 +139,7 @@ def test_pooled_spread_closed_form():
 
 def test_pooled_predictions_match_dense(spark):
     pdf = _panel(spark).toPandas().sort_values(["country_code", "year"]).reset_index(drop=True)
-    ref = _dense_reference(pdf)
+    ref = _dense_build(pdf)
     got = pooled_predictions(_panel(spark)).toPandas().sort_values(["country_code", "year"])
     for target in ["temperature", "precipitation"]:
         pred, sq = ref["pred_" + target]
