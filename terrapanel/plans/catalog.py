@@ -71,6 +71,7 @@ from terrapanel.plans.common import (
     tidy,
     weather_by_country_year,
 )
+from terrapanel.session import application_key
 from terrapanel.sources import tables
 from terrapanel.streaming.rollup import run_country_year_stream
 
@@ -246,14 +247,23 @@ def ridge_tests_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(ridge_tests(panel(spark, sf)))
 
 
+_POOLED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def _pooled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """One fixed-effects solve per session and input, shared by its result tables."""
+    key = (application_key(spark), sf)
+    if key not in _POOLED:
+        _POOLED[key] = pooled_effects(panel(spark, sf))
+    return _POOLED[key]
+
+
 def pooled_effects_coefficients(spark: SparkSession, sf: str) -> DataFrame:
-    coefficients, _ = pooled_effects(panel(spark, sf))
-    return tidy(coefficients)
+    return tidy(_pooled(spark, sf)[0])
 
 
 def pooled_effects_tests(spark: SparkSession, sf: str) -> DataFrame:
-    _, tests = pooled_effects(panel(spark, sf))
-    return tidy(tests)
+    return tidy(_pooled(spark, sf)[1])
 
 
 # --- indicators -------------------------------------------------------------
