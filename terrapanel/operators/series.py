@@ -161,6 +161,19 @@ def _fit_group(horizon: int):
     return fit
 
 
+def _ship_code_with_udfs() -> None:
+    """Pickle this package's functions by value inside UDFs.
+
+    The grouped fit then carries its own code to the Python workers, which
+    need not have the package installed or on their path (only numpy and
+    pandas).
+    """
+    import terrapanel
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(terrapanel)
+
+
 def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int) -> DataFrame:
     """Fit every (series, order) pair on ``train`` and forecast ``horizon`` months ahead.
 
@@ -169,6 +182,7 @@ def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int) -> DataFrame
     pair is one ``applyInPandas`` group, so the fits spread over the cluster.
     Output: series, order_label, month, step, yhat and the fit statistics.
     """
+    _ship_code_with_udfs()
     grid = train.select(SERIES, MONTH, VALUE).join(orders, SERIES)
     fitted = grid.groupBy(SERIES, "order_label").applyInPandas(_fit_group(horizon), FORECAST_SCHEMA)
     return fitted.withColumn(MONTH, F.add_months("origin", F.col("step"))).drop("origin")
