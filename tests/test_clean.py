@@ -87,3 +87,31 @@ def test_month_series_keeps_blank_coordinates(spark):
             (2, dt.date(1960, 1, 6), 1.0, 1.0, 20.0, 0.0, "A", 0.0, "X")]
     r = month_series(clean_observations(_obs(spark, rows))).collect()[0]
     assert (r.year, r.month, r.temperature, r.n_obs) == (1960, 1, 15.0, 2)
+
+
+def test_hot_station_rolls_up_through_partial_sums(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    # station 0 holds a third of all readings
+    rows = [(0, dt.date(1960, 1 + i % 12, 1 + i % 28), 1.0, 1.0, 40.0 + i % 7, 0.1 * (i % 5), "A", 0.0, "HOT")
+            for i in range(600)]
+    rows += [(1 + i % 40, dt.date(1960, 1 + i % 12, 1), 2.0, 2.0, 50.0 + i % 3, 0.2, "B", 1.0, "C%d" % (i % 4))
+             for i in range(1200)]
+    df = _obs(spark, rows)
+    stations = df.select("station", "latitude", "longitude", "country_code").distinct()
+    days = df.drop("latitude", "longitude", "country_code")
+    fast = country_year_via_stations(clean_observations(days), stations)
+    slow = country_year(clean_observations(df, require_coordinates=True))
+    key = lambda r: (r.country_code, r.year, round(r.temperature, 9), round(r.precipitation, 9), r.n_obs)
+    assert sorted(map(key, fast.collect())) == sorted(map(key, slow.collect()))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        fast.explain()
+    plan = buf.getvalue()
+    # the readings reach their exchange on (station, year) only as partial sums
+    import re
+    m = re.search(r"Exchange hashpartitioning\(station#\d+L?, year#\d+", plan)
+    assert m is not None
+    below = plan[m.end():].split("Exchange", 1)[0]
+    assert "partial_sum(temperature" in below
