@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from terrapanel.llm.bpe import round_trip
 from terrapanel.llm.chat import format_segments, read_segments
 from terrapanel.llm.common import documents
+from terrapanel.llm.langid import identify
+from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
 
 SHARDS = 16
@@ -38,6 +40,14 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_segments(format_segments(rows.unionByName(extra)))
 
 
+def op6_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), SHARDS)
 
@@ -45,5 +55,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_chat_format": op3_chat_format,
+    "op6_quality_lines": op6_quality_lines,
+    "op7_language": op7_language,
     "op10_byte_shards": op10_byte_shards,
 }
