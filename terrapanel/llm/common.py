@@ -109,11 +109,11 @@ def window_codes(codes: np.ndarray, length: int) -> np.ndarray:
     n = len(codes) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(length):
-            out = mix(out * _FACTOR + codes[j : j + n])
-    return out
+    out = codes[:n].copy()
+    for j in range(1, length):
+        out *= _FACTOR
+        out += codes[j : j + n]
+    return mix(out)
 
 
 def shingle_codes(codes: np.ndarray, length: int = SHINGLE_WORDS) -> np.ndarray:

@@ -13,6 +13,7 @@ from terrapanel.llm.common import documents
 from terrapanel.llm.langid import identify
 from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
+from terrapanel.llm.substrings import remove_repeats
 
 SHARDS = 16
 
@@ -27,6 +28,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), tokenizer_path())
 
@@ -53,6 +58,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_chat_format": op3_chat_format,
     "op6_quality_lines": op6_quality_lines,
