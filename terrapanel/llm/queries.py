@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrapanel.llm.bpe import round_trip
 from terrapanel.llm.chat import format_segments, read_segments
 from terrapanel.llm.common import documents
+from terrapanel.llm.fingerprints import with_edited
 from terrapanel.llm.langid import identify
 from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
@@ -45,6 +46,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_segments(format_segments(rows.unionByName(extra)))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_edited(documents(spark, sf_dir))
+
+
 def op6_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
@@ -61,6 +66,7 @@ LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_chat_format": op3_chat_format,
+    "op5_fingerprints": op5_fingerprints,
     "op6_quality_lines": op6_quality_lines,
     "op7_language": op7_language,
     "op10_byte_shards": op10_byte_shards,
