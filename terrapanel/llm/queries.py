@@ -12,6 +12,8 @@ from terrapanel.llm.chat import format_segments, read_segments
 from terrapanel.llm.common import documents
 from terrapanel.llm.fingerprints import with_edited
 from terrapanel.llm.langid import identify
+from terrapanel.llm.neardup import near_duplicates
+from terrapanel.llm.pii import find
 from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
 from terrapanel.llm.substrings import remove_repeats
@@ -46,6 +48,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_segments(format_segments(rows.unionByName(extra)))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edited(documents(spark, sf_dir))
 
@@ -58,6 +64,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(documents(spark, sf_dir))
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), SHARDS)
 
@@ -66,8 +76,10 @@ LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_chat_format": op3_chat_format,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_fingerprints": op5_fingerprints,
     "op6_quality_lines": op6_quality_lines,
     "op7_language": op7_language,
+    "op8_private_data": op8_private_data,
     "op10_byte_shards": op10_byte_shards,
 }
