@@ -13,6 +13,7 @@ from terrapanel.llm.common import documents
 from terrapanel.llm.fingerprints import with_edited
 from terrapanel.llm.langid import identify
 from terrapanel.llm.neardup import near_duplicates
+from terrapanel.llm.packing import pack
 from terrapanel.llm.pii import find
 from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
@@ -68,6 +69,10 @@ def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(documents(spark, sf_dir))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path())
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), SHARDS)
 
@@ -81,5 +86,6 @@ LLM_QUERIES = {
     "op6_quality_lines": op6_quality_lines,
     "op7_language": op7_language,
     "op8_private_data": op8_private_data,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
 }
