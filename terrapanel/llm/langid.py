@@ -184,3 +184,23 @@ def identify(docs: DataFrame) -> DataFrame:
     """Fit on the documents that are not held out and predict all: doc_id, held_out, lang_pred, score."""
     model = fit(docs.where(~held_out()))
     return predict(docs.select("doc_id", "text", held_out().alias("held_out")), model, ["doc_id", "held_out"])
+
+
+#: Documents below this score are rejected; what has letters of a learned language lies far above.
+MIN_SCORE = 0.25
+
+
+def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is known: not ``und``, and with a score of at least ``min_score``.
+
+    Without a single labelled row nothing can be told, and all rows with letters would be
+    ``und``; then all rows are returned.
+    """
+    model = fit(docs.where(~held_out()))
+    if not model.langs:
+        return docs
+    named = {f"_c{i}": c for i, c in enumerate(docs.columns)}
+    renamed = docs.select("text", *[F.col(f"`{c}`").alias(n) for n, c in named.items()])
+    told = predict(renamed, model, list(named))
+    known = told.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    return known.select(*[F.col(n).alias(c) for n, c in named.items()])

@@ -33,7 +33,7 @@ def tokenizer_path() -> str:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir), with_text=False)
+    return remove_repeats(documents(spark, sf_dir))
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

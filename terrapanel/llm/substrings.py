@@ -14,6 +14,7 @@ exchange serves every later level.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ WINDOW_WORDS = 13
 #: Document ids a block spans.
 BLOCK_IDS = 1024
 _NO_ID = -(2**63)
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _ENTRIES = "bucket int, block long, hashes binary, first binary"
 _ANSWERS = "block long, hashes binary, owner binary"
 
@@ -178,11 +180,11 @@ def _answers(entries: DataFrame, for_removal: bool) -> DataFrame:
     return entries.groupBy("bucket").applyInPandas(lambda rows: answer(rows, for_removal), _ANSWERS)
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
+def _prepared(docs: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     block = F.shiftright(doc_id, BLOCK_IDS.bit_length() - 1)  # rounds down, also below zero
     return docs.select(block.alias("block"), doc_id.alias("doc_id"), F.col("doc_id").isNull().alias("none"),
-                       whole_text().alias("text"))
+                       whole_text().alias("text"), *extra)
 
 
 def _repeated(docs: DataFrame, window: int, first: int, for_removal: bool) -> DataFrame:
@@ -197,8 +199,48 @@ def _repeated(docs: DataFrame, window: int, first: int, for_removal: bool) -> Da
     return _answers(entries, for_removal)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, with_text: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, if asked, kept_text: one row a row.
+def _kept(text: str, repeated: np.ndarray, owner: np.ndarray, doc_id: int, window: int) -> tuple[list[bytes], np.ndarray | None]:
+    """The words of a text and, if some go, the mask of those that do."""
+    words = text.encode().split()
+    if len(words) >= window and len(repeated):
+        codes = window_codes(worker_cache("word-codes", WordCodes).codes(words), window)
+        at = np.minimum(np.searchsorted(repeated, codes), len(repeated) - 1)
+        starts = np.flatnonzero((repeated[at] == codes) & (owner[at] < doc_id))
+        if len(starts):
+            return words, covered(starts, window, len(words))
+    return words, None
+
+
+def _without(text: str, gone: np.ndarray) -> str:
+    """The text without these words and the white space behind each; the rest as it was."""
+    raw = text.encode()
+    starts = [m.start() for m in _WORD.finditer(raw)]
+    ends = [*starts[1:], len(raw)]
+    kept = b"".join(raw[a:b] for a, b, g in zip(starts, ends, gone.tolist(), strict=True) if not g)
+    return (raw[: starts[0]] + kept).decode()
+
+
+def _removal(docs: DataFrame, window: int, extra: list[str], function: Callable, schema: str) -> DataFrame:
+    """``function(doc_ids, texts, repeated, owner)`` makes new columns from the texts of a block; ``extra`` go along as they are."""
+    import pyarrow as pa
+
+    prepared = _prepared(docs, extra)
+    answers = _repeated(prepared, window, -(-window // 2), True)
+
+    def run(block, told):
+        repeated, owner = _told(told.to_pandas())
+        new = function(block["doc_id"].to_pylist(), block["text"].to_pylist(), repeated, owner)
+        columns = {c: block[c] for c in ["doc_id", "none", *extra]} | {c: pa.array(v, t) for c, (v, t) in new.items()}
+        return pa.table(columns)
+
+    ship()
+    types = ", ".join(f"`{c}` {prepared.schema[c].dataType.simpleString()}" for c in ["doc_id", "none", *extra])
+    met = prepared.groupBy("block").cogroup(answers.groupBy("block"))
+    return met.applyInArrow(run, f"{types}, {schema}").withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space): one row a row.
 
     A word goes if it lies in a window of ``window`` words that also starts in a document with a
     smaller doc_id; all windows are judged on the input.  Null texts have no words, texts shorter
@@ -208,30 +250,46 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, with_text: bool
     The doubling ends at ``window``: longer repeats consist of repeated windows, so they
     remove nothing more (see :func:`longest_repeats` for their lengths).
     """
-    prepared = _prepared(docs)
-    answers = _repeated(prepared, window, -(-window // 2), True)
+    import pyarrow as pa
 
-    def run(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        repeated, owner = _told(told)
-        rows = []
-        for doc_id, none, text in zip(texts["doc_id"], texts["none"], texts["text"], strict=True):
-            words = text.encode().split()
-            n = len(words)
-            if n >= window and len(repeated):
-                codes = window_codes(worker_cache("word-codes", WordCodes).codes(words), window)
-                at = np.minimum(np.searchsorted(repeated, codes), len(repeated) - 1)
-                starts = np.flatnonzero((repeated[at] == codes) & (owner[at] < doc_id))
-                if len(starts):
-                    gone = covered(starts, window, n)
-                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-            kept = b" ".join(words)
-            rows.append((doc_id, none, n, n - len(words), hashlib.sha256(kept).hexdigest(), *[kept.decode()] * with_text))
-        names = ["doc_id", "none", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
-        return pd.DataFrame(rows, columns=names)
-
-    schema = "doc_id long, none boolean, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    out = _meet(prepared, answers, run, schema)
-    return out.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+    def digest(ids: list, texts: list, repeated: np.ndarray, owner: np.ndarray) -> dict:
+        n_words, n_removed, sha = [], [], []
+        for doc_id, text in zip(ids, texts, strict=True):
+            words, gone = _kept(text, repeated, owner, doc_id, window)
+            n_words.append(len(words))
+            n_removed.append(0 if gone is None else int(gone.sum()))
+            if gone is not None:
+                words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+            sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+        return {"n_words": (n_words, pa.int64()), "n_removed": (n_removed, pa.int64()), "kept_sha256": (sha, pa.string())}
+
+    return _removal(docs, window, [], digest, "n_words long, n_removed long, kept_sha256 string")
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """The rows of ``docs`` with the words that :func:`remove_repeats` names taken out of ``text``.
+
+    Each removed word goes with the white space behind it; other texts and all other columns stay.
+    """
+    import pyarrow as pa
+
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = {f"_c{i}": c for i, c in enumerate(others)}
+    renamed = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for n, c in named.items()])
+    renamed = renamed.withColumn("_null", F.col("text").isNull())
+
+    def texts(ids: list, texts: list, repeated: np.ndarray, owner: np.ndarray) -> dict:
+        out = []
+        for doc_id, text in zip(ids, texts, strict=True):
+            _, gone = _kept(text, repeated, owner, doc_id, window)
+            out.append(text if gone is None else _without(text, gone))
+        return {"kept_text": (out, pa.string())}
+
+    kept = _removal(renamed, window, [*named, "_null"], texts, "kept_text string")
+    doc_type = docs.schema["doc_id"].dataType
+    of = {c: F.col(n).alias(c) for n, c in named.items()}
+    of |= {"doc_id": F.col("doc_id").cast(doc_type), "text": F.when(~F.col("_null"), F.col("kept_text")).alias("text")}
+    return kept.select(*[of[c] for c in docs.columns])
 
 
 def longest_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
