@@ -82,7 +82,8 @@ def nearest_place(points: DataFrame, places: DataFrame, first_edge: float | None
     """
     pts = points.select("latitude", "longitude").where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).distinct()
-    pts = _with_xyz(pts)
+    # Materialised once: every level and every emptiness test would read the source again.
+    pts = cut_lineage(_with_xyz(pts))
     # Places sharing a position tie on distance and the smaller id wins, so
     # only that one is kept: a position holding a third of all places then
     # costs one row (the duplicates collapse in the map-side aggregate).

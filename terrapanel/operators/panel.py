@@ -90,6 +90,22 @@ def country_year_geocoded(sums: DataFrame, stations: DataFrame, codes: DataFrame
     return _finish(joined, ["country_code", "year"])
 
 
+def position_year_sums(clean: DataFrame) -> DataFrame:
+    """Partial sums per (latitude, longitude, year): the one pass over located readings.
+
+    Keyed by the position of each reading, not of its station, so a station that moved counts
+    where it stood and readings without a position count nowhere.
+    """
+    located = clean.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    return _partial_sums(located, ["latitude", "longitude", "year"])
+
+
+def country_year_by_position(sums: DataFrame, codes: DataFrame) -> DataFrame:
+    """Finish :func:`position_year_sums` per (country, year); ``codes`` as from :func:`~terrapanel.operators.geo.geocode`."""
+    joined = sums.join(codes.select("latitude", "longitude", "country_code"), ["latitude", "longitude"])
+    return _finish(joined, ["country_code", "year"])
+
+
 def month_series(clean: DataFrame) -> DataFrame:
     """Mean temperature and precipitation per (year, month) over all readings."""
     return clean.groupBy("year", "month").agg(

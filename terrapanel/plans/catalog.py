@@ -71,6 +71,7 @@ from terrapanel.plans.common import (
     tidy,
     weather_by_country_year,
 )
+from terrapanel.plans.study import country_panel
 from terrapanel.session import application_key
 from terrapanel.sources import tables
 from terrapanel.streaming.rollup import run_country_year_stream
@@ -431,6 +432,20 @@ def geo_country_year_means(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(out)
 
 
+def study_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The end-to-end panel: readings placed by their own position, three separate indicator tables."""
+    iso = tables.iso_codes(spark, sf)
+
+    def indicator(name: str) -> DataFrame:
+        ind = tables.indicator_long(tables.indicators(spark, sf), name)
+        return ind.join(iso, F.col("country_code") == F.col("alpha_2")).select(
+            F.col("alpha_3").alias("country_code"), "year", name)
+
+    return tidy(shared(spark, sf, "study_panel", lambda: country_panel(
+        tables.observations(spark, sf), tables.gazetteer(spark, sf), iso,
+        indicator("co2"), indicator("energy"), indicator("population"))))
+
+
 def country_year_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The yearly roll-up computed incrementally by a streaming query."""
     return tidy(spark.read.parquet(run_country_year_stream(spark, sf)))
@@ -523,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "nearest_place_country": nearest_place_country,
     "country_code_lookup": country_code_lookup,
     "geo_country_year_means": geo_country_year_means,
+    "study_panel": study_panel,
     "country_year_stream": country_year_stream,
     "code_merge": code_merge_q,
     "emission_class": emission_class_q,

@@ -302,6 +302,11 @@ fill AS (
   FROM miss m LEFT JOIN nn ON nn.a = m.a AND nn.year = m.year LEFT JOIN ym ON ym.year = m.year)"""
 
 
+# The orders of the fixture span these years; a column for each, as views allow no dynamic pivot.
+_YEAR_COLUMNS = ", ".join(
+    f'max(CASE WHEN year = {y} THEN {r6("value")} END) AS "{y}"' for y in range(1995, 2002))
+
+
 def _ind(body: str) -> str:
     return sql(["gaps"], body, _IND.strip())
 
@@ -375,7 +380,78 @@ def _map(body: str) -> str:
     return sql(["gazetteer", "avgco2"], body, _MAP.strip())
 
 
+# The fixed-effects ridge from raw panel rows: a dense z-scored design with a bias column, normal
+# equations, Gauss-Jordan elimination by recursion, and the t tail from its finite series.
+_POOLED_FACTORS = ["co2", "energy", "population"]
+_POOLED_TARGETS = ["temperature", "precipitation"]
+_POOLED = f"""
+rows_ AS (SELECT row_number() OVER (ORDER BY country_code, year) AS r, * FROM panel),
+size_ AS (SELECT count(*) AS n FROM rows_),
+raw_ AS (
+  SELECT r, 'CC_' || l.country_code AS term, CAST(p.country_code = l.country_code AS INT) * 1.0::DOUBLE AS v
+  FROM rows_ p, (SELECT DISTINCT country_code FROM panel WHERE country_code > (SELECT min(country_code) FROM panel)) l
+  UNION ALL
+  SELECT r, 'YEAR_' || CAST(l.year AS VARCHAR), CAST(p.year = l.year AS INT) * 1.0::DOUBLE
+  FROM rows_ p, (SELECT DISTINCT year FROM panel WHERE year > (SELECT min(year) FROM panel)) l
+  {" ".join(f"UNION ALL SELECT r, '{f}', {f} FROM rows_" for f in _POOLED_FACTORS)}),
+target_ AS (
+  {" UNION ALL ".join(f"SELECT r, '{t}' AS target, ({t} - avg({t}) OVER ()) / stddev_pop({t}) OVER () AS y FROM rows_" for t in _POOLED_TARGETS)}),
+design_ AS (
+  SELECT r, term, (v - avg(v) OVER (PARTITION BY term)) / stddev_pop(v) OVER (PARTITION BY term) AS x FROM raw_
+  UNION ALL SELECT r, 'intercept', 1.0::DOUBLE FROM rows_),
+number_ AS (SELECT term, row_number() OVER (ORDER BY term) AS i FROM (SELECT DISTINCT term FROM design_)),
+entry_ AS (
+  SELECT a.term AS row_term, n.i AS j, sum(a.x * b.x) + CASE WHEN a.term = b.term THEN 1 ELSE 0 END AS v
+  FROM design_ a JOIN design_ b ON a.r = b.r JOIN number_ n ON n.term = b.term GROUP BY a.term, b.term, n.i
+  UNION ALL
+  SELECT a.term, (SELECT count(*) FROM number_) + CASE WHEN t.target = '{_POOLED_TARGETS[0]}' THEN 1 ELSE 2 END, sum(a.x * t.y)
+  FROM design_ a JOIN target_ t ON a.r = t.r GROUP BY a.term, t.target),
+line_ AS (SELECT n.i, list(e.v ORDER BY e.j) AS v FROM entry_ e JOIN number_ n ON n.term = e.row_term GROUP BY n.i),
+gauss_ AS (
+  SELECT 0 AS k, list(v ORDER BY i) AS m FROM line_
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, len(m) + 1), lambda i:
+           CASE WHEN i = k + 1 THEN list_transform(m[i], lambda v: v / m[k + 1][k + 1])
+           ELSE list_transform(range(1, len(m[1]) + 1), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+  FROM gauss_ WHERE k < len(m)),
+solved_ AS (SELECT m FROM gauss_ WHERE k = len(m)),
+beta_ AS (
+  SELECT t.target, n.term, s.m[n.i][len(s.m) + t.c] AS beta
+  FROM solved_ s, number_ n, (VALUES ('{_POOLED_TARGETS[0]}', 1), ('{_POOLED_TARGETS[1]}', 2)) t(target, c)),
+fit_ AS (
+  SELECT d.r, b.target, sum(d.x * b.beta) AS pred FROM design_ d JOIN beta_ b ON b.term = d.term GROUP BY d.r, b.target),
+miss_ AS (SELECT f.r, f.target, f.pred, pow(f.pred - t.y, 2) AS sq FROM fit_ f JOIN target_ t ON t.r = f.r AND t.target = f.target),
+cells_ AS (SELECT sum(pow(x - (SELECT avg(x) FROM design_), 2)) AS spread FROM design_),
+se_ AS (
+  SELECT target, CAST(n - 8 AS BIGINT) AS dof, sqrt(sum(sq) / (n - 8) / (SELECT spread FROM cells_)) AS se
+  FROM miss_, size_ GROUP BY target, n),
+test_ AS (
+  SELECT b.target, b.term AS factor, b.beta, s.se, s.dof, b.beta / s.se AS t, atan(abs(b.beta / s.se) / sqrt(s.dof)) AS a
+  FROM beta_ b JOIN se_ s ON s.target = b.target
+  WHERE b.term IN ({", ".join(f"'{f}'" for f in _POOLED_FACTORS)})),
+tail_ AS (
+  SELECT *, 0.5 - 0.5 * CASE WHEN dof % 2 = 0
+    THEN sin(a) * list_sum(list_transform(range(0, dof // 2), lambda j:
+           exp(lgamma(j + 0.5) - lgamma(j + 1)) / sqrt(pi()) * pow(cos(a), 2 * j)))
+    ELSE 2 / pi() * (a + sin(a) * coalesce(list_sum(list_transform(range(0, (dof - 1) // 2), lambda j:
+           sqrt(pi()) / 2 * exp(lgamma(j + 1) - lgamma(j + 1.5)) * pow(cos(a), 2 * j + 1))), 0)) END AS upper FROM test_)"""
+
+
+def _pooled(body: str) -> str:
+    return sql(["panel"], body, _POOLED.strip()).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 ORACLE: dict[str, str] = {
+    "pooled_effects_coefficients": _pooled(f"SELECT target, term, {r6('beta')} AS beta FROM beta_"),
+    "pooled_effects_tests": _pooled(f"""
+SELECT target, factor, {r6('beta')} AS beta, {r6('se')} AS se, dof, {r6('t')} AS t,
+       {r6('upper')} AS p_one_sided, {r6('2 * upper')} AS p_two_sided,
+       CASE WHEN upper < 0.05 THEN 'reject' ELSE 'accept' END AS decision FROM tail_"""),
+    "pooled_effects_predictions": _pooled(f"""
+SELECT w.country_code, CAST(w.year AS BIGINT) AS year, {r6('a.pred')} AS pred_temperature,
+       {r6('b.pred')} AS pred_precipitation, {r6('a.sq')} AS sq_err_temperature, {r6('b.sq')} AS sq_err_precipitation
+FROM rows_ w JOIN miss_ a ON a.r = w.r AND a.target = 'temperature'
+JOIN miss_ b ON b.r = w.r AND b.target = 'precipitation'"""),
     "obs_clean": sql(["clean"], f"""
 SELECT station, strftime(obs_date, '%Y-%m-%d') AS obs_date, country_code, CAST(year AS BIGINT) AS year,
        CAST(month AS BIGINT) AS month, {r6('temperature')} AS temperature,
@@ -445,6 +521,19 @@ SELECT c.country_code, CAST(k.year AS BIGINT) AS year, {r6('avg(k.temperature)')
        {r6('avg(k.precipitation)')} AS precipitation, {r6('sum(k.snow)')} AS snow, count(*) AS n_obs
 FROM clean k JOIN codes c ON k.latitude = c.latitude AND k.longitude = c.longitude
 GROUP BY c.country_code, k.year""", ["clean"]),
+    "study_panel": _geo(f"""
+SELECT w.country_code, CAST(w.year AS BIGINT) AS year, {r6('w.temperature')} AS temperature,
+       {r6('w.precipitation')} AS precipitation, {r6('c.co2')} AS co2, {r6('e.energy')} AS energy,
+       {r6('p.population')} AS population
+FROM (SELECT c.country_code, k.year, avg(k.temperature) AS temperature, avg(k.precipitation) AS precipitation
+      FROM clean k JOIN codes c ON k.latitude = c.latitude AND k.longitude = c.longitude
+      GROUP BY c.country_code, k.year) w
+JOIN (SELECT alpha_3, year, co2 FROM indicators JOIN iso_codes ON country_code = alpha_2 WHERE co2 IS NOT NULL) c
+  ON c.alpha_3 = w.country_code AND c.year = w.year
+JOIN (SELECT alpha_3, year, energy FROM indicators JOIN iso_codes ON country_code = alpha_2 WHERE energy IS NOT NULL) e
+  ON e.alpha_3 = w.country_code AND e.year = w.year
+JOIN (SELECT alpha_3, year, population FROM indicators JOIN iso_codes ON country_code = alpha_2) p
+  ON p.alpha_3 = w.country_code AND p.year = w.year""", ["clean", "indicators"]),
     "code_merge": _map(f"""
 SELECT code_3, Country, {r6('Latitude')} AS Latitude, {r6('Longitude')} AS Longitude, {r6('co2')} AS co2
 FROM merged"""),
@@ -489,11 +578,10 @@ SELECT series, {_month()}, {r6('actual')} AS actual, {r6('predicted')} AS predic
 SELECT series, {r6('avg(pow(actual - predicted, 2))')} AS mse, count(*) AS n_months
 FROM naive GROUP BY series"""),
     "indicator_min_present": _ind(f"""
-SELECT * FROM (PIVOT (
-  SELECT country_name AS "Country Name", country_id AS "Country Code",
-         '{INDICATOR_NAME}' AS "Indicator Name", '{INDICATOR_CODE}' AS "Indicator Code",
-         year, {r6('value')} AS value
-  FROM kc) ON year USING first(value))"""),
+SELECT country_name AS "Country Name", country_id AS "Country Code",
+       '{INDICATOR_NAME}' AS "Indicator Name", '{INDICATOR_CODE}' AS "Indicator Code",
+       {_YEAR_COLUMNS}
+FROM kc GROUP BY country_name, country_id"""),
     "indicator_pair_distance": _ind(f"""
 SELECT code_a, code_b, n_shared, {r6('distance')} AS distance FROM pd"""),
     "indicator_knn_imputed": _ind(f"""

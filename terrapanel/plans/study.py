@@ -26,9 +26,9 @@ from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.geo import geocode
 from terrapanel.operators.panel import (
     build_panel,
-    country_year_geocoded,
+    country_year_by_position,
     month_series,
-    station_year_sums,
+    position_year_sums,
 )
 from terrapanel.operators.rank import bottom_k, group_average, members_of, top_k
 from terrapanel.operators.regress import group_betas, pooled_effects, pooled_predictions
@@ -60,13 +60,12 @@ def country_panel(
 
     ``observations``: station, obs_date, latitude, longitude, temp, prcp,
     prcp_flag, snow_depth.  Indicator tables: country_code, year, and one
-    value column named ``co2`` / ``energy`` / ``population``.
+    value column named ``co2`` / ``energy`` / ``population``.  Only readings
+    with a position count, each where it was taken.  The readings are scanned
+    once: positions to look up come from the sums by position and year.
     """
-    clean = clean_observations(observations)
-    stations = observations.select("station", "latitude", "longitude").where(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).dropDuplicates(["station"])
-    codes = geocode(stations, places, iso)
-    wx = country_year_geocoded(station_year_sums(clean), stations, codes)
+    sums = cut_lineage(position_year_sums(clean_observations(observations, require_coordinates=True)))
+    wx = country_year_by_position(sums, geocode(sums, places, iso))
     panel = build_panel(wx.select("country_code", "year", "temperature", "precipitation"),
                         co2.where(F.col("co2").isNotNull()),
                         energy.where(F.col("energy").isNotNull()),

@@ -2,6 +2,7 @@
 
 import pytest
 
+from terrapanel.plans.catalog import QUERIES
 from tests.compare import compare
 from tests.conftest import SF001, SF01
 
@@ -19,14 +20,13 @@ def test_entry_smoke(spark):
 def test_every_query_has_sql_or_is_a_model_fit():
     from __spark_entry__ import oracle_sql, queries
 
-    without = set(queries()) - set(oracle_sql())
-    assert without == {"pooled_effects_coefficients", "pooled_effects_tests", "pooled_effects_predictions",
-                       "seasonal_arima_forecast",
-                       "sarima_holdout_mse", "forecast_long_range", "order_grid_rank"}
+    without = set(QUERIES) - set(oracle_sql())
+    assert set(QUERIES) <= set(queries())
+    assert without == {"seasonal_arima_forecast", "sarima_holdout_mse", "forecast_long_range", "order_grid_rank"}
 
 
 @pytest.mark.parametrize("sf_dir", [SF01, SF001])
 def test_queries_match_sql(spark, sf_dir):
-    report = compare(spark, sf_dir, verbose=False)
+    report = compare(spark, sf_dir, list(QUERIES), verbose=False)
     bad = {k: v for k, v in report.items() if not (v.startswith("OK") or "no oracle" in v)}
     assert not bad, bad

@@ -33,6 +33,35 @@ def test_hypothesis_and_betas(spark):
     assert betas.most_emitting.count() == min(10, c)
 
 
+def test_panel_places_each_reading_by_its_own_position(spark):
+    """A blank position counts nowhere, and a station that moved counts in both countries."""
+    obs = spark.createDataFrame(
+        [("s1", "1990-01-01", 10.0, 10.0, 50.0), ("s1", "1990-01-02", None, None, 90.0),
+         ("s2", "1990-01-01", 10.0, 10.0, 60.0), ("s2", "1990-01-02", -40.0, -70.0, 20.0)],
+        "station string, obs_date string, latitude double, longitude double, temp double",
+    ).selectExpr("station", "to_date(obs_date) obs_date", "latitude", "longitude", "temp",
+                 "1.0D prcp", "'A' prcp_flag", "0.0D snow_depth")
+    places = spark.createDataFrame([(1, 11.0, 10.0, "AA"), (2, -41.0, -70.0, "BB")],
+                                   "place_id long, latitude double, longitude double, cc string")
+    iso = spark.createDataFrame([("AA", "AAA"), ("BB", "BBB")], "alpha_2 string, alpha_3 string")
+
+    def indicator(name, value):
+        return spark.createDataFrame([("AAA", 1990, value), ("BBB", 1990, value)], f"country_code string, year int, {name} double")
+
+    seen = spark.sparkContext.accumulator(0)
+    schema = obs.schema
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    panel = country_panel(obs.mapInPandas(count, schema), places, iso, indicator("co2", 1.0),
+                          indicator("energy", 2.0), indicator("population", 3.0))
+    assert {r.country_code: r.temperature for r in panel.collect()} == {"AAA": 55.0, "BBB": 20.0}
+    assert seen.value == 4  # the readings are read once
+
+
 def test_monthly_forecast(spark):
     res = monthly_forecast(tables.observations(spark, SF01), 72, 10, horizon=24)
     hold = res.holdout.collect()
