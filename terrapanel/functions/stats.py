@@ -123,10 +123,6 @@ def apply_stages(df: DataFrame, stages: Sequence[dict[str, str]]) -> DataFrame:
     return df
 
 
-def stage_columns(stages: Sequence[dict[str, str]]) -> list[str]:
-    return [name for layer in stages for name in layer]
-
-
 def stages_as_ctes(source: str, stages: Sequence[dict[str, str]], prefix: str) -> tuple[str, str]:
     """Render ``stages`` as chained CTEs over relation ``source``.
 

@@ -368,7 +368,7 @@ def pooled_predictions(
         for i, nm in enumerate(names[:nd]):
             if nm.startswith(prefix):
                 level = nm[len(prefix):]
-                rows.append((int(level) if isinstance(key_type, T.IntegerType) else level,
+                rows.append((int(level) if isinstance(key_type, T.IntegralType) else level,
                              *[float(betas[t][i] / scales[nm][1]) for t in targets]))
         schema = T.StructType([T.StructField(key, key_type)]
                               + [T.StructField(f"_eff_{key}_{t}", T.DoubleType()) for t in targets])

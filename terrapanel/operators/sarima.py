@@ -7,8 +7,9 @@ Model: phi(B) Phi(B^s) (1-B)^d (1-B^s)^D y_t = theta(B) Theta(B^s) e_t, no
 trend.  The differenced series is filtered to residuals with pre-sample
 residuals set to 0 (conditional sum of squares) and the squared residuals
 are minimised by damped Gauss-Newton (Levenberg-Marquardt) with a
-forward-difference Jacobian, started from zero.  Forecasts run the full
-recursion with future innovations 0.
+forward-difference Jacobian, started from zero, over partial
+autocorrelations, which keeps AR stationary and MA invertible.  Forecasts run
+the full recursion with future innovations 0.
 """
 
 from __future__ import annotations
@@ -86,43 +87,74 @@ def residuals(w: np.ndarray, params: np.ndarray, order: Order) -> np.ndarray:
     return e[start:]
 
 
-def fit_css(w: np.ndarray, order: Order, max_iter: int = 100, tol: float = 1e-10) -> tuple[np.ndarray, float, int]:
-    """Least-squares parameters, sum of squared residuals and iterations used."""
+def _from_partial(raw: np.ndarray) -> np.ndarray:
+    """Coefficients c of a polynomial 1 - c1 B - c2 B^2 - ... with all roots outside the unit circle.
+
+    ``raw`` are any real numbers; their tanh, kept a little inside, are the partial
+    autocorrelations, and the Durbin-Levinson recursion makes coefficients of them, so every
+    ``raw`` is admissible.
+    """
+    coefs = np.zeros(0)
+    for r in 0.9999 * np.tanh(raw):
+        coefs = np.append(coefs - r * coefs[::-1], r)
+    return coefs
+
+
+def admissible(raw: np.ndarray, order: Order) -> np.ndarray:
+    """Stationary AR and invertible MA parameters of the unbounded search parameters."""
+    cuts = np.cumsum([order.p, order.P, order.q])
+    phi, seasonal_phi, theta, seasonal_theta = np.split(np.asarray(raw, float), cuts)
+    return np.concatenate([_from_partial(phi), _from_partial(seasonal_phi),
+                           -_from_partial(theta), -_from_partial(seasonal_theta)])
+
+
+def min_length(order: Order) -> int:
+    """Observations that one residual more than there are parameters needs."""
+    return order.d + order.s * order.D + order.p + order.s * order.P + order.n_params + 1
+
+
+def fit_css(w: np.ndarray, order: Order, max_iter: int = 1000, tol: float = 1e-9) -> tuple[np.ndarray, float, int, bool]:
+    """Least-squares parameters, sum of squared residuals, iterations used, and whether the search converged.
+
+    Damped Gauss-Newton over the unbounded parameters.  It has converged when a step improves the
+    sum by less than ``tol`` of it, or when no damped step improves it at all; ``max_iter``
+    steps without that are reported as not converged.
+    """
     k = order.n_params
-    params = np.zeros(k)
-    r = residuals(w, params, order)
+    raw = np.zeros(k)
+
+    def at(x: np.ndarray) -> np.ndarray:
+        return residuals(w, admissible(x, order), order)
+
+    r = at(raw)
     ssr = float(r @ r)
-    if k == 0 or len(r) <= k or ssr == 0.0:
-        return params, ssr, 0
-    mu = 1e-3
-    it = 0
+    if k == 0 or ssr == 0.0:
+        return admissible(raw, order), ssr, 0, True
+    mu, small = 1e-3, 0
     for it in range(1, max_iter + 1):
         jac = np.empty((len(r), k))
         for j in range(k):
-            h = 1e-6 * max(1.0, abs(params[j]))
-            bumped = params.copy()
+            h = 1e-6 * max(1.0, abs(raw[j]))
+            bumped = raw.copy()
             bumped[j] += h
-            jac[:, j] = (residuals(w, bumped, order) - r) / h
-        jtj = jac.T @ jac
-        grad = jac.T @ r
-        improved = False
-        for _ in range(20):
-            step = np.linalg.solve(jtj + mu * np.diag(np.diag(jtj) + 1e-12), -grad)
-            cand = params + step
-            rc = residuals(w, cand, order)
+            jac[:, j] = (at(bumped) - r) / h
+        jtj, grad = jac.T @ jac, jac.T @ r
+        scale = np.diag(np.diag(jtj) + 1e-9 * (1.0 + np.trace(jtj) / k))
+        while mu < 1e12:
+            cand = raw - np.linalg.solve(jtj + mu * scale, grad)
+            rc = at(cand)
             sc = float(rc @ rc)
             if np.isfinite(sc) and sc < ssr:
-                improved = True
                 break
             mu *= 4.0
-        if not improved:
-            break
-        rel = (ssr - sc) / max(ssr, 1e-300)
-        params, r, ssr = cand, rc, sc
+        else:
+            return admissible(raw, order), ssr, it, True
+        small = small + 1 if ssr - sc < tol * ssr else 0
+        raw, r, ssr = cand, rc, sc
         mu = max(mu / 3.0, 1e-12)
-        if rel < tol:
-            break
-    return params, ssr, it
+        if small == 3:
+            return admissible(raw, order), ssr, it, True
+    return admissible(raw, order), ssr, max_iter, False
 
 
 def forecast(y: np.ndarray, params: np.ndarray, order: Order, horizon: int) -> np.ndarray:
@@ -151,19 +183,28 @@ def forecast(y: np.ndarray, params: np.ndarray, order: Order, horizon: int) -> n
 
 
 def fit_and_forecast(y: np.ndarray, order: Order, horizon: int) -> dict:
-    """Fit on ``y`` and forecast; returns params, sigma2, css, iterations, yhat."""
+    """Fit on ``y`` and forecast: params, sigma2, css, iterations, converged, yhat, reason.
+
+    A series that is too short for the order, or has a value missing, gets no forecast but a reason.
+    """
+    none = {"params": np.zeros(0), "css": None, "sigma2": None, "iterations": 0, "converged": False,
+            "yhat": [None] * horizon}
+    if not np.isfinite(y).all():
+        return none | {"reason": "a value is missing"}
+    if len(y) < min_length(order):
+        return none | {"reason": f"{len(y)} values where the order needs {min_length(order)}"}
     delta = difference_poly(order)
-    lead = len(delta) - 1
-    w = np.convolve(y, delta)[lead:len(y)]
-    if len(w) == 0 or np.allclose(w, 0.0):
-        params, ssr, it = np.zeros(order.n_params), 0.0, 0
+    w = np.convolve(y, delta)[len(delta) - 1:len(y)]
+    if np.allclose(w, 0.0):
+        params, ssr, it, converged = np.zeros(order.n_params), 0.0, 0, True
     else:
-        params, ssr, it = fit_css(w, order)
-    n_res = max(len(residuals(w, params, order)), 1)
+        params, ssr, it, converged = fit_css(w, order)
     return {
         "params": params,
         "css": ssr,
-        "sigma2": ssr / n_res,
+        "sigma2": ssr / max(len(residuals(w, params, order)), 1),
         "iterations": it,
+        "converged": converged,
         "yhat": forecast(y, params, order, horizon),
+        "reason": None,
     }

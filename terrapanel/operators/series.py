@@ -122,6 +122,8 @@ FORECAST_SCHEMA = T.StructType([
     T.StructField("css", T.DoubleType()),
     T.StructField("iterations", T.IntegerType()),
     T.StructField("params", T.ArrayType(T.DoubleType())),
+    T.StructField("converged", T.BooleanType()),
+    T.StructField("reason", T.StringType()),
 ])
 
 # Order of the model as columns (Spark names are case-insensitive, so P/Q/D
@@ -152,11 +154,13 @@ def _fit_group(horizon: int):
             "order_label": first["order_label"],
             "origin": pdf[MONTH].iloc[-1],
             "step": np.arange(1, horizon + 1, dtype=np.int32),
-            "yhat": res["yhat"],
+            "yhat": np.array(res["yhat"], dtype=float),
             "sigma2": res["sigma2"],
             "css": res["css"],
             "iterations": np.int32(res["iterations"]),
             "params": [list(map(float, res["params"]))] * horizon,
+            "converged": res["converged"],
+            "reason": res["reason"],
         })
     return fit
 
@@ -180,7 +184,8 @@ def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int) -> DataFrame
     ``train`` is long (series, month, value); ``orders`` lists the orders per
     series.  The pairs are formed by an equi-join on the series name and each
     pair is one ``applyInPandas`` group, so the fits spread over the cluster.
-    Output: series, order_label, month, step, yhat and the fit statistics.
+    Output: series, order_label, month, step, yhat and the fit statistics with ``converged``; a series
+    that cannot be fitted has no yhat but a ``reason``, and the others are not affected.
     """
     _ship_code_with_udfs()
     grid = train.select(SERIES, MONTH, VALUE).join(orders, SERIES)

@@ -372,7 +372,7 @@ def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame, key: str)
 
 def seasonal_arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
     fc = _holdout_forecast(spark, sf, _chosen_orders(spark), "chosen")
-    return tidy(fc.select(SERIES, "order_label", MONTH, "step", "yhat", "actual", "sigma2"))
+    return tidy(fc.select(SERIES, "order_label", MONTH, "step", "yhat", "actual", "sigma2", "converged"))
 
 
 def sarima_holdout_mse(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,8 +391,8 @@ def forecast_long_range(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_grid_rank(spark: SparkSession, sf: str) -> DataFrame:
     fc = _holdout_forecast(spark, sf, order_table(spark, ORDER_GRID), "grid").withColumnRenamed("yhat", "predicted")
-    scored = score(fc.where(F.col("actual").isNotNull()), keys=["order_label"])
-    w = Window.partitionBy(SERIES).orderBy(F.col("mse").asc_nulls_last(), "order_label")
+    scored = score(fc.where(F.col("actual").isNotNull()), keys=["order_label", "converged"])
+    w = Window.partitionBy(SERIES).orderBy(F.col("converged").desc(), F.col("mse").asc_nulls_last(), "order_label")
     return tidy(scored.withColumn("rank", F.row_number().over(w)))
 
 

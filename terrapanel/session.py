@@ -18,18 +18,20 @@ DEFAULT_CONF = {
 
 
 def scale_settings(input_bytes: int, split_bytes: int = 512 * 1024 * 1024,
-                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+                   max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Partition settings sized to the input.
 
     Scans read ``split_bytes`` splits.  The largest shuffle of this package
     is the row-level enrichment of the readings (the pruned columns, a
     fraction of the input), so about 1 GB of input per reducer keeps shuffle
-    partitions at a few hundred MB; the count is capped because the driver
-    tracks map outputs per (map task, reducer).  AQE coalesces partitions of
+    partitions at a few hundred MB.  The driver tracks map outputs per (map
+    task, reducer): a caller whose driver is small may bound the count.  AQE coalesces partitions of
     the small aggregates and splits skewed ones (a key holding a third of the
     rows is cut into advisory-sized pieces).
     """
-    n = min(max(200, int(input_bytes // (1024 ** 3))), max_shuffle_partitions)
+    n = max(200, int(input_bytes // (1024 ** 3)))
+    if max_shuffle_partitions is not None:
+        n = min(n, max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(n),

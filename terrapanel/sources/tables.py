@@ -141,7 +141,7 @@ def indicator_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_years(spark: SparkSession, sf_dir: str) -> list[int]:
-    """Calendar years spanned by the orders (min/max only: answerable from footers)."""
+    """Calendar years spanned by the orders (min and max of one column)."""
     row = table(spark, sf_dir, "orders").agg(
         F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
     if row is None or row.lo is None:

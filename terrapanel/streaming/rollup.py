@@ -56,14 +56,14 @@ def run_country_year_stream(
     sf_dir: str,
     out_path: str | None = None,
     checkpoint_location: str | None = None,
-    state_partitions: int = 4,
+    state_partitions: int | None = None,
 ) -> str:
     """Run the roll-up over all files available now; return the result table path.
 
-    ``state_partitions`` sizes the aggregation state, which holds one row per
-    (country, year) whatever the input volume (partial sums are combined
-    map-side before the shuffle).  Spark fixes it from the session setting
-    when the query first starts, so it is set for the start only.
+    The aggregation state holds one row per (country, year) whatever the input
+    volume (partial sums are combined map-side before the shuffle).  Spark
+    fixes its partitions from the session setting when the query first
+    starts; ``state_partitions`` replaces that setting for the start only.
     """
     base = os.path.join(checkpoint_dir(spark), "streams", f"country_year-{uuid.uuid4().hex}")
     out_path = out_path or os.path.join(base, "table")
@@ -74,7 +74,8 @@ def run_country_year_stream(
         finish_running(batch).write.mode("overwrite").parquet(out_path)
 
     previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
         query = (sums.writeStream.outputMode("complete").foreachBatch(write_batch)
                  .option("checkpointLocation", checkpoint_location)

@@ -98,3 +98,48 @@ def test_grouped_fit_runs_per_series_and_order(spark):
     assert first.month == dt.date(2007, 1, 1)
     errs = fc.where("series = 'b'").orderBy("step").toPandas()["yhat"].to_numpy() - b[84:]
     assert np.sqrt(np.mean(errs ** 2)) < 1.5
+
+
+def test_short_or_broken_series_get_a_reason_and_no_forecast():
+    import numpy as np
+
+    from terrapanel.operators.sarima import Order, fit_and_forecast, min_length
+
+    order = Order(2, 1, 1, 2, 1, 1, 12)
+    y = 10 + np.sin(np.arange(90) * np.pi / 6) + np.random.default_rng(1).normal(0, 0.1, 90)
+    for n in (0, 1, 10, 14, 26, 38, 39, min_length(order) - 1):
+        res = fit_and_forecast(y[:n], order, 3)
+        assert res["yhat"] == [None] * 3 and "needs" in res["reason"] and not res["converged"]
+    hole = y.copy()
+    hole[5] = np.nan
+    assert fit_and_forecast(hole, order, 2)["reason"] == "a value is missing"
+    assert np.isfinite(fit_and_forecast(y[:min_length(order)], order, 3)["yhat"]).all()
+
+
+def test_fits_converge_inside_the_admissible_region():
+    import numpy as np
+
+    from terrapanel.operators.sarima import Order, admissible, fit_and_forecast, polys
+
+    rng = np.random.default_rng(2)
+    for order in (Order(2, 1, 1, 2, 1, 1, 12), Order(1, 1, 3, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)):
+        raw = rng.normal(0, 3, order.n_params)
+        for poly in polys(admissible(raw, order), order):
+            assert len(poly) == 1 or np.abs(np.roots(poly[::-1])).min() > 1.0
+        y = np.cumsum(rng.normal(0, 1, 96)) + 5 * np.sin(np.arange(96) * np.pi / 6)
+        res = fit_and_forecast(y, order, 12)
+        assert res["converged"] and np.isfinite(res["yhat"]).all()
+        for poly in polys(res["params"], order):
+            assert len(poly) == 1 or np.abs(np.roots(poly[::-1])).min() > 1.0
+
+
+def test_one_bad_series_leaves_the_others(spark):
+    from terrapanel.operators.sarima import Order
+    from terrapanel.operators.series import fit_forecast, order_table
+
+    rows = [("long", f"{1990 + k // 12}-{k % 12 + 1:02d}-01", float(k % 12 + (k * 7 % 5) / 10)) for k in range(60)]
+    rows += [("short", f"1990-{k + 1:02d}-01", 1.0 * k) for k in range(8)]
+    train = spark.createDataFrame(rows, "series string, month string, value double").selectExpr("series", "to_date(month) month", "value")
+    order = Order(0, 1, 1, 0, 1, 1, 12)
+    out = fit_forecast(train, order_table(spark, {"long": [order], "short": [order]}), 2).collect()
+    assert {(r.series, r.yhat is None or r.yhat != r.yhat, r.reason is None) for r in out} == {("long", False, True), ("short", True, False)}
