@@ -292,6 +292,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     return kept.select(*[of[c] for c in docs.columns])
 
 
+def _holders(length: int) -> Callable:
+    def run(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        repeated, _ = _told(told)
+        held = [(i, length) for i, none, t in zip(texts["doc_id"], texts["none"], texts["text"], strict=True)
+                if not none and is_in(window_codes(_codes(t)[1], length), repeated).any()]
+        return pd.DataFrame(held, columns=["doc_id", "longest"])
+
+    return run
+
+
 def longest_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """doc_id, longest: the greatest of window, 2 window, 4 window, ... that a window shared with another document has.
 
@@ -302,14 +312,7 @@ def longest_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     length, found = window, None
     answers = materialise(_repeated(prepared, window, -(-window // 2), False))
     while answers.limit(1).count():
-
-        def run(texts: pd.DataFrame, told: pd.DataFrame, length: int = length) -> pd.DataFrame:
-            repeated, _ = _told(told)
-            held = [(i, length) for i, none, t in zip(texts["doc_id"], texts["none"], texts["text"], strict=True)
-                    if not none and is_in(window_codes(_codes(t)[1], length), repeated).any()]
-            return pd.DataFrame(held, columns=["doc_id", "longest"])
-
-        here = _meet(prepared, answers, run, "doc_id long, longest long")
+        here = _meet(prepared, answers, _holders(length), "doc_id long, longest long")
         found = here if found is None else found.unionByName(here)
         entries = _next_level(prepared, answers, length, 2 * length, False, buckets)
         answers = materialise(_answers(entries, False))
