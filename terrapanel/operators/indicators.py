@@ -81,10 +81,6 @@ def pair_distances(cells: DataFrame, entity: str, n_features: int,
 # pivot years per receiver.
 BAND_GROWTH = 4.0
 N_PIVOTS = 3
-# Receiver x donor pairs up to which one exact pass over all of them is
-# cheaper than the band search (a checked bound, not a cap: above it the
-# band search runs, and it is exact too).
-PAIR_BUDGET = 1_000_000
 
 
 def _pair_distances_for(pairs: DataFrame, present: DataFrame, entity: str, n_features: int) -> DataFrame:
@@ -123,8 +119,8 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
     four times wider.  The widest band spans the whole value range, and a
     final pass over every donor of the year handles the cells still open
     (those with fewer than k comparable donors).  Each level's results and
-    the open cells are checkpointed.  When receivers x donors is within
-    ``PAIR_BUDGET`` the single exact pass runs directly.
+    the open cells are checkpointed.  The same search runs at every size;
+    ``levels=0`` asks for the plain pass over all donors, for comparison.
     """
     present = cells.where(F.col(VALUE).isNotNull()).select(entity, PERIOD, VALUE)
     missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
@@ -134,15 +130,12 @@ def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
         (F.max(VALUE) - F.min(VALUE)).alias("_range"), F.max(F.abs(VALUE)).alias("_amax"))
     receivers = missing.select("a").distinct()
     if levels is None:
+        # Start near the typical k-th neighbour distance of n donors spread
+        # in about two effective dimensions, range*(2k/n)^(1/2) (yearly
+        # series of one indicator are strongly correlated).  Only speed
+        # depends on it.
         n_max = years.agg(F.max("_n_t")).first()[0] or 1
-        if receivers.count() * n_max <= PAIR_BUDGET:
-            levels = 0
-        else:
-            # Start near the typical k-th neighbour distance of n donors spread
-            # in about two effective dimensions, range*(2k/n)^(1/2) (yearly
-            # series of one indicator are strongly correlated).  Only speed
-            # depends on it.
-            levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
+        levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
     if levels == 0:
         nearest = _all_donors_pass(missing, donors, present, entity, n_features, k)
     else:
