@@ -113,7 +113,7 @@ def _separators(rows: DataFrame, label: str, names: list[str]) -> list[Separator
     found = []
     for a, b in combinations(names, 2):
         pair = rows.where(F.col(label).isin(a, b)).select((F.col(label) == a).cast("double").alias("label"), "features")
-        fitted = LinearSVC(maxIter=60, regParam=1e-4, standardization=False).fit(pair)
+        fitted = LinearSVC(maxIter=40, tol=1e-4, regParam=1e-4, standardization=False).fit(pair)
         found.append(Separator(a, b, fitted.coefficients.toArray(), float(fitted.intercept)))
     return found
 
@@ -121,9 +121,9 @@ def _separators(rows: DataFrame, label: str, names: list[str]) -> list[Separator
 def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit both levels on text and lang of ``labelled`` rows with neither null.
 
-    The sample is drawn by a hash of the text, at a rate that gives ``sample_per_language``
-    rows of each language whatever the input size; whole texts are used.  No labelled rows
-    give a model that answers ``und``.
+    The sample is drawn by a hash of text and row number, at a rate that gives
+    ``sample_per_language`` rows of each language on average whatever the input size; whole
+    texts are used.  No labelled rows give a model that answers ``und``.
     """
     from pyspark.ml.functions import array_to_vector
 
@@ -132,8 +132,9 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     if not counts:
         return Model({}, [], {})
     rate = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, sample_per_language / n))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000
-    sample = rows.where(draw)
+    # Rows are drawn one by one: copies of one text are neither all in nor all out.
+    drawn = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1_000_000))
+    sample = rows.withColumn("_draw", drawn).where(F.col("_draw") < rate[F.col("lang")] * 1_000_000).select("lang", "text")
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames, TEXT_BATCH_ROWS):
@@ -147,7 +148,7 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     if not present:
         return Model({}, [], {})
     ready = drawn.select("lang", family[F.col("lang")].alias("family"), array_to_vector("x").alias("features"))
-    ready = ready.coalesce(8)  # a few MB in all
+    ready = ready.coalesce(4)  # a few MB in all; so few partitions are summed without another stage
     langs: dict[str, list[str]] = {}
     for lang in present:
         langs.setdefault(family_of(lang), []).append(lang)
