@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.llm.common import (
@@ -20,7 +20,6 @@ from terrapanel.llm.common import (
     WordCodes,
     batches,
     map_batches,
-    materialise,
     shingle_codes,
     shuffle_partitions,
     whole_text,
@@ -30,6 +29,7 @@ from terrapanel.llm.common import (
 #: One shingle in so many is kept.
 SCALE = 8
 _NO_ID = -(2**63)
+_NAMES = ["doc_id", "none", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
 def thin(codes: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -77,65 +77,75 @@ def fingerprints(docs: DataFrame, columns: list[str], scale: int = SCALE) -> Dat
     return map_batches(rows, run, f"{types}, fingerprint string")
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """id, next_id over the distinct ``id`` values: the next lower one, after the lowest the highest.
+_ROW = "doc_id long, none boolean, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
-    Range partitions look at their own neighbours; between partitions goes one id a partition.
-    """
-    n = shuffle_partitions(ids.sparkSession)
-    ranged = materialise(ids.repartitionByRange(n, "id").withColumn("part", F.spark_partition_id()))
-    ends = ranged.groupBy("part").agg(F.max("id").alias("last"))  # one row a partition
-    parts = Window.orderBy("part")
-    ends = ends.select("part", F.coalesce(
-        F.lag("last").over(parts),
-        F.max("last").over(parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    own = F.lag("id").over(Window.partitionBy("part").orderBy("id"))
-    return ranged.join(F.broadcast(ends), "part").select("id", "need", F.coalesce(own, "before").alias("next_id"))
+
+class _Edits:
+    """Result rows of documents that come in order, each made when the one after it is there."""
+
+    def __init__(self, scale: int):
+        self.scale, self.last = scale, None
+
+    def feed(self, doc_id: int, none: bool, text: str) -> tuple | None:
+        own = sketch(text, self.scale)
+        done = None
+        if self.last is not None:
+            i, was_none, before, codes = self.last
+            k = len(before) // 3
+            edited = before[: len(before) - k] + text[:k]
+            other = sketch(edited, self.scale)
+            done = (i, was_none, len(before), hashlib.sha256(edited.encode()).hexdigest(), to_text(codes), to_text(other),
+                    containment(codes, other), containment(codes, own))
+        self.last = doc_id, none, text, own
+        return done
 
 
 def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """Fingerprint of each text and of its edited form, with likenesses; one row a row.
 
-    Edited: the last third of the code points gives way to the start of the next document's
-    text, in descending doc_id order, the first after the last.  Rows that repeat a doc_id share
-    one next document (of several texts, the first in order); null doc_ids come last.
+    Edited: the last third of the code points gives way to the start of the next document's text, in
+    descending doc_id order, the first after the last.  Rows that repeat a doc_id follow each other in
+    the order of their texts' hashes, null doc_ids come last, a single row follows itself.
 
-    Texts are dealt by doc_id once; what a document gives to the one before it is the needed
-    prefix and its sketch.
+    Texts move once, into ranges of doc_ids that are walked in order with one document in hand.  Only
+    the first and the last document of each range meet again, by a join.
     """
     n = shuffle_partitions(docs.sparkSession)
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    dealt = docs.select(id_.alias("id"), F.col("doc_id").isNull().alias("none"), whole_text().alias("text")).repartition(n, "id")
-    need = docs.select(id_.alias("id"), F.floor(F.char_length(whole_text()) / 3).cast("int").alias("need"))
-    needs = following(need.groupBy("id").agg(F.max("need").alias("need")))
-    asked = needs.select(F.col("next_id").alias("id"), F.col("id").alias("asker"), "need")
-    giving = dealt.select("id", "text").join(asked, "id").select("asker", "need", "text")
-
-    def give(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches(frames, TEXT_BATCH_ROWS):
-            yield pd.DataFrame({
-                "id": frame["asker"],
-                "start": [t[:k] for t, k in zip(frame["text"], frame["need"], strict=True)],
-                "next_sketch": [sketch(t, scale).tobytes() for t in frame["text"]]})
-
-    given = map_batches(giving, give, "id long, start string, next_sketch binary")
-    given = given.groupBy("id").agg(F.min(F.struct("start", "next_sketch")).alias("x")).select("id", "x.*")
-    rows = dealt.join(given, "id")
-    names = ["doc_id", "none", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    text = whole_text()
+    ranged = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.col("doc_id").isNull().alias("none"),
+        F.xxhash64(text).alias("hash"), text.alias("text"))
+    order = [F.col("id").desc(), F.col("none").asc(), F.col("hash").asc()]
+    back = [F.col("id").asc(), F.col("none").desc(), F.col("hash").desc()]
+    ranged = ranged.repartitionByRange(n, *order)
+
+    def walk(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        edits = _Edits(scale)
         for frame in batches(frames, TEXT_BATCH_ROWS):
+            rows = [edits.feed(i, none, t) for i, none, t in zip(frame["id"], frame["none"], frame["text"], strict=True)]
+            yield pd.DataFrame([r for r in rows if r], columns=_NAMES)
+
+    def first_rows(*by: Column) -> DataFrame:
+        """The first row of each range that has any, in the order ``by``."""
+        nth = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+        return ranged.sortWithinPartitions(*by).select(F.spark_partition_id().alias("part"), nth.alias("nth"), "id", "none", "hash", "text").where("nth = 0")
+
+    # One query: all three read the one exchange of the texts.
+    inside = map_batches(ranged.sortWithinPartitions(*order), walk, _ROW)
+    parts = Window.orderBy("part")  # one row a range
+    everywhere = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tails = first_rows(*back).withColumn("next", F.coalesce(F.lead("part").over(parts), F.min("part").over(everywhere)))
+    heads = first_rows(*order).select(F.col("part").alias("next"), F.col("text").alias("next_text"))
+    tails = tails.join(heads, "next").select("id", "none", "text", "next_text")
+
+    def close(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
             out = []
-            for i, none, text, start, following_ in zip(
-                    frame["id"], frame["none"], frame["text"], frame["start"], frame["next_sketch"], strict=True):
-                k = len(text) // 3
-                edited = text[: len(text) - k] + start[:k]
-                own, other = sketch(text, scale), sketch(edited, scale)
-                out.append((i, none, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(own), to_text(other),
-                            containment(own, other), containment(own, np.frombuffer(following_, np.uint64))))
-            yield pd.DataFrame(out, columns=names)
-
-    done = map_batches(rows.select("id", "none", "text", "start", "next_sketch"), run,
-                       "doc_id long, none boolean, n_chars long, edited_sha256 string, fingerprint string, "
-                       "edited_fingerprint string, near_edited double, near_next double")
+            for i, none, own, following in zip(frame["id"], frame["none"], frame["text"], frame["next_text"], strict=True):
+                edits = _Edits(scale)
+                edits.feed(i, none, own)
+                out.append(edits.feed(0, False, following))
+            yield pd.DataFrame(out, columns=_NAMES)
+
+    done = inside.unionByName(map_batches(tails, close, _ROW))
     return done.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
