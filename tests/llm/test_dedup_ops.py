@@ -144,6 +144,24 @@ def test_near_duplicates_awkward(spark):
     assert neardup.one_of_each(fixtures.empty(spark)).count() == 0
 
 
+def test_one_of_each_keeps_a_row_of_every_group(spark):
+    """Null and repeated doc_ids neither lose unrelated rows nor join unrelated groups."""
+    awkward = [(r[0], r[1]) for r in fixtures.awkward_rows()]
+    a, b = fixtures.prose(71, 60), fixtures.prose(72, 60)
+    mixed = [(None, a), (None, b), (1, a + " x"), (2, b + " y"), (3, fixtures.prose(73, 40)), (3, fixtures.prose(74, 40)), (3, None), (None, None)]
+    for rows in (awkward, mixed):
+        groups: dict[int, list[int]] = {}
+        for k, (_, component) in brute.components(list(enumerate(t for _, t in rows))).items():
+            groups.setdefault(component, []).append(k)
+        out = neardup.one_of_each(fixtures.texts(spark, rows)).collect()
+        kept = [(r.doc_id, r.text) for r in out]
+        assert len(kept) == len(groups)
+        for members in groups.values():
+            held = [rows[k] for k in members]
+            least = min(held, key=lambda r: (r[0] is not None, r[0] or 0))[0]
+            assert any(r in kept and r[0] == least for r in held), held
+
+
 def test_radius_holds_for_the_enumerated_errors():
     """Any two signatures within the radius share a chunk with at most the allowed errors."""
     rng = np.random.default_rng(4)
