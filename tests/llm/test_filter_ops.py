@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrapanel.llm import langid, pii, quality, queries
 from tests.conftest import SF01, SF001
@@ -60,6 +61,23 @@ def test_language_awkward(spark):
     assert langid.accepted(fixtures.empty(spark)).count() == 0
 
 
+def test_unlearned_languages_are_rejected(spark):
+    """Texts unlike every learned language score low; without labels only letters count."""
+    polish = ("wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem "
+              "i sumieniem i powinni postępować wobec innych w duchu braterstwa")
+    russian = "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью"
+    rng = random.Random(1)
+    gibberish = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(60))
+    extra = spark.createDataFrame([(-k, t, None, None, None) for k, t in enumerate((polish, russian, gibberish), 1)],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    learned = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    kept = langid.accepted(learned.unionByName(extra))
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() == learned.where(r"text rlike '[a-zA-Z]'").count()
+    rows = fixtures.texts(spark, [(1, "abc"), (2, None), (3, ""), (4, "12 !?"), (5, "漢")]).withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in langid.accepted(rows).collect()} == {1, 5}
+
+
 def test_quality_query(spark):
     docs = fixtures.read(SF001)
     got = {r.doc_id: r for r in queries.op6_quality_lines(spark, SF001).collect()}
