@@ -27,7 +27,7 @@ _PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
-#: Distinct texts that must show a term together with an entity before it counts as evidence.
+#: Distinct texts that must show a term together with an entity before their counts are taken as they are.
 MIN_TEXTS = 3
 #: Share of the entity's information content that a term may reveal; above the second, it is removed.
 DISCLOSURE = 0.9
@@ -126,52 +126,69 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
+def held_words(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """_row, text_hash, start, end, term: the words, outside all base spans, of the rows that hold an entity."""
+    rows = found.join(spans.select("_row").distinct(), "_row", "left_semi")
+    rows = rows.withColumn("_words", F.regexp_extract_all("_text", F.lit(_LETTERS), F.lit(0)))
+    rows = materialise(rows.select("_row", F.xxhash64("_text").alias("text_hash"), "_words", _gaps(F.col("_text"), F.col("_words"), _LETTERS).alias("_word_gaps")))
+    words = _spans(rows, "_words", "_word_gaps").where(F.char_length("match") >= TERM_LETTERS)
+    words = words.select("_row", "start", "end", F.xxhash64(F.lower("match")).alias("term"))
+    both = words.unionByName(spans.select("_row", "start", "end", F.lit(None).cast("long").alias("term")))
+    base = F.col("term").isNull()
+    upto = Window.partitionBy("_row").orderBy("start", F.col("term").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("_row").orderBy(F.col("start").desc(), F.col("term").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_open", F.max(F.when(base, F.col("end"))).over(upto)).withColumn("_next", F.min(F.when(base, F.col("start"))).over(back))
+    free = (F.coalesce("_open", F.lit(0)) <= F.col("start")) & (F.coalesce("_next", F.col("end")) >= F.col("end"))
+    return both.where(~base & free).drop("_open", "_next").join(rows.select("_row", "text_hash"), "_row")
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_texts: int = MIN_TEXTS,
-                     disclosure: float = DISCLOSURE) -> DataFrame:
+                     disclosure: float = DISCLOSURE, words: DataFrame | None = None) -> DataFrame:
     """entity, term, share: the terms that reveal an entity, with the share of its information they reveal.
 
     With N rows, n(e), n(t) and n(e, t) of them holding an entity, a term and both, the share is
-    log(N n(e, t) / (n(e) n(t))) / log(N / n(e)).  All counts are over all rows; a pair needs
-    ``min_texts`` different texts, so copies are no evidence.  Counting starts from the pairs:
-    terms of rows without a shared entity are counted, but never paired.
+    log(N n(e, t) / (n(e) n(t))) / log(N / n(e)).  All counts are over all rows.
+
+    A pair in fewer than ``min_texts`` different texts is judged by a lower bound: copies of the
+    entity's texts count once, the term counts as if one more text without the entity had it, and the
+    information is measured against the larger content of the two, so a term must also be
+    where the entity is.  In few texts the bound is low; in many, a word that nothing else has counts.
     """
+    words = held_words(found, spans) if words is None else words
     held = spans.select("_row", "entity").distinct()
-    shared = held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_texts)
-    holders = held.join(shared, "entity")
-    masked = F.col("_text")
-    for kind in KINDS:  # an entity's own letters are no terms
-        masked = F.regexp_replace(masked, _PATTERNS[kind], " ")
-    own = found.where("_found").select("_row", F.xxhash64("_text").alias("text_hash"), F.explode(_terms(masked)).alias("term"))
-    pairs = (holders.join(own, "_row").groupBy("entity", "term", "text_hash").agg(F.count("*").alias("n"), F.first("n_e").alias("n_e"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.first("n_e").alias("n_e"), F.count("*").alias("texts"))
-             .where(F.col("texts") >= min_texts))
+    own = words.select("_row", "text_hash", "term").distinct()
+    texts = found.select("_row", F.xxhash64("_text").alias("text_hash"))
+    entities = held.join(texts, "_row").groupBy("entity", "text_hash").agg(F.count("*").alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_e"), F.count("*").alias("e_texts"))
+    pairs = (held.join(own, "_row").groupBy("entity", "term", "text_hash").agg(F.count("*").alias("n"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).join(entities, "entity"))
     total = found.agg(F.count("*").alias("n_all"))  # one row
     counts = docs.select(F.explode(_terms(whole_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    # A term inside the base spans of all its other rows still counts in n_t; it is never below n_et.
     known = pairs.join(counts, "term").join(F.broadcast(total))
-    told = F.log(F.col("n_all") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.col("n_all") / F.col("n_e"))
-    share = F.when(F.col("n_e") < F.col("n_all"), told).otherwise(0.0)
-    return known.select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)
+    n, e, t, both = (F.col(c) for c in ("n_all", "n_e", "n_t", "n_et"))
+    share = F.when(e < n, F.log(n * both / (e * t)) / F.log(n / e)).otherwise(0.0)
+    n_1, e_1, t_1 = n - e + F.col("e_texts"), F.col("e_texts"), t - both + F.col("texts") + 1
+    most = F.greatest(F.log(n_1 / e_1), F.log(n_1 / t_1))
+    bound = F.when(most > 0, F.log(n_1 * F.col("texts") / (e_1 * t_1)) / most).otherwise(0.0)
+    known = known.withColumn("share", F.when(F.col("texts") >= min_texts, share).otherwise(bound))
+    return known.select("entity", "term", "share").where(F.col("share") >= disclosure)
 
 
-def term_spans(found: DataFrame, spans: DataFrame, terms: DataFrame, removal: float = REMOVAL) -> DataFrame:
+def term_spans(spans: DataFrame, words: DataFrame, terms: DataFrame, removal: float = REMOVAL) -> DataFrame:
     """_row, rank, kind, start, end, entity of the disclosing terms, in rows that hold their entity."""
-    told = (spans.select("_row", "entity").distinct().join(terms, "entity")
-            .groupBy("_row", "term").agg(F.max("share").alias("share")))
-    rows = found.join(told.select("_row").distinct(), "_row", "left_semi").withColumn("_words", F.regexp_extract_all("_text", F.lit(_LETTERS), F.lit(0)))
-    rows = rows.withColumn("_word_gaps", _gaps(F.col("_text"), F.col("_words"), _LETTERS))
-    words = _spans(rows, "_words", "_word_gaps").withColumn("term", F.xxhash64(F.lower("match")))
-    hits = words.join(told, ["_row", "term"])
-    base = spans.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("base"))
-    free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
+    own = spans.select("_row", "entity").distinct().join(words.select("_row", "term").distinct(), "_row")
+    told = own.join(terms, ["entity", "term"]).groupBy("_row", "term").agg(F.max("share").alias("share"))
     label = F.when(F.col("share") >= removal, F.lit("removed")).otherwise(F.lit("generalised"))
-    return hits.join(base, "_row").where(free).select(
+    return words.join(told, ["_row", "term"]).select(
         "_row", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"), "start", "end", label.alias("entity"))
 
 
 def all_spans(docs: DataFrame, found: DataFrame, min_texts: int = MIN_TEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
     base = materialise(base_spans(found))
-    terms = disclosing_terms(docs, found, base, min_texts, disclosure)
-    return base.unionByName(term_spans(found, base, terms))
+    words = materialise(held_words(found, base))
+    terms = disclosing_terms(docs, found, base, min_texts, disclosure, words)
+    return base.unionByName(term_spans(base, words, terms))
 
 
 def _joined(spans: str) -> Column:
@@ -182,7 +199,8 @@ def find(docs: DataFrame, min_texts: int = MIN_TEXTS, disclosure: float = DISCLO
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row a row.
 
     Spans are in code points, end exclusive, by kind and start.  Null texts are empty; repeated
-    rows are rows of their own, but one text as evidence.
+    rows are rows of their own, but one text as evidence.  A text with an entity may have term spans
+    even if no other text has the entity.
     """
     found = detected(docs, ["doc_id"], with_text=False)
     spans = all_spans(docs, found, min_texts, disclosure)

@@ -196,6 +196,19 @@ def test_copies_are_no_evidence(spark):
     assert all("term" not in r.spans for r in pii.find(fixtures.texts(spark, rows)).collect())
 
 
+def test_entities_in_one_or_two_texts_are_judged(spark):
+    """In enough texts, a word that only the entity's one or two texts have is generalised; common words stay."""
+    plain = [(k, "write about the thing here today please") for k in range(3_000)]
+    rows = [*plain, (5_000, "write zoe@x.org about zanzibar today"), (5_001, "write bob@y.org about kilimanjaro"),
+            (5_002, "please write bob@y.org on kilimanjaro today"), (5_003, "write eve@z.org about everest"), (5_004, "today about everest")]
+    text = dict(rows)
+    got = {r.doc_id: r.spans for r in pii.find(fixtures.texts(spark, rows)).collect() if r.doc_id >= 5_000}
+    for k, word in ((5_000, "zanzibar"), (5_001, "kilimanjaro"), (5_002, "kilimanjaro")):
+        at = text[k].index(word)
+        assert got[k].endswith(f",term:{at}:{at + len(word)}") and got[k].count("term") == 1, k
+    assert "term" not in got[5_003] and got[5_004] == ""
+
+
 def test_sanitise_overlaps_and_columns(spark):
     base = fixtures.awkward(spark)
     extra = spark.createDataFrame([(100, "call +4111 1111 1111 1111 or a@b.co", "en", None, 5, *fixtures.EXTRA)], fixtures.SCHEMA)
