@@ -32,9 +32,18 @@ MIN_TEXTS = 3
 #: Share of the entity's information content that a term may reveal; above the second, it is removed.
 DISCLOSURE = 0.9
 REMOVAL = 0.98
-#: Letters of the shortest term.
-TERM_LETTERS = 4
-_LETTERS = r"\p{L}++"
+#: A term is a run of these: letters with their marks, digits, of any length.
+_TERM_CHARACTERS = r"\p{L}\p{M}\p{N}"
+_TERMS = rf"[{_TERM_CHARACTERS}]++"
+#: Short function words of the given languages count as held by this share of the rows at least, whatever a small corpus says.
+FUNCTION_SHARE = 0.2
+FUNCTION_WORDS = frozenset("""
+a an and are as at be but by did do for had has he her him his i if in is it its me my no nor not of off on or our out she so the to
+up us was we who why you am an auf aus bei bin bis da das dem den der des die du ein er es für hat ich ihm ihn ihr im ist man mir
+mit nur ob sie um und uns vom von vor war was wem wen wer wie wir wo zu zum zur au aux ça car ce ces de du elle en est et eu ils
+il je la le les lui ma mes moi mon ne ni nos on ont ou où par pas peu qui que sa se ses si son sur ta te tes toi ton tu un une
+vos y al con del e el era fue ha han he la las lo los más me mi mis muy no nos o os por que se ser si sí sin son su sus te tus
+un una uno ya yo""".split())
 
 
 def _digits(match: Column) -> Column:
@@ -121,17 +130,17 @@ def base_spans(found: DataFrame) -> DataFrame:
 
 
 def _terms(text: Column) -> Column:
-    """Distinct 64-bit hashes of a text's letter runs, long enough, lower case."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]++"), lambda w: F.char_length(w) >= TERM_LETTERS)
+    """Distinct 64-bit hashes of a text's runs of letters and digits, lower case."""
+    words = F.filter(F.split(F.lower(text), rf"[^{_TERM_CHARACTERS}]++"), lambda w: F.char_length(w) > 0)
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def held_words(found: DataFrame, spans: DataFrame) -> DataFrame:
     """_row, text_hash, start, end, term: the words, outside all base spans, of the rows that hold an entity."""
     rows = found.join(spans.select("_row").distinct(), "_row", "left_semi")
-    rows = rows.withColumn("_words", F.regexp_extract_all("_text", F.lit(_LETTERS), F.lit(0)))
-    rows = materialise(rows.select("_row", F.xxhash64("_text").alias("text_hash"), "_words", _gaps(F.col("_text"), F.col("_words"), _LETTERS).alias("_word_gaps")))
-    words = _spans(rows, "_words", "_word_gaps").where(F.char_length("match") >= TERM_LETTERS)
+    rows = rows.withColumn("_words", F.regexp_extract_all("_text", F.lit(_TERMS), F.lit(0)))
+    rows = materialise(rows.select("_row", F.xxhash64("_text").alias("text_hash"), "_words", _gaps(F.col("_text"), F.col("_words"), _TERMS).alias("_word_gaps")))
+    words = _spans(rows, "_words", "_word_gaps")
     words = words.select("_row", "start", "end", F.xxhash64(F.lower("match")).alias("term"))
     both = words.unionByName(spans.select("_row", "start", "end", F.lit(None).cast("long").alias("term")))
     base = F.col("term").isNull()
@@ -147,7 +156,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_te
     """entity, term, share: the terms that reveal an entity, with the share of its information they reveal.
 
     With N rows, n(e), n(t) and n(e, t) of them holding an entity, a term and both, the share is
-    log(N n(e, t) / (n(e) n(t))) / log(N / n(e)).  All counts are over all rows.
+    log(N n(e, t) / (n(e) n(t))) / log(N / n(e)).  All counts are over all rows; n(t) of a
+    function word is at least ``FUNCTION_SHARE`` of them.
 
     A pair in fewer than ``min_texts`` different texts is judged by a lower bound: copies of the
     entity's texts count once, the term counts as if one more text without the entity had it, and the
@@ -166,7 +176,9 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_te
     counts = docs.select(F.explode(_terms(whole_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     # A term inside the base spans of all its other rows still counts in n_t; it is never below n_et.
     known = pairs.join(counts, "term").join(F.broadcast(total))
-    n, e, t, both = (F.col(c) for c in ("n_all", "n_e", "n_t", "n_et"))
+    n, e, both = (F.col(c) for c in ("n_all", "n_e", "n_et"))
+    function = F.col("term").isin(*[F.xxhash64(F.lit(w)) for w in sorted(FUNCTION_WORDS)])
+    t = F.when(function, F.greatest("n_t", FUNCTION_SHARE * n)).otherwise(F.col("n_t"))
     share = F.when(e < n, F.log(n * both / (e * t)) / F.log(n / e)).otherwise(0.0)
     n_1, e_1, t_1 = n - e + F.col("e_texts"), F.col("e_texts"), t - both + F.col("texts") + 1
     most = F.greatest(F.log(n_1 / e_1), F.log(n_1 / t_1))

@@ -209,6 +209,17 @@ def test_entities_in_one_or_two_texts_are_judged(spark):
     assert "term" not in got[5_003] and got[5_004] == ""
 
 
+def test_short_names_and_numbers_are_judged(spark):
+    """Names of two and three letters, in any script, and letter-digit runs are terms; function words are not told."""
+    rows = [(k, f"{fixtures.prose(k, 20)} ask lee@x.org or 李娜 or Wu or Kim under K47B and 4711 for the thing") for k in range(4)]
+    rows += [(k, f"{fixtures.prose(k, 20)} write or ask for the thing") for k in range(20, 100)]
+    got = {r.doc_id: r for r in pii.find(fixtures.texts(spark, rows)).collect()}
+    for k, text in rows[:4]:
+        told = [text[int(a) : int(b)] for kind, a, b in (x.split(":") for x in got[k].spans.split(",")) if kind == "term"]
+        assert told == ["李娜", "Wu", "Kim", "under", "K47B", "4711"]
+    assert all(got[k].spans == "" for k, _ in rows[4:])
+
+
 def test_sanitise_overlaps_and_columns(spark):
     base = fixtures.awkward(spark)
     extra = spark.createDataFrame([(100, "call +4111 1111 1111 1111 or a@b.co", "en", None, 5, *fixtures.EXTRA)], fixtures.SCHEMA)
