@@ -38,6 +38,20 @@ def _by_series(keys: Sequence[str] = ()) -> Window:
     return Window.partitionBy(*keys, SERIES).orderBy(MONTH)
 
 
+def complete_months(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``series`` with a row for each month from its first to its last; a missing month has nulls."""
+    ids = [*keys, SERIES]
+    step = F.expr("INTERVAL 1 MONTH")
+    bounds = series.groupBy(*ids).agg(F.trunc(F.min(MONTH), "month").alias("_first"), F.trunc(F.max(MONTH), "month").alias("_last"))
+    months = bounds.select(*[F.col(c).alias(f"_{c}") for c in ids], F.explode(F.sequence("_first", "_last", step)).alias("_axis"))
+    same = F.trunc(F.col(MONTH), "month").eqNullSafe(F.col("_axis"))
+    for c in ids:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    names = {MONTH: "_axis"} | {c: f"_{c}" for c in ids}
+    return months.join(series, same, "left").select(
+        *[F.coalesce(c, names[c]).alias(c) if c in names else F.col(f"`{c}`") for c in series.columns])
+
+
 def with_position(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """1-based position of each month within its series."""
     return series.withColumn("position", F.row_number().over(_by_series(keys)))
@@ -60,8 +74,9 @@ def split_by_date(series: DataFrame, train_end: str, test_end: str) -> DataFrame
 
 def lag_features(series: DataFrame, lags: Sequence[int] = (1, 12, 13),
                  keys: Sequence[str] = ()) -> DataFrame:
+    """Add ``lag_k``, the value k calendar months before; a missing month is a row with a null value."""
     w = _by_series(keys)
-    return series.withColumns({f"lag_{k}": F.lag(VALUE, k).over(w) for k in lags})
+    return complete_months(series, keys).withColumns({f"lag_{k}": F.lag(VALUE, k).over(w) for k in lags})
 
 
 def difference_coefficients(d: int = 1, D: int = 1, s: int = 12) -> dict[int, float]:
@@ -72,14 +87,14 @@ def difference_coefficients(d: int = 1, D: int = 1, s: int = 12) -> dict[int, fl
 
 def seasonal_difference(series: DataFrame, d: int = 1, D: int = 1, s: int = 12,
                         keys: Sequence[str] = ()) -> DataFrame:
-    """Add ``diff`` = (1-B)^d (1-B^s)^D value (NULL where the lags reach before the start)."""
+    """Add ``diff`` = (1-B)^d (1-B^s)^D value (NULL where the lags reach before the start or a missing month)."""
     w = _by_series(keys)
     terms = [F.lit(c) * (F.col(VALUE) if lag == 0 else F.lag(VALUE, lag).over(w))
              for lag, c in difference_coefficients(d, D, s).items()]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
-    return series.withColumn("diff", total)
+    return complete_months(series, keys).withColumn("diff", total)
 
 
 def month_axis(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -185,9 +200,9 @@ def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int) -> DataFrame
     series.  The pairs are formed by an equi-join on the series name and each
     pair is one ``applyInPandas`` group, so the fits spread over the cluster.
     Output: series, order_label, month, step, yhat and the fit statistics with ``converged``; a series
-    that cannot be fitted has no yhat but a ``reason``, and the others are not affected.
+    that cannot be fitted, for one with a missing month, has no yhat but a ``reason``, and the others are not affected.
     """
     _ship_code_with_udfs()
-    grid = train.select(SERIES, MONTH, VALUE).join(orders, SERIES)
+    grid = complete_months(train.select(SERIES, MONTH, VALUE)).join(orders, SERIES)
     fitted = grid.groupBy(SERIES, "order_label").applyInPandas(_fit_group(horizon), FORECAST_SCHEMA)
     return fitted.withColumn(MONTH, F.add_months("origin", F.col("step"))).drop("origin")

@@ -8,6 +8,7 @@ from terrapanel.functions.weather import fahrenheit_to_celsius
 from terrapanel.operators.sarima import Order, difference_poly, fit_and_forecast, polys
 from terrapanel.operators.series import (
     fit_forecast,
+    lag_features,
     month_axis,
     order_table,
     seasonal_difference,
@@ -47,6 +48,20 @@ def test_seasonal_difference_of_trend_plus_season(spark):
     assert got[13:] == pytest.approx([0.0] * 35)
 
 
+def test_a_missing_month_shifts_nothing(spark):
+    """Lags and differences go by the calendar; a fit over a hole has a reason and no forecast."""
+    months = _series(spark, range(48)).where("month <> '2001-06-01'")
+    got = {r.month: r for r in lag_features(months).collect()}
+    assert len(got) == 48 and got[dt.date(2001, 6, 1)].value is None
+    assert got[dt.date(2001, 7, 1)].lag_1 is None and got[dt.date(2002, 6, 1)].lag_12 is None and got[dt.date(2002, 7, 1)].lag_13 is None
+    assert (got[dt.date(2002, 7, 1)].lag_1, got[dt.date(2002, 7, 1)].lag_12) == (29.0, 18.0)
+    diff = {r.month: r.diff for r in seasonal_difference(months).collect()}
+    hole = {dt.date(2001, 6, 1), dt.date(2001, 7, 1), dt.date(2002, 6, 1), dt.date(2002, 7, 1)}
+    assert {m for m, d in diff.items() if d is None and m >= dt.date(2001, 2, 1)} == hole
+    fits = fit_forecast(months, order_table(spark, {"s": [Order(0, 1, 0, 0, 1, 0, 12)]}), 2).collect()
+    assert [r.reason for r in fits] == ["a value is missing"] * 2 and all(r.yhat is None or r.yhat != r.yhat for r in fits)
+
+
 def test_split_and_naive(spark):
     y = list(range(30))
     split = split_by_position(_series(spark, y), 24, 4)
