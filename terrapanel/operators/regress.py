@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrapanel.functions.stats import apply_stages, solve_stages, with_t_tail
+from terrapanel.operators.series import _ship_code_with_udfs as ship_code
 from terrapanel.operators.stats import corr_sql, cov_col, mean_col, moments, sd_col
 
 GROUP_TARGET = "temperature"
@@ -39,15 +40,20 @@ def group_betas(
     factors: Sequence[str] = GROUP_FACTORS,
     by: str = "country_code",
     tol: float = 1e-10,
+    rank_deficient: str = "null",
 ) -> DataFrame:
     """Per-group OLS of standardised ``target`` on standardised ``factors`` with intercept.
 
     Standardising within the group (ddof 0) turns the normal equations into
     the correlation system R b = r, and the intercept is 0 by construction.
     One ``groupBy`` gathers count, means, sds and covariances; the solve is a
-    projection over that one-row-per-group table.  Singular groups (too few
-    rows, a constant measure) come out NULL.
+    projection over that one-row-per-group table.  In a group of dependent
+    factors (as one with too few rows) the unknowns without a pivot come out NULL, or
+    with ``rank_deficient='pinv'`` the group has the smallest of all least-squares
+    solutions, as a pseudo-inverse gives it.  A constant measure has no z-score: NULL.
     """
+    if rank_deficient not in ("null", "pinv"):
+        raise ValueError(f"rank_deficient must be 'null' or 'pinv', not {rank_deficient!r}")
     factors = list(factors)
     cols = [target] + factors
     m = moments(panel, cols, [by])
@@ -56,6 +62,11 @@ def group_betas(
     rhs = [[corr_sql(f, target, cols) for f in factors]]
     stages, sol = solve_stages(a, rhs, prefix="_gb_", tol=tol)
     solved = apply_stages(m, stages)
+    if rank_deficient == "pinv":
+        matrix = F.array(*[F.expr(f"CAST({a[i][j]} AS DOUBLE)") for i in range(k) for j in range(k)])
+        right = F.array(*[F.expr(f"CAST({x} AS DOUBLE)") for x in rhs[0]])
+        found = F.array(*[F.col(c).cast("double") for c in sol[0]])
+        return _with_pinv(solved.select(by, found.alias("_b"), matrix.alias("_a"), right.alias("_r")), by, factors, tol)
     first = F.col(sol[0][0])
     return solved.select(
         by,
@@ -64,6 +75,30 @@ def group_betas(
     )
 
 
+def _with_pinv(systems: DataFrame, by: str, factors: list[str], tol: float) -> DataFrame:
+    """Coefficients of ``systems`` (by, _b, _a, _r; a row a group); groups without a full ``_b`` by pseudo-inverse."""
+    k = len(factors)
+
+    def run(frames):
+        for frame in frames:
+            b, a, r = (np.array([[np.nan if v is None else v for v in x] for x in frame[c]], float).reshape(len(frame), n)
+                       for c, n in (("_b", k), ("_a", k * k), ("_r", k)))
+            known = np.isfinite(a).all(axis=1) & np.isfinite(r).all(axis=1)
+            open_ = known & ~np.isfinite(b).all(axis=1)
+            if open_.any():
+                inverse = np.linalg.pinv(a[open_].reshape(-1, k, k), rcond=tol, hermitian=True)
+                b[open_] = np.einsum("gij,gj->gi", inverse, r[open_])
+            out = frame[[by]].copy()
+            out["_x"] = [[None if v != v else v for v in row] for row in b.tolist()]
+            yield out
+
+    ship_code()
+    key = systems.schema[by].dataType.simpleString()
+    solved = systems.mapInPandas(run, f"`{by}` {key}, _x array<double>")
+    whole = F.forall("_x", lambda v: v.isNotNull())
+    return solved.select(by, F.when(whole, F.lit(0.0)).alias("intercept"), *[F.col("_x")[i].alias(f) for i, f in enumerate(factors)])
+
+
 def ridge_stages(
     targets: Sequence[str],
     factors: Sequence[str],

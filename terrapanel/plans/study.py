@@ -94,7 +94,7 @@ class BetaResult:
 
 
 def country_betas(panel: DataFrame, k: int = 10) -> BetaResult:
-    betas = cut_lineage(group_betas(panel))
+    betas = cut_lineage(group_betas(panel, rank_deficient="pinv"))
     avg = group_average(panel, "country_code", "co2", "avg_co2", cast="float")
     high = top_k(avg, "avg_co2", k, tie=["country_code"])
     low = bottom_k(avg, "avg_co2", k, tie=["country_code"])

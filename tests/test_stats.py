@@ -73,6 +73,24 @@ def test_group_betas_match_lstsq(spark):
             list(beta), abs=1e-7)
 
 
+def test_group_betas_of_dependent_factors_by_pseudo_inverse(spark):
+    """Four rows and four factors: the least-squares solution of least length; other groups and constants as before."""
+    rng = np.random.default_rng(7)
+    names = ["temperature", "co2", "precipitation", "energy", "population"]
+    groups = {"A": rng.normal(size=(4, 5)), "B": rng.normal(size=(12, 5)), "C": rng.normal(size=(12, 5)), "D": rng.normal(size=(12, 5))}
+    groups["C"][:, 3] = 2 * groups["C"][:, 1] - 5  # energy repeats co2
+    groups["D"][:, 3] = 1.0
+    rows = [(g, *map(float, r)) for g, m in groups.items() for r in m]
+    df = spark.createDataFrame(rows, "country_code string, " + ", ".join(f"{n} double" for n in names))
+    got = {r.country_code: r for r in group_betas(df, rank_deficient="pinv").collect()}
+    for g in "ABC":
+        z = (groups[g] - groups[g].mean(axis=0)) / groups[g].std(axis=0)
+        assert [got[g][n] for n in names[1:]] == pytest.approx(list(np.linalg.pinv(z[:, 1:], rcond=1e-6) @ z[:, 0]), abs=1e-6)
+        assert got[g].intercept == 0.0
+    assert got["D"].co2 is None and got["D"].intercept is None
+    assert [r for r in group_betas(df).collect() if r.country_code == "A"][0].population is None
+
+
 def _dense_build(pdf, lam=1.0):
     """The pooled statistic built densely: drop-first dummies, ddof-0 z-scores, ridge with bias."""
     import pandas as pd
