@@ -135,24 +135,23 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def held_words(found: DataFrame, spans: DataFrame) -> DataFrame:
-    """_row, text_hash, start, end, term: the words, outside all base spans, of the rows that hold an entity."""
-    rows = found.join(spans.select("_row").distinct(), "_row", "left_semi")
-    rows = rows.withColumn("_words", F.regexp_extract_all("_text", F.lit(_TERMS), F.lit(0)))
-    rows = materialise(rows.select("_row", F.xxhash64("_text").alias("text_hash"), "_words", _gaps(F.col("_text"), F.col("_words"), _TERMS).alias("_word_gaps")))
-    words = _spans(rows, "_words", "_word_gaps")
-    words = words.select("_row", "start", "end", F.xxhash64(F.lower("match")).alias("term"))
-    both = words.unionByName(spans.select("_row", "start", "end", F.lit(None).cast("long").alias("term")))
-    base = F.col("term").isNull()
-    upto = Window.partitionBy("_row").orderBy("start", F.col("term").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("_row").orderBy(F.col("start").desc(), F.col("term").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("_open", F.max(F.when(base, F.col("end"))).over(upto)).withColumn("_next", F.min(F.when(base, F.col("start"))).over(back))
-    free = (F.coalesce("_open", F.lit(0)) <= F.col("start")) & (F.coalesce("_next", F.col("end")) >= F.col("end"))
-    return both.where(~base & free).drop("_open", "_next").join(rows.select("_row", "text_hash"), "_row")
+def held_texts(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """_row, text_hash, entities (hashes), masked: the rows that hold an entity, with as many spaces for its base spans."""
+    before = Window.partitionBy("_row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("_row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    runs = spans.withColumn("new", F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True)).cast("int"))
+    whole = runs.withColumn("run", F.sum("new").over(upto)).groupBy("_row", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set(F.xxhash64("entity")).alias("e"))
+    lists = whole.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"),
+                                      F.array_distinct(F.flatten(F.collect_list("e"))).alias("entities"))
+    masked = F.expr(
+        "concat(array_join(transform(s, (x, i) -> concat(substring(_text, int(if(i = 0, 0, s[i - 1].end) + 1), "
+        "int(x.start - if(i = 0, 0, s[i - 1].end))), repeat(' ', int(x.end - x.start)))), ''), substring(_text, int(s[size(s) - 1].end + 1)))")
+    return found.where("_found").join(lists, "_row").select("_row", F.xxhash64("_text").alias("text_hash"), "entities", masked.alias("masked"))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_texts: int = MIN_TEXTS,
-                     disclosure: float = DISCLOSURE, words: DataFrame | None = None) -> DataFrame:
+                     disclosure: float = DISCLOSURE, texts: DataFrame | None = None) -> DataFrame:
     """entity, term, share: the terms that reveal an entity, with the share of its information they reveal.
 
     With N rows, n(e), n(t) and n(e, t) of them holding an entity, a term and both, the share is
@@ -164,17 +163,15 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_te
     information is measured against the larger content of the two, so a term must also be
     where the entity is.  In few texts the bound is low; in many, a word that nothing else has counts.
     """
-    words = held_words(found, spans) if words is None else words
-    held = spans.select("_row", "entity").distinct()
-    own = words.select("_row", "text_hash", "term").distinct()
-    texts = found.select("_row", F.xxhash64("_text").alias("text_hash"))
-    entities = held.join(texts, "_row").groupBy("entity", "text_hash").agg(F.count("*").alias("n")).groupBy("entity").agg(
+    texts = held_texts(found, spans) if texts is None else texts
+    copies = texts.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("_row").alias("_row"))
+    one = texts.drop("text_hash").join(copies, "_row").select("n", "entities", "masked")  # a row a text
+    entities = one.select("n", F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.sum("n").alias("n_e"), F.count("*").alias("e_texts"))
-    pairs = (held.join(own, "_row").groupBy("entity", "term", "text_hash").agg(F.count("*").alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).join(entities, "entity"))
+    own = one.select("n", F.explode("entities").alias("entity"), "masked").select("n", "entity", F.explode(_terms(F.col("masked"))).alias("term"))
+    pairs = own.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).join(entities, "entity")
     total = found.agg(F.count("*").alias("n_all"))  # one row
     counts = docs.select(F.explode(_terms(whole_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    # A term inside the base spans of all its other rows still counts in n_t; it is never below n_et.
     known = pairs.join(counts, "term").join(F.broadcast(total))
     n, e, both = (F.col(c) for c in ("n_all", "n_e", "n_et"))
     function = F.col("term").isin(*[F.xxhash64(F.lit(w)) for w in sorted(FUNCTION_WORDS)])
@@ -187,20 +184,33 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_te
     return known.select("entity", "term", "share").where(F.col("share") >= disclosure)
 
 
-def term_spans(spans: DataFrame, words: DataFrame, terms: DataFrame, removal: float = REMOVAL) -> DataFrame:
-    """_row, rank, kind, start, end, entity of the disclosing terms, in rows that hold their entity."""
-    own = spans.select("_row", "entity").distinct().join(words.select("_row", "term").distinct(), "_row")
-    told = own.join(terms, ["entity", "term"]).groupBy("_row", "term").agg(F.max("share").alias("share"))
+def term_spans(texts: DataFrame, terms: DataFrame, removal: float = REMOVAL) -> DataFrame:
+    """_row, rank, kind, start, end, entity of the disclosing terms, in rows that hold their entity.
+
+    Places are summed over the words and gaps of a row; only words that tell leave it.
+    """
+    own = texts.select("_row", F.explode("entities").alias("entity"))
+    told = own.join(terms, "entity").groupBy("_row", "term").agg(F.max("share").alias("share"))
+    told = told.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))
+    rows = texts.select("_row", "masked").join(told, "_row").withColumn("_words", F.regexp_extract_all("masked", F.lit(_TERMS), F.lit(0)))
+    rows = rows.withColumn("_word_gaps", _gaps(F.col("masked"), F.col("_words"), _TERMS))
+    words = F.expr(
+        "transform(arrays_zip(_words, _word_gaps), x -> struct(int(x._word_gaps) as gap, char_length(x._words) as n, "
+        "told[xxhash64(lower(x._words))] as share))")
+    hits = F.expr(
+        "aggregate(words, struct(0L as at, cast(array() as array<struct<start:bigint,end:bigint,share:double>>) as hits), "
+        "(a, x) -> struct(a.at + x.gap + x.n as at, if(x.share is null, a.hits, concat(a.hits, "
+        "array(struct(a.at + x.gap as start, a.at + x.gap + x.n as end, x.share as share)))) as hits), a -> a.hits)")
+    rows = rows.select("_row", words.alias("words")).select("_row", F.inline(hits))
     label = F.when(F.col("share") >= removal, F.lit("removed")).otherwise(F.lit("generalised"))
-    return words.join(told, ["_row", "term"]).select(
-        "_row", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"), "start", "end", label.alias("entity"))
+    return rows.select("_row", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"), "start", "end", label.alias("entity"))
 
 
 def all_spans(docs: DataFrame, found: DataFrame, min_texts: int = MIN_TEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
     base = materialise(base_spans(found))
-    words = materialise(held_words(found, base))
-    terms = disclosing_terms(docs, found, base, min_texts, disclosure, words)
-    return base.unionByName(term_spans(base, words, terms))
+    texts = materialise(held_texts(found, base))
+    terms = disclosing_terms(docs, found, base, min_texts, disclosure, texts)
+    return base.unionByName(term_spans(texts, terms))
 
 
 def _joined(spans: str) -> Column:
