@@ -169,18 +169,24 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_te
     entities = one.select("n", F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.sum("n").alias("n_e"), F.count("*").alias("e_texts"))
     own = one.select("n", F.explode("entities").alias("entity"), "masked").select("n", "entity", F.explode(_terms(F.col("masked"))).alias("term"))
-    pairs = own.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).join(entities, "entity")
+    pairs = own.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts"))
     total = found.agg(F.count("*").alias("n_all"))  # one row
     counts = docs.select(F.explode(_terms(whole_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    known = pairs.join(counts, "term").join(F.broadcast(total))
+    # What is left of a word beside a base span may be in no whole text.
+    known = pairs.join(counts, "term", "left").join(F.broadcast(total))
     n, e, both = (F.col(c) for c in ("n_all", "n_e", "n_et"))
     function = F.col("term").isin(*[F.xxhash64(F.lit(w)) for w in sorted(FUNCTION_WORDS)])
-    t = F.when(function, F.greatest("n_t", FUNCTION_SHARE * n)).otherwise(F.col("n_t"))
+    t = F.greatest("n_t", both, F.when(function, FUNCTION_SHARE * n))
+    # Either share falls as n(e) grows from n(e, t): pairs below the threshold even there need no n(e).
+    strong = F.col("texts") >= min_texts
+    least, at_least = F.when(strong, both).otherwise(F.col("texts")), F.when(strong, t).otherwise(t - both + F.col("texts") + 1)
+    most_share = F.when(least < n, 1 - F.log(at_least / least) / F.log(n / least)).otherwise(1.0)
+    known = known.where(most_share >= disclosure - 1e-9).join(entities, "entity")
     share = F.when(e < n, F.log(n * both / (e * t)) / F.log(n / e)).otherwise(0.0)
     n_1, e_1, t_1 = n - e + F.col("e_texts"), F.col("e_texts"), t - both + F.col("texts") + 1
     most = F.greatest(F.log(n_1 / e_1), F.log(n_1 / t_1))
     bound = F.when(most > 0, F.log(n_1 * F.col("texts") / (e_1 * t_1)) / most).otherwise(0.0)
-    known = known.withColumn("share", F.when(F.col("texts") >= min_texts, share).otherwise(bound))
+    known = known.withColumn("share", F.when(strong, share).otherwise(bound))
     return known.select("entity", "term", "share").where(F.col("share") >= disclosure)
 
 
