@@ -112,16 +112,24 @@ FROM turn_ GROUP BY conv_id"""
 
 _CRC_STEP = "CASE WHEN {0} % 2 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
 
-_SHARDS = f"""
-WITH RECURSIVE round_ AS (
+_CRC_TABLE = f"""
+round_ AS (
   SELECT 0 AS k, i AS byte, CAST(i AS BIGINT) AS c FROM range(256) r(i)
   UNION ALL SELECT k + 1, byte, {_CRC_STEP.format("c")} FROM round_ WHERE k < 8),
-table_ AS (SELECT list(c ORDER BY byte) AS t FROM round_ WHERE k = 8),
+table_ AS (SELECT list(c ORDER BY byte) AS t FROM round_ WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'),
+             lambda h: CAST('0x' || h AS BIGINT)),
+             lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+_SHARDS = f"""
+WITH RECURSIVE {_CRC_TABLE},
 size_ AS (
   SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size,
-         xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-             lambda h: CAST('0x' || h AS BIGINT)),
-             lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+         {_crc32("coalesce(text, '')")} AS text_crc32
   FROM documents, table_),
 sum_ AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM size_),
 shard_ AS (SELECT *, least(CAST((16 * (2 * before + size)) // (2 * total) AS INT), 15) AS shard FROM sum_)
@@ -129,10 +137,61 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
 FROM shard_"""
 
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _tree(nodes: str, start: str) -> str:
+    """All levels of a forest of 16-ary trees, and the siblings of each node."""
+    return f"""
+{nodes}_ AS (
+  {start}
+  UNION ALL SELECT tree, level + 1, r // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY r))
+  FROM {nodes}_ WHERE n > 1 GROUP BY tree, level, r // 16, n),
+{nodes}_side_ AS (
+  SELECT tree, level, r,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, r // 16 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, r // 16 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+  FROM {nodes}_ WHERE n > 1)"""
+
+
+def _climb(name: str, nodes: str, start: str) -> str:
+    return f"""
+{name}_ AS (
+  {start}
+  UNION ALL SELECT c.doc_id, c.source, c.leaf, c.tree, c.level + 1, c.r // 16, sha256(s.lefts || c.f || s.rights), c.proof || s.lefts || s.rights
+  FROM {name}_ c JOIN {nodes}_side_ s ON s.tree IS NOT DISTINCT FROM c.tree AND s.level = c.level AND s.r = c.r),
+{name}_end_ AS (
+  SELECT c.*, n.h AS top FROM {name}_ c JOIN {nodes}_ n ON n.tree IS NOT DISTINCT FROM c.tree AND n.level = c.level AND n.n = 1)"""
+
+
+_MANIFEST = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaf_ AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents, table_),
+rank_ AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM leaf_),
+{_tree("node", "SELECT source AS tree, 0 AS level, r, n, leaf AS h FROM rank_")},
+sub_ AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM node_ WHERE n = 1),
+{_tree("forest", "SELECT 0 AS tree, 0 AS level, r, n, h FROM sub_")},
+{_climb("low", "node", "SELECT doc_id, source, leaf, source AS tree, 0 AS level, r, coalesce(other, leaf) AS f, '' AS proof FROM rank_")},
+{_climb("high", "forest", "SELECT l.doc_id, l.top AS source, l.leaf, 0 AS tree, 0 AS level, s.r, l.f, l.proof FROM low_end_ l JOIN sub_ s ON s.tree IS NOT DISTINCT FROM l.tree")}
+SELECT doc_id, leaf, source AS subroot, top AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top AS verified FROM high_end_"""
+
 LLM_ORACLE: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRINGS,
     "op3_chat_format": _CHAT,
     "op4_near_duplicates": _NEAR,
     "op6_quality_lines": _QUALITY,
     "op10_byte_shards": _SHARDS,
+    "op13_merkle_manifest": _MANIFEST,
 }

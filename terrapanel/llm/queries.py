@@ -12,6 +12,7 @@ from terrapanel.llm.chat import format_segments, read_segments
 from terrapanel.llm.common import documents
 from terrapanel.llm.fingerprints import with_edited
 from terrapanel.llm.langid import identify
+from terrapanel.llm.manifest import document_manifest
 from terrapanel.llm.neardup import near_duplicates
 from terrapanel.llm.packing import pack
 from terrapanel.llm.pii import find
@@ -77,6 +78,10 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), SHARDS)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(documents(spark, sf_dir))
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -88,4 +93,5 @@ LLM_QUERIES = {
     "op8_private_data": op8_private_data,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
