@@ -187,11 +187,62 @@ sub_ AS (
 {_climb("high", "forest", "SELECT l.doc_id, l.top AS source, l.leaf, 0 AS tree, 0 AS level, s.r, l.f, l.proof FROM low_end_ l JOIN sub_ s ON s.tree IS NOT DISTINCT FROM l.tree")}
 SELECT doc_id, leaf, source AS subroot, top AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top AS verified FROM high_end_"""
 
+_TRIE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+turn_ AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv_ AS (
+  SELECT c AS conv_id, c - c % 5 AS base, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL), table_),
+built_ AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS d FROM (
+    SELECT c.conv_id, t.role, t.text, t.p, 0 AS own FROM conv_ c JOIN turn_ t ON t.conv_id = c.base AND t.p <= c.h
+    UNION ALL SELECT c.conv_id, t.role, t.text, t.p, 1 FROM conv_ c JOIN turn_ t ON t.conv_id = c.conv_id AND t.p > c.h)),
+length_ AS (SELECT c.conv_id, count(b.d) AS n FROM conv_ c LEFT JOIN built_ b ON b.conv_id = c.conv_id GROUP BY c.conv_id),
+prefix_ AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS d, '' AS key, '' AS parent, CAST(0 AS BIGINT) AS size FROM conv_
+  UNION ALL
+  SELECT p.conv_id, p.d + 1, sha256(p.key || sha256(b.role) || sha256(b.text)), p.key, CAST(strlen(b.text) AS BIGINT)
+  FROM prefix_ p JOIN built_ b ON b.conv_id = p.conv_id AND b.d = p.d + 1),
+node_ AS (SELECT key, any_value(parent) AS parent, d, any_value(size) AS size, count(*) AS n, min(conv_id) AS least FROM prefix_ GROUP BY key, d),
+kid_ AS (SELECT parent, count(*) AS n FROM node_ WHERE d > 0 GROUP BY parent),
+full_ AS (SELECT x.*, coalesce(k.n, 0) AS kids FROM node_ x LEFT JOIN kid_ k ON k.parent = x.key),
+up_ AS (
+  SELECT key AS top, key, parent, d, kids, (n - 1) * size AS saved FROM full_
+  UNION ALL SELECT f.key, u.key, f.parent, f.d, u.kids, u.saved FROM up_ u JOIN full_ f ON f.key = u.parent AND u.d > 0),
+sum_ AS (SELECT top, count(*) FILTER (WHERE kids = 0) AS leaves, sum(saved) AS saved FROM up_ GROUP BY top),
+end_ AS (
+  SELECT p.key, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+  FROM prefix_ p JOIN length_ l ON l.conv_id = p.conv_id AND l.n = p.d GROUP BY p.key)
+SELECT f.least AS conv_id, f.d AS depth, q.least AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_ f JOIN sum_ s ON s.top = f.key LEFT JOIN end_ e ON e.key = f.key LEFT JOIN node_ q ON q.key = f.parent AND f.d > 0"""
+
+_VECTORS = """
+WITH RECURSIVE vec_ AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link_ AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vec_ a JOIN vec_ b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach_ AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach_ r JOIN link_ l ON l.a = r.other),
+least_ AS (SELECT vec_id, min(other) AS component_id FROM reach_ GROUP BY vec_id),
+count_ AS (SELECT a, count(*) AS n FROM link_ GROUP BY a)
+SELECT l.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least_ l LEFT JOIN count_ c ON c.a = l.vec_id"""
+
 LLM_ORACLE: dict[str, str] = {
     "op1_substring_dedup": _SUBSTRINGS,
     "op3_chat_format": _CHAT,
     "op4_near_duplicates": _NEAR,
     "op6_quality_lines": _QUALITY,
     "op10_byte_shards": _SHARDS,
+    "op11_prefix_trie": _TRIE,
+    "op12_embedding_near_dedup": _VECTORS,
     "op13_merkle_manifest": _MANIFEST,
 }

@@ -19,6 +19,8 @@ from terrapanel.llm.pii import find
 from terrapanel.llm.quality import quality
 from terrapanel.llm.sharding import shard_documents
 from terrapanel.llm.substrings import remove_repeats
+from terrapanel.llm.trie import prefix_trie
+from terrapanel.llm.vectors import near_vectors
 
 SHARDS = 16
 
@@ -78,6 +80,14 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), SHARDS)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), rebuild=True)
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_manifest(documents(spark, sf_dir))
 
@@ -93,5 +103,7 @@ LLM_QUERIES = {
     "op8_private_data": op8_private_data,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_shards": op10_byte_shards,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
