@@ -107,4 +107,6 @@ def test_scale_settings_bounds():
 
     small, big = scale_settings(10 * 1024 ** 3), scale_settings(100 * 1024 ** 4)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.shuffle.partitions"] == "102400"  # 1 GB a reducer
+    few = scale_settings(100 * 1024 ** 4, max_shuffle_partitions=5000)
+    assert few["spark.sql.shuffle.partitions"] == few["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "5000"
