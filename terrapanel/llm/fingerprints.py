@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.llm.common import (
@@ -20,6 +20,7 @@ from terrapanel.llm.common import (
     WordCodes,
     batches,
     map_batches,
+    materialise,
     shingle_codes,
     shuffle_partitions,
     whole_text,
@@ -79,6 +80,10 @@ def fingerprints(docs: DataFrame, columns: list[str], scale: int = SCALE) -> Dat
 
 _ROW = "doc_id long, none boolean, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
+#: The ends of a range: its first document and its last one.
+_RANGE = "first_id long, first_none boolean, first_hash long, first_text string, last_id long, last_none boolean, last_text string"
+_ENDS = [c.split()[0] for c in _RANGE.split(", ")]
+
 
 class _Edits:
     """Result rows of documents that come in order, each made when the one after it is there."""
@@ -107,8 +112,9 @@ def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     descending doc_id order, the first after the last.  Rows that repeat a doc_id follow each other in
     the order of their texts' hashes, null doc_ids come last, a single row follows itself.
 
-    Texts move once, into ranges of doc_ids that are walked in order with one document in hand.  Only
-    the first and the last document of each range meet again, by a join.
+    Texts move once, into ranges of doc_ids that are walked in order with one document in hand.  The
+    walk gives a row a document, and one a range with its first and its last document; only these meet again.
+    All of it comes from one job that is written, so that no second sampling of ranges can disagree with it.
     """
     n = shuffle_partitions(docs.sparkSession)
     text = whole_text()
@@ -116,32 +122,32 @@ def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.col("doc_id").isNull().alias("none"),
         F.xxhash64(text).alias("hash"), text.alias("text"))
     order = [F.col("id").desc(), F.col("none").asc(), F.col("hash").asc()]
-    back = [F.col("id").asc(), F.col("none").desc(), F.col("hash").desc()]
-    ranged = ranged.repartitionByRange(n, *order)
+    ranged = ranged.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def walk(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        edits = _Edits(scale)
+        edits, first, last = _Edits(scale), None, None
         for frame in batches(frames, TEXT_BATCH_ROWS):
-            rows = [edits.feed(i, none, t) for i, none, t in zip(frame["id"], frame["none"], frame["text"], strict=True)]
-            yield pd.DataFrame([r for r in rows if r], columns=_NAMES)
-
-    def first_rows(*by: Column) -> DataFrame:
-        """The first row of each range that has any, in the order ``by``."""
-        nth = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-        return ranged.sortWithinPartitions(*by).select(F.spark_partition_id().alias("part"), nth.alias("nth"), "id", "none", "hash", "text").where("nth = 0")
-
-    # One query: all three read the one exchange of the texts.
-    inside = map_batches(ranged.sortWithinPartitions(*order), walk, _ROW)
-    parts = Window.orderBy("part")  # one row a range
+            rows = []
+            for i, none, key, t in zip(frame["id"], frame["none"], frame["hash"], frame["text"], strict=True):
+                first, last = first or (i, none, key, t), (i, none, t)
+                rows.append(edits.feed(i, none, t))
+            yield pd.DataFrame([r for r in rows if r], columns=_NAMES).assign(**dict.fromkeys(_ENDS))
+        if first:
+            ends = dict(zip(_ENDS, (*first, *last), strict=True))
+            yield pd.DataFrame([ends]).assign(**dict.fromkeys(_NAMES))
+
+    walked = materialise(map_batches(ranged, walk, f"{_ROW}, {_RANGE}"))
+    inside = walked.where("first_id IS NULL").select(*_NAMES)
+    ends = walked.where("first_id IS NOT NULL").select(*_ENDS)
+    parts = Window.orderBy(F.col("first_id").desc(), F.col("first_none").asc(), F.col("first_hash").asc())  # one row a range
     everywhere = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tails = first_rows(*back).withColumn("next", F.coalesce(F.lead("part").over(parts), F.min("part").over(everywhere)))
-    heads = first_rows(*order).select(F.col("part").alias("next"), F.col("text").alias("next_text"))
-    tails = tails.join(heads, "next").select("id", "none", "text", "next_text")
+    following = F.coalesce(F.lead("first_text").over(parts), F.first("first_text").over(everywhere))
+    tails = ends.select("last_id", "last_none", "last_text", following.alias("next_text"))
 
     def close(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for i, none, own, following in zip(frame["id"], frame["none"], frame["text"], frame["next_text"], strict=True):
+            for i, none, own, following in zip(frame["last_id"], frame["last_none"], frame["last_text"], frame["next_text"], strict=True):
                 edits = _Edits(scale)
                 edits.feed(i, none, own)
                 out.append(edits.feed(0, False, following))

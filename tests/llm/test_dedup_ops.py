@@ -1,9 +1,11 @@
 """Substring dedup, near-duplicates, fingerprints."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrapanel.llm import fingerprints, graph, neardup, queries, substrings
 from terrapanel.llm.common import exact_windows
@@ -135,8 +137,9 @@ def test_near_duplicates_awkward(spark):
     by = {r.doc_id: r for r in got if r.doc_id is not None}
     assert by[3].kept and by[4].kept and by[7].kept and by[3].n_shingles == 0
     assert by[6].component_id == 5 and not by[6].kept
-    # the null doc_id comes before all others, and its component has no number
-    assert by[11].component_id is None and by[12].component_id is None and not by[12].kept
+    # the row with a null doc_id takes the id of its component
+    assert by[9].component_id == by[11].component_id == by[12].component_id == 9 and by[9].kept and not by[12].kept
+    assert sorted((r.n_shingles > 0, r.component_id, r.kept) for r in got if r.doc_id is None and r.n_shingles) == [(True, 9, False)]
     assert neardup.near_duplicates(fixtures.empty(spark)).count() == 0
     one = neardup.one_of_each(fixtures.awkward(spark))
     assert one.columns == fixtures.awkward(spark).columns
@@ -144,6 +147,26 @@ def test_near_duplicates_awkward(spark):
     assert neardup.one_of_each(fixtures.empty(spark)).count() == 0
 
 
+def test_null_ids_join_nothing(spark):
+    """Each row is a document: unrelated rows without an id, or with one id, stay apart."""
+    a, b, c = (fixtures.prose(k, 60) for k in (71, 72, 73))
+    rows = [(1, a), (2, a + " x"), (3, b), (4, b + " y"), (None, a + " z"), (None, b), (None, c), (9, c + " q"), (9, fixtures.prose(74, 60)),
+            (None, fixtures.prose(75, 30)), (None, None), (3, b), (3, b)]
+    got = sorted(neardup.near_duplicates(fixtures.texts(spark, rows)).collect(), key=str)
+    expected = [(1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True), (3, 3, True), (4, 3, False), (9, 9, True), (9, 9, True),
+                (None, 1, False), (None, 3, False), (None, 9, False), (None, None, True), (None, None, True)]
+    assert sorted([(r.doc_id, r.component_id, r.kept) for r in got], key=str) == sorted(expected, key=str)
+
+
+def test_one_of_each_keeps_user_columns(spark):
+    names = ["row", "id", "order", "h1", "h2", "component_id", "_text_hash", "_row_key", "same"]
+    rows = [(i, fixtures.prose(i // 2, 40), *[f"{c}{i}" for c in names]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names))
+    out = neardup.one_of_each(docs)
+    assert out.schema == docs.schema
+    assert sorted(map(tuple, out.collect())) == [r for i, r in enumerate(rows) if i % 2 == 0]
+
+
 def test_one_of_each_keeps_a_row_of_every_group(spark):
     """Null and repeated doc_ids neither lose unrelated rows nor join unrelated groups."""
     awkward = [(r[0], r[1]) for r in fixtures.awkward_rows()]
@@ -198,6 +221,24 @@ def test_fingerprint_query(spark):
     assert abs(sum(near) / len(near)) < 0.03 and max(map(abs, near)) < 0.3
 
 
+def test_fingerprints_without_reuse(spark):
+    """More rows than one sample of the ranges, and no exchange is reused: each row once."""
+    docs = spark.range(12_000).select((F.col("id") * 7919 % 100_003).alias("doc_id"), F.concat_ws(" ", *[F.hash("id", F.lit(k)) for k in range(7)]).alias("text"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = fingerprints.with_edited(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert len(rows) == len({r.doc_id for r in rows}) == 12_000
+    ordered = sorted(map(tuple, docs.collect()), reverse=True)
+    texts = [t for _, t in ordered]
+    shas = {r.doc_id: r.edited_sha256 for r in rows}
+    for k, (i, t) in enumerate(ordered):
+        following, cut = texts[(k + 1) % len(texts)], len(t) // 3
+        assert shas[i] == hashlib.sha256((t[: len(t) - cut] + following[:cut]).encode()).hexdigest()
+
+
 def test_fingerprints_merge_and_compare():
     a, b = fixtures.prose(1, 2_000, 3_000), fixtures.prose(2, 100, 3_000)
     whole = fingerprints.sketch(f"{a} {b}")
