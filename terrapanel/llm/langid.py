@@ -154,9 +154,8 @@ def _profiles(drawn: DataFrame) -> dict[str, Profile]:
 def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit both levels on text and lang of ``labelled`` rows with neither null.
 
-    The sample is drawn by a hash of text and row number, at a rate that gives
-    ``sample_per_language`` rows of each language on average whatever the input size; whole
-    texts are used.  No labelled rows give a model that answers ``und``.
+    The sample is drawn by the texts' hashes, at a rate that gives ``sample_per_language`` rows of each
+    language on average whatever the input size and its files; whole texts are used.  No labelled rows give a model that answers ``und``.
     """
     from pyspark.ml.functions import array_to_vector
 
@@ -165,23 +164,29 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     if not counts:
         return Model({}, [], {})
     rate = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, sample_per_language / n))])
-    # Rows are drawn one by one: copies of one text are neither all in nor all out.
-    drawn = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1_000_000))
-    sample = rows.withColumn("_draw", drawn).where(F.col("_draw") < rate[F.col("lang")] * 1_000_000).select("lang", "text")
+    # A text with n rows is drawn n times the rate often, rounded by its hash: neither the layout of the
+    # table nor copies that all share one hash decide.
+    keyed = rows.select("lang", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
+    rated = keyed.groupBy("lang", "h1", "h2").agg(F.count("*").alias("n")).withColumn("often", F.col("n") * rate[F.col("lang")])
+    part = F.pmod("h1", F.lit(1_000_000)) / 1_000_000
+    wanted = rated.withColumn("often", (F.floor("often") + (part < F.col("often") - F.floor("often")).cast("long"))).where("often > 0")
+    sample = keyed.join(wanted.drop("n"), ["lang", "h1", "h2"]).groupBy("lang", "h1", "h2").agg(F.first("text").alias("text"), F.first("often").alias("often"))
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames, TEXT_BATCH_ROWS):
             vectors = [features(t) for t in frame["text"]]
             ok = [v is not None for v in vectors]
-            yield pd.DataFrame({"lang": frame["lang"][ok], "x": [v for v in vectors if v is not None]})
+            yield frame.loc[ok, ["lang", "h1", "h2", "often"]].assign(x=[v for v in vectors if v is not None])
 
-    drawn = materialise(map_batches(sample, run, "lang string, x array<double>"))
+    drawn = map_batches(sample, run, "lang string, h1 long, h2 long, often long, x array<double>")
+    drawn = materialise(drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("often").cast("int")))))
     present = sorted(r["lang"] for r in drawn.select("lang").distinct().collect())
     family = F.create_map(*[F.lit(x) for k in present for x in (k, family_of(k))]) if present else F.lit(None)
     if not present:
         return Model({}, [], {})
+    # A few MB in all, in one order: sums and fits are the same whatever the files were.
+    drawn = drawn.coalesce(1).sortWithinPartitions("lang", "h1", "h2", "copy")
     ready = drawn.select("lang", family[F.col("lang")].alias("family"), array_to_vector("x").alias("features"))
-    ready = ready.coalesce(4)  # a few MB in all; so few partitions are summed without another stage
     langs: dict[str, list[str]] = {}
     for lang in present:
         langs.setdefault(family_of(lang), []).append(lang)

@@ -20,6 +20,15 @@ def test_language_held_out_accuracy(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.98
 
 
+def test_language_does_not_depend_on_files(spark, tmpdir_path):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    told = []
+    for n in (1, 7):
+        docs.repartition(n).write.parquet(f"{tmpdir_path}/{n}")
+        told.append(sorted(map(tuple, langid.identify(spark.read.parquet(f"{tmpdir_path}/{n}")).collect())))
+    assert told[0] == told[1]
+
+
 def test_language_levels():
     """The family decides first; within it the pairwise winner, with ties by margin and name."""
     x = np.zeros(langid.DIMENSIONS)
