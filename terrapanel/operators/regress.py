@@ -3,23 +3,25 @@
 No design matrix is ever built.  Per-group OLS and the three-factor ridge are
 solved by Gaussian elimination written as column arithmetic on the moment
 table (one row per group), so thousands of groups solve in one codegen'd
-projection.  The fixed-effects ridge with country and year dummies needs a
-p x p solve (p = countries + years + factors); its statistics are aggregated
-on the cluster and only they reach the driver.
+projection.  The fixed-effects ridge with country and year dummies eliminates the
+countries by one aggregate, whatever their number; the driver solves what is
+left, a system of years and factors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terrapanel.functions.stats import apply_stages, solve_stages, with_t_tail
 from terrapanel.operators.series import _ship_code_with_udfs as ship_code
 from terrapanel.operators.stats import corr_sql, cov_col, mean_col, moments, sd_col
+from terrapanel.session import cut_lineage
 
 GROUP_TARGET = "temperature"
 GROUP_FACTORS = ("co2", "precipitation", "energy", "population")
@@ -233,101 +235,137 @@ def ridge_predictions(
 # Fixed-effects ridge with country and year dummies
 # --------------------------------------------------------------------------
 
-def pooled_statistics(
+@dataclass(frozen=True)
+class PooledFit:
+    """A solved fixed-effects ridge: what is as large as the entities stays a DataFrame, the rest is small.
+
+    ``effects`` has one row an entity but the first (its reference): the entity, ``sd`` of its dummy and
+    ``b_<target>``; ``periods`` and ``factors`` map a level or factor to its coefficient a target.
+    """
+
+    targets: list[str]
+    factor_names: list[str]
+    entity: str
+    period: str
+    effects: DataFrame
+    periods: dict
+    factors: dict
+    period_sd: dict
+    constant: dict
+    rss: dict
+    n: int
+    p: int
+    dof: int
+    glob: dict
+
+
+def _entity_table(panel: DataFrame, cols: Sequence[str], glob: dict, entity: str, period: str) -> tuple[DataFrame, list]:
+    """One row an entity (rows, sums of z-scores, rows by period), written; and one row a period on the driver."""
+    z = [F.sum((F.col(c) - F.lit(glob[mean_col(c)])) / F.lit(glob[sd_col(c)])).alias(c) for c in cols]
+    cells = cut_lineage(panel.groupBy(entity, period).agg(F.count(F.lit(1)).alias("_n"), *z))
+    totals = [F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in cols]]
+    by_period = F.map_from_entries(F.collect_list(F.struct(F.col(period), F.col("_n")))).alias("_by")
+    return cut_lineage(cells.groupBy(entity).agg(*totals, by_period)), cells.groupBy(period).agg(*totals).orderBy(period).collect()
+
+
+def _weighted_products(vectors: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of w v v' and of m w v over rows (w, m, v): numpy in each task, ``width`` squared numbers leave it."""
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width + 1, width))
+        for frame in frames:
+            for at in range(0, len(frame), 4096):
+                part = frame.iloc[at : at + 4096]
+                v, w, m = np.vstack(part["v"].to_numpy()), part["w"].to_numpy(), part["m"].to_numpy()
+                total[:width] += (v * w[:, None]).T @ v
+                total[width] += (m * w) @ v
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "x": total.ravel()})
+
+    parts = vectors.mapInPandas(run, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x"))
+    out = np.zeros((width + 1, width))
+    for r in parts.collect():  # width squared rows, whatever the number of entities
+        out[r["i"], r["j"]] = r["x"]
+    return out[:width], out[width]
+
+
+def fit_pooled(
     panel: DataFrame,
     targets: Sequence[str] = POOLED_TARGETS,
     factors: Sequence[str] = POOLED_FACTORS,
     entity: str = "country_code",
     period: str = "year",
-) -> tuple[dict, list]:
-    """Sufficient statistics of the dummy model, aggregated on the cluster.
-
-    Returns the global moment row and one row per (entity, period) cell with
-    the count and the sums of deviations from the global means.  Their size
-    is bounded by |entities| x |periods| — the size of the p x p system —
-    whatever the number of underlying rows.
-    """
-    cols = list(targets) + list(factors)
-    glob = moments(panel, cols).first().asDict()
-    cells = (
-        panel.groupBy(entity, period)
-        .agg(F.count(F.lit(1)).alias("_n"),
-             *[F.sum(F.col(c) - F.lit(glob[mean_col(c)])).alias(c) for c in cols])
-        .collect()
-    )
-    return glob, cells
-
-
-def solve_pooled(
-    glob: dict,
-    cells: list,
-    targets: Sequence[str],
-    factors: Sequence[str],
-    entity: str,
-    period: str,
-    lam: float,
-    panel_columns: int,
-) -> tuple[list[str], dict[str, np.ndarray], dict[str, float], int, int, dict]:
-    """Driver-side p x p ridge on z-scored dummies + factors (drop-first levels).
-
-    Returns (term names, beta per target, RSS per target, dof, p,
-    (mean, sd) per term name).
+    lam: float = 1.0,
+    panel_columns: int = PANEL_COLUMNS,
+) -> PooledFit:
+    """Ridge on z-scored entity and period dummies (drop-first levels) and factors, by block elimination.
+
+    The entities' block of the normal equations is a diagonal minus a rank-one matrix, so its inverse is known in
+    closed form and one aggregate over the entities gives the Schur complement of everything
+    else.  Only that system, of periods and factors, is solved on the driver; entity effects come back
+    as an expression over the entity table.  The number of entities is free, that of periods
+    is bounded by the time axis (their square is held).
     """
     targets, factors = list(targets), list(factors)
-    cols = targets + factors
+    cols = factors + targets
+    glob = moments(panel, cols).first().asDict()
     n = float(glob["n"])
-    ents = sorted({r[entity] for r in cells})
-    pers = sorted({r[period] for r in cells})
-    e_lv, p_lv = ents[1:], pers[1:]
-    e_ix = {v: i for i, v in enumerate(e_lv)}
-    p_ix = {v: len(e_lv) + i for i, v in enumerate(p_lv)}
-    nd = len(e_lv) + len(p_lv)
-    p = nd + len(factors)
-    cnt = np.zeros(nd)
-    cross = np.zeros((nd, nd))
-    dsum = np.zeros((nd, len(cols)))
-    for r in cells:
-        idx = [i for i in (e_ix.get(r[entity]), p_ix.get(r[period])) if i is not None]
-        for i in idx:
-            cnt[i] += r["_n"]
-            dsum[i] += [r[c] for c in cols]
-        if len(idx) == 2:
-            cross[idx[0], idx[1]] += r["_n"]
-            cross[idx[1], idx[0]] += r["_n"]
-    m = cnt / n
-    cov = cross / n - np.outer(m, m)
-    np.fill_diagonal(cov, m * (1 - m))
-    sd_d = np.sqrt(m * (1 - m))
-    # continuous block
-    ccov = np.zeros((len(cols), len(cols)))
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                ccov[i, j] = glob[sd_col(a)] ** 2
-            else:
-                ccov[i, j] = glob[cov_col(a, b)] if i < j else glob[cov_col(b, a)]
-    sd_c = np.array([glob[sd_col(c)] for c in cols])
-    nt = len(targets)
-    full = np.zeros((p, p))
-    full[:nd, :nd] = cov
-    full[:nd, nd:] = dsum[:, nt:] / n
-    full[nd:, :nd] = full[:nd, nd:].T
-    full[nd:, nd:] = ccov[nt:, nt:]
-    sd = np.concatenate([sd_d, sd_c[nt:]])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        corr = full / np.outer(sd, sd)
-        betas, rss = {}, {}
-        for ti, t in enumerate(targets):
-            cy = np.concatenate([dsum[:, ti] / n, ccov[nt:, ti]])
-            ry = cy / (sd * sd_c[ti])
-            b = np.linalg.solve(n * corr + lam * np.eye(p), n * ry)
-            betas[t] = b
-            rss[t] = float(n - 2 * n * b @ ry + n * b @ corr @ b)
-    names = [f"CC_{v}" for v in e_lv] + [f"YEAR_{v}" for v in p_lv] + factors
-    dof = int(n) - (panel_columns + 1)
-    scales = {nm: (float(mu), float(sdv)) for nm, mu, sdv in zip(
-        names, list(m) + [glob[mean_col(f)] for f in factors], sd)}
-    return names, betas, rss, dof, p, scales
+    table, periods = _entity_table(panel, cols, glob, entity, period)
+    first = table.agg(F.min(entity)).first()[0]
+    levels = [r[period] for r in periods][1:]
+    m_p = np.array([r["_n"] for r in periods][1:]) / n
+    s_p = np.sqrt(m_p * (1 - m_p))
+    q, width = len(levels) + len(factors), len(levels) + len(cols)
+
+    # Everything but the entities: products of z-scored columns, targets last.
+    corr = np.array([[1.0 if a == b else glob[cov_col(*sorted((a, b), key=cols.index))] / (glob[sd_col(a)] * glob[sd_col(b)])
+                      for b in cols] for a in cols])
+    rest = np.zeros((width, width))
+    rest[: len(levels), : len(levels)] = n * (np.diag(m_p) - np.outer(m_p, m_p)) / np.outer(s_p, s_p)
+    sums = np.array([[r[c] for c in cols] for r in periods][1:]).reshape(len(levels), len(cols))
+    rest[: len(levels), len(levels) :] = sums / s_p[:, None]
+    rest[len(levels) :, : len(levels)] = rest[: len(levels), len(levels) :].T
+    rest[len(levels) :, len(levels) :] = n * corr
+
+    # An entity's row of products with all of these, times its dummy's sd; w and m are its weight and share.
+    share = F.col("_n") / F.lit(n)
+    weight = F.lit(1.0) / (share * (F.lit(n) + F.lit(float(lam)) * (F.lit(1.0) - share)))
+    dummies = [(F.coalesce(F.element_at("_by", F.lit(v)).cast("double"), F.lit(0.0)) - F.col("_n") * F.lit(float(mu))) / F.lit(float(sd))
+               for v, mu, sd in zip(levels, m_p, s_p, strict=True)]
+    vector = F.array(*dummies, *[F.col(c).cast("double") for c in cols])
+    others = table.where(F.col(entity) != F.lit(first)).select(entity, weight.alias("w"), share.alias("m"), vector.alias("v"))
+    gram, h = _weighted_products(others.select("w", "m", "v"), width)
+    # One minus the rank-one part's own product, without the cancellation.
+    held = F.sum(F.col("m") * F.col("m") * F.col("w") * (F.lit(1.0) - F.col("m")))
+    first_share = table.where(F.col(entity) == F.lit(first)).agg(F.sum("_n")).first()[0] / n
+    delta = first_share + lam * (others.agg(held).first()[0] or 0.0)
+
+    schur = rest - gram - n * np.outer(h, h) / delta
+    solved = np.linalg.solve(schur[:q, :q] + lam * np.eye(q), schur[:q, q:])
+    effects, constant, dots = others, {}, []
+    sd = F.sqrt(F.col("m") * (F.lit(1.0) - F.col("m")))
+    for k, t in enumerate(targets):
+        b = solved[:, k]
+        g = float(h[q + k] - h[:q] @ b)
+        # Weights of the vector whose product is what the other terms leave of the target.
+        left = np.concatenate([-b, np.eye(len(targets))[k]])
+        rows = F.zip_with("v", F.array(*[F.lit(float(x)) for x in left]), lambda x, y: x * y)
+        tau = F.aggregate(rows, F.lit(0.0), lambda a, x: a + x)
+        effects = effects.withColumn(f"b_{t}", F.col("w") * sd * (tau + F.lit(n * g / delta) * F.col("m")))
+        constant[t] = -g / delta - float(b[: len(levels)] @ (m_p / s_p)) if len(levels) else -g / delta
+        dots += [F.sum(F.col(f"b_{t}") * F.col("v")[q + k] / sd).alias(f"dot_{t}"), F.sum(F.col(f"b_{t}") ** 2).alias(f"sq_{t}")]
+    effects = cut_lineage(effects.withColumn("sd", sd))
+    sums = effects.agg(*dots).first()
+    rss = {}
+    for k, t in enumerate(targets):
+        b = solved[:, k]
+        # The residuals' squares by the normal equations: y'y - b'r - lam b'b.
+        rss[t] = n - float(b @ rest[:q, q + k]) - (sums[f"dot_{t}"] or 0.0) - lam * (float(b @ b) + (sums[f"sq_{t}"] or 0.0))
+    entities = table.count()
+    return PooledFit(
+        targets, factors, entity, period, effects.select(entity, "sd", *[f"b_{t}" for t in targets]),
+        {v: {t: float(solved[i, k]) for k, t in enumerate(targets)} for i, v in enumerate(levels)},
+        {f: {t: float(solved[len(levels) + i, k]) for k, t in enumerate(targets)} for i, f in enumerate(factors)},
+        dict(zip(levels, map(float, s_p), strict=True)), constant, rss, int(n), entities - 1 + q, int(n) - (panel_columns + 1), glob)
 
 
 def pooled_effects(
@@ -340,38 +378,30 @@ def pooled_effects(
     alpha: float = 0.05,
     decision_tail: str = "one",
     panel_columns: int = PANEL_COLUMNS,
+    fit: PooledFit | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fixed-effects ridge with drop-first country and year dummies.
 
     Returns ``(coefficients, tests)``: coefficients (target, term, beta) for
     the intercept, every dummy and every factor; tests as in
-    :func:`ridge_tests` for the factors.
+    :func:`ridge_tests` for the factors.  ``fit`` is a solution to be used again.
     """
     spark = panel.sparkSession
-    glob, cells = pooled_statistics(panel, targets, factors, entity, period)
-    names, betas, rss, dof, p, _ = solve_pooled(
-        glob, cells, targets, factors, entity, period, lam, panel_columns)
-    n = float(glob["n"])
-    coef_rows = []
-    for t in targets:
-        coef_rows.append((t, "intercept", 0.0))
-        coef_rows += [(t, nm, float(b)) for nm, b in zip(names, betas[t])]
-    coef_schema = T.StructType([
-        T.StructField("target", T.StringType()), T.StructField("term", T.StringType()),
-        T.StructField("beta", T.DoubleType())])
-    coefficients = spark.createDataFrame(coef_rows, coef_schema)
-    spread = n * ((p + 1) - 1.0 / (p + 1))
-    test_rows = []
-    for t in targets:
-        se = float(np.sqrt(rss[t] / dof / spread)) if dof > 0 else None
-        for f in factors:
-            test_rows.append((t, f, float(betas[t][names.index(f)]), se, dof))
-    test_schema = T.StructType([
-        T.StructField("target", T.StringType()), T.StructField("factor", T.StringType()),
-        T.StructField("beta", T.DoubleType()), T.StructField("se", T.DoubleType()),
-        T.StructField("dof", T.LongType())])
-    tests = finish_tests(spark.createDataFrame(test_rows, test_schema), alpha, decision_tail)
-    return coefficients, tests
+    fit = fit or fit_pooled(panel, targets, factors, entity, period, lam, panel_columns)
+    small, test_rows = [], []
+    spread = fit.n * ((fit.p + 1) - 1.0 / (fit.p + 1))
+    for t in fit.targets:
+        small.append((t, "intercept", 0.0))
+        small += [(t, f"YEAR_{v}", b[t]) for v, b in fit.periods.items()]
+        small += [(t, f, b[t]) for f, b in fit.factors.items()]
+        se = float(np.sqrt(fit.rss[t] / fit.dof / spread)) if fit.dof > 0 else None
+        test_rows += [(t, f, b[t], se, fit.dof) for f, b in fit.factors.items()]
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.concat(F.lit("CC_"), F.col(fit.entity).cast("string")).alias("term"),
+                                        F.col(f"b_{t}").alias("beta")) for t in fit.targets]))
+    coefficients = spark.createDataFrame(small, "target string, term string, beta double").unionByName(
+        fit.effects.select(each.alias("x")).select("x.*"))
+    schema = "target string, factor string, beta double, se double, dof long"
+    return coefficients, finish_tests(spark.createDataFrame(test_rows, schema), alpha, decision_tail)
 
 
 def pooled_predictions(
@@ -382,44 +412,26 @@ def pooled_predictions(
     period: str = "year",
     lam: float = 1.0,
     panel_columns: int = PANEL_COLUMNS,
+    fit: PooledFit | None = None,
 ) -> DataFrame:
     """Fitted values (z units) and squared residuals of the fixed-effects ridge, per panel row.
 
     With standardised dummies the fit is a constant plus one effect per
-    country and one per year plus the factor terms, so each row needs only
-    two small effect tables (one row per level) joined on its keys.
+    country and one per year plus the factor terms: entity effects are joined by
+    their key, years and factors are constants of the expression.
     """
-    spark = panel.sparkSession
-    targets, factors = list(targets), list(factors)
-    glob, cells = pooled_statistics(panel, targets, factors, entity, period)
-    names, betas, _, _, _, scales = solve_pooled(
-        glob, cells, targets, factors, entity, period, lam, panel_columns)
-    nd = len(names) - len(factors)
-    const = {t: -sum(betas[t][i] * scales[names[i]][0] / scales[names[i]][1] for i in range(nd))
-             for t in targets}
-
-    def effects(prefix: str, key: str, key_type: T.DataType) -> DataFrame:
-        rows = []
-        for i, nm in enumerate(names[:nd]):
-            if nm.startswith(prefix):
-                level = nm[len(prefix):]
-                rows.append((int(level) if isinstance(key_type, T.IntegralType) else level,
-                             *[float(betas[t][i] / scales[nm][1]) for t in targets]))
-        schema = T.StructType([T.StructField(key, key_type)]
-                              + [T.StructField(f"_eff_{key}_{t}", T.DoubleType()) for t in targets])
-        return spark.createDataFrame(rows, schema)
-
-    key_types = {f.name: f.dataType for f in panel.schema.fields}
-    out = (panel.join(effects("CC_", entity, key_types[entity]), entity, "left")
-           .join(effects("YEAR_", period, key_types[period]), period, "left"))
+    fit = fit or fit_pooled(panel, targets, factors, entity, period, lam, panel_columns)
+    effects = fit.effects.select(fit.entity, *[(F.col(f"b_{t}") / F.col("sd")).alias(f"_eff_{t}") for t in fit.targets])
+    out = panel.join(effects, fit.entity, "left")
     cols = {}
-    for t in targets:
-        pred = F.lit(const[t]) + F.coalesce(F.col(f"_eff_{entity}_{t}"), F.lit(0.0)) + F.coalesce(
-            F.col(f"_eff_{period}_{t}"), F.lit(0.0))
-        for f in factors:
-            mu, sdv = scales[f]
-            pred = pred + F.lit(float(betas[t][names.index(f)])) * (F.col(f) - mu) / sdv
-        z_t = (F.col(t) - glob[mean_col(t)]) / glob[sd_col(t)]
+    for t in fit.targets:
+        pred = F.lit(fit.constant[t]) + F.coalesce(F.col(f"_eff_{t}"), F.lit(0.0))
+        if fit.periods:
+            by_year = F.create_map(*[F.lit(x) for v, b in fit.periods.items() for x in (v, b[t] / fit.period_sd[v])])
+            pred = pred + F.coalesce(F.element_at(by_year, F.col(fit.period)), F.lit(0.0))
+        for f, b in fit.factors.items():
+            pred = pred + F.lit(b[t]) * (F.col(f) - fit.glob[mean_col(f)]) / fit.glob[sd_col(f)]
+        z_t = (F.col(t) - fit.glob[mean_col(t)]) / fit.glob[sd_col(t)]
         cols[f"pred_{t}"] = pred
         cols[f"sq_err_{t}"] = F.pow(pred - z_t, 2)
-    return out.select(entity, period, *[e.alias(c) for c, e in cols.items()])
+    return out.select(fit.entity, fit.period, *[e.alias(c) for c, e in cols.items()])

@@ -36,6 +36,8 @@ from terrapanel.operators.regress import (
     POOLED_FACTORS,
     POOLED_TARGETS,
     group_betas,
+    PooledFit,
+    fit_pooled,
     pooled_effects,
     pooled_predictions,
     ridge_fit,
@@ -248,23 +250,23 @@ def ridge_tests_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(ridge_tests(panel(spark, sf)))
 
 
-_POOLED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_POOLED: dict[tuple[str, str], PooledFit] = {}
 
 
-def _pooled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _pooled(spark: SparkSession, sf: str) -> PooledFit:
     """One fixed-effects solve per session and input, shared by its result tables."""
     key = (application_key(spark), sf)
     if key not in _POOLED:
-        _POOLED[key] = pooled_effects(panel(spark, sf))
+        _POOLED[key] = fit_pooled(panel(spark, sf))
     return _POOLED[key]
 
 
 def pooled_effects_coefficients(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_pooled(spark, sf)[0])
+    return tidy(pooled_effects(panel(spark, sf), fit=_pooled(spark, sf))[0])
 
 
 def pooled_effects_tests(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_pooled(spark, sf)[1])
+    return tidy(pooled_effects(panel(spark, sf), fit=_pooled(spark, sf))[1])
 
 
 # --- indicators -------------------------------------------------------------
@@ -485,7 +487,7 @@ def grid_cells_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pooled_effects_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(pooled_predictions(panel(spark, sf)))
+    return tidy(pooled_predictions(panel(spark, sf), fit=_pooled(spark, sf)))
 
 
 QUERIES: dict[str, Query] = {

@@ -31,7 +31,7 @@ from terrapanel.operators.panel import (
     position_year_sums,
 )
 from terrapanel.operators.rank import bottom_k, group_average, members_of, top_k
-from terrapanel.operators.regress import group_betas, pooled_effects, pooled_predictions
+from terrapanel.operators.regress import fit_pooled, group_betas, pooled_effects, pooled_predictions
 from terrapanel.operators.series import (
     LONG_HORIZON,
     MONTH,
@@ -81,8 +81,9 @@ class PooledResult:
 
 
 def hypothesis_tests(panel: DataFrame, lam: float = 1.0, alpha: float = 0.05) -> PooledResult:
-    coefficients, tests = pooled_effects(panel, lam=lam, alpha=alpha)
-    return PooledResult(coefficients, pooled_predictions(panel, lam=lam), tests)
+    fit = fit_pooled(panel, lam=lam)
+    coefficients, tests = pooled_effects(panel, alpha=alpha, fit=fit)
+    return PooledResult(coefficients, pooled_predictions(panel, fit=fit), tests)
 
 
 @dataclass

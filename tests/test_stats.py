@@ -6,6 +6,7 @@ from terrapanel.functions.stats import with_t_tail
 from terrapanel.operators.regress import (
     finish_tests,
     group_betas,
+    fit_pooled,
     pooled_effects,
     pooled_predictions,
     ridge_fit,
@@ -163,3 +164,67 @@ def test_pooled_predictions_match_dense(spark):
         pred, sq = ref["pred_" + target]
         assert got[f"pred_{target}"].to_numpy() == pytest.approx(pred, abs=1e-8)
         assert got[f"sq_err_{target}"].to_numpy() == pytest.approx(sq, abs=1e-8)
+
+
+def _many_entities(spark, entities):
+    """An unbalanced panel: three to five of five years an entity."""
+    from pyspark.sql import functions as F
+
+    def noise(k):
+        return (F.pmod(F.xxhash64("e", "year", F.lit(k)), F.lit(100_003)) / 100_003.0).alias(f"u{k}")
+
+    rows = spark.range(entities).select(F.format_string("E%07d", F.col("id")).alias("e"), F.explode(F.sequence(F.lit(2000), F.lit(2004))).alias("year"))
+    rows = rows.where((F.col("year") < 2003) | (F.pmod(F.xxhash64("e", "year"), F.lit(3)) > 0)).select("e", "year", *[noise(k) for k in range(5)])
+    level = F.pmod(F.xxhash64("e"), F.lit(1009)) / 1009.0
+    return rows.select(F.col("e").alias("country_code"), "year", (F.col("u0") + 2 * level).alias("co2"), (F.col("u1") - level).alias("energy"),
+                       F.col("u2").alias("population"), (F.col("u3") + F.col("u0") + 3 * level + F.col("year") / 10).alias("temperature"),
+                       (F.col("u4") - 2 * level).alias("precipitation"))
+
+
+@pytest.mark.parametrize("lam", [1.0, 0.01])
+def test_pooled_effects_unbalanced_match_dense(spark, lam):
+    panel = _many_entities(spark, 120)
+    ref = _dense_build(panel.toPandas(), lam)
+    coef, tests = pooled_effects(panel, lam=lam)
+    coef = {(r.target, r.term): r.beta for r in coef.collect()}
+    for target in ["temperature", "precipitation"]:
+        beta, se, names = ref[target]
+        assert len(names) == 119 + 4 + 3
+        for name, b in zip(names, beta[1:]):
+            assert coef[(target, name)] == pytest.approx(b, abs=1e-8)
+    for r in tests.collect():
+        assert r.se == pytest.approx(ref[r.target][1], rel=1e-8)
+
+
+def test_pooled_effects_of_a_hundred_thousand_entities(spark):
+    """The normal equations of every entity hold; nothing as large as the entities is on the driver."""
+    from pyspark.sql import functions as F
+
+    lam = 1.0
+    panel = _many_entities(spark, 100_000).persist()
+    fit = fit_pooled(panel, lam=lam)
+    assert fit.effects.count() == 99_999
+    n = panel.count()
+    stats = panel.agg(F.avg("temperature").alias("m"), F.stddev_pop("temperature").alias("s")).first()
+    predicted = pooled_predictions(panel, fit=fit).join(panel.select("country_code", "year", "temperature"), ["country_code", "year"])
+    left = (F.col("temperature") - stats["m"]) / stats["s"] - F.col("pred_temperature")
+    each = predicted.groupBy("country_code").agg(F.sum(left).alias("left"), F.count("*").alias("rows")).join(fit.effects, "country_code")
+    worst, everything = each.agg(F.max(F.abs(F.col("left") / F.col("sd") - lam * F.col("b_temperature"))), F.sum("rows")).first()
+    assert everything > 0.99 * n and worst < 1e-6
+    rss = predicted.agg(F.sum(left * left)).first()[0]
+    assert fit.rss["temperature"] == pytest.approx(rss, rel=1e-9)
+    panel.unpersist()
+
+
+def test_pooled_effects_of_one_entity_or_one_period(spark):
+    panel = _many_entities(spark, 60)
+    for part in (panel.where("year = 2001"), panel.where("country_code = 'E0000007' OR country_code = 'E0000009'")):
+        pdf = part.toPandas()
+        ref = _dense_build(pdf) if len(set(pdf.year)) > 1 else None
+        coef, _ = pooled_effects(part)
+        got = {(r.target, r.term): r.beta for r in coef.collect()}
+        if ref:
+            beta, _, names = ref["temperature"]
+            assert [got[("temperature", name)] for name in names] == pytest.approx(list(beta[1:]), abs=1e-8)
+        else:
+            assert len(got) == 2 * (1 + 59 + 3) and all(np.isfinite(list(got.values())))
