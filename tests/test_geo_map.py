@@ -29,8 +29,8 @@ def _brute(points, places):
     return out
 
 
-@pytest.mark.parametrize("edge", [None, 0.002, 0.5])
-def test_nearest_place_matches_brute_force(spark, edge):
+@pytest.mark.parametrize("leaf_places", [8, 1, 2000])
+def test_nearest_place_matches_brute_force(spark, leaf_places):
     rng = np.random.default_rng(11)
     places = []
     # a dense cluster (a third of the places within ~1 km) plus scattered places
@@ -43,10 +43,54 @@ def test_nearest_place_matches_brute_force(spark, edge):
     points += [(90.0, 0.0), (-90.0, 0.0), (0.0, 180.0), (0.0, -180.0)]
     pl = spark.createDataFrame(places, "place_id long, latitude double, longitude double, cc string")
     pt = spark.createDataFrame(points, "latitude double, longitude double")
-    got = {(r.latitude, r.longitude): r.place_id for r in nearest_place(pt, pl, edge).collect()}
+    got = {(r.latitude, r.longitude): r.place_id for r in nearest_place(pt, pl, leaf_places).collect()}
     assert got == _brute(points, places)
 
 
+def _candidates(spark, places, points):
+    """Candidates a point, after the answer was compared with all places."""
+    from pyspark.sql import functions as F
+
+    from terrapanel.operators.geo import _distinct_places, _with_xyz, candidate_places
+
+    pl = spark.createDataFrame(places, "place_id long, latitude double, longitude double, cc string")
+    pt = spark.createDataFrame(points, "latitude double, longitude double")
+    got = {(r.latitude, r.longitude): r.place_id for r in nearest_place(pt, pl).collect()}
+    xyz = np.array([_xyz(la, lo) for _, la, lo, _ in places])
+    for la, lo in points:
+        far = np.linalg.norm(xyz - _xyz(la, lo), axis=1)
+        assert np.linalg.norm(xyz[got[(la, lo)]] - _xyz(la, lo)) <= far.min() + 1e-15
+    counts = candidate_places(_with_xyz(pt.distinct()), _distinct_places(pl)).groupBy("latitude", "longitude").agg(F.count("*").alias("n"))
+    return [r.n for r in counts.collect()]
+
+
+def test_one_region_and_points_all_over_the_world(spark):
+    """Points far from all places, also the ones on the opposite side, meet few of them."""
+    rng = np.random.default_rng(3)
+    places = [(i, float(rng.uniform(45, 50)), float(rng.uniform(0, 8)), "FR") for i in range(4000)]
+    points = [(float(math.degrees(math.asin(rng.uniform(-1, 1)))), float(rng.uniform(-180, 180))) for _ in range(300)]
+    points += [(-47.5, -176.0), (-46.0, -173.0), (90.0, 0.0), (-90.0, 0.0)]
+    n = _candidates(spark, places, points)
+    assert len(n) == len(points) and sum(n) / len(n) <= 50
+
+
+def test_a_city_with_a_third_of_all_places(spark):
+    rng = np.random.default_rng(4)
+    places = [(i, 48.85 + float(rng.normal()) * 0.02, 2.35 + float(rng.normal()) * 0.02, "FR") for i in range(3000)]
+    places += [(3000 + i, float(rng.uniform(-60, 70)), float(rng.uniform(-180, 180)), "X") for i in range(6000)]
+    points = [(48.85 + float(rng.normal()) * 0.03, 2.35 + float(rng.normal()) * 0.03) for _ in range(300)]
+    points += [(float(rng.uniform(-90, 90)), float(rng.uniform(-180, 180))) for _ in range(200)]
+    n = _candidates(spark, places, points)
+    assert len(n) == len(points) and sum(n) / len(n) <= 50
+
+
+def test_nearest_place_without_places(spark):
+    pl = spark.createDataFrame([], "place_id long, latitude double, longitude double, cc string")
+    pt = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "latitude double, longitude double")
+    assert nearest_place(pt, pl).collect() == []
+    assert nearest_place(pt.limit(0), pl).collect() == []
+
+
 def test_nearest_place_with_a_hot_position(spark):
     # a third of all places share one position: they collapse to the smallest id
     places = [(1000 + i, 10.0, 20.0, "HOT") for i in range(200)]
