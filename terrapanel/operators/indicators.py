@@ -10,10 +10,9 @@ at the NaN-aware Euclidean distance
 
 T the number of year columns.  The gap gets the mean of the k nearest donors
 with a defined distance (ties broken by entity code), or the year's mean when
-no donor has one.  Everything runs in long form; the donor search is pruned
-by value bands (see :func:`knn_fill`), distances of candidate pairs are a
-join on the year followed by a grouped sum, donors are ranked per missing
-cell.
+no donor has one.  The donor search is pruned by equi-depth value buckets (see
+:func:`knn_fill`); distances of candidate pairs are array expressions, donors
+are ranked per missing cell.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.session import cut_lineage
@@ -77,153 +77,149 @@ def pair_distances(cells: DataFrame, entity: str, n_features: int,
              F.sqrt(F.lit(float(n_features)) / F.col("n_shared") * F.col("_ss")).alias("distance"))
 
 
-# Band search for the donors: growth of the band per level and the number of
-# pivot years per receiver.
-BAND_GROWTH = 4.0
-N_PIVOTS = 3
+#: Donors of a value bucket, growth of the window of buckets a level, buckets a year at most.
+BUCKET, GROWTH, MAX_BUCKETS = 32, 4, 1024
+#: Years whose presence patterns decide how many pivots a receiver needs: at most 2 ** 12 patterns.
+PATTERN_YEARS = 12
 
 
-def _pair_distances_for(pairs: DataFrame, present: DataFrame, entity: str, n_features: int) -> DataFrame:
-    """Exact NaN-aware distances for the given (a, b) pairs; pairs sharing no year get no row."""
-    pa = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va"))
-    pb = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
-    return pairs.join(pa, "a").join(pb, ["b", PERIOD]).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("n_shared"),
-        F.sum(F.pow(F.col("va") - F.col("vb"), 2)).alias("_ss"),
-    ).select("a", "b", F.sqrt(F.lit(float(n_features)) / F.col("n_shared") * F.col("_ss")).alias("distance"))
+def _vectors(cells: DataFrame, entity: str) -> tuple[DataFrame, list]:
+    """One row an entity: ``e``, ``vec`` (its values in the order of the years, null for a gap); and the years."""
+    years = [r[0] for r in cells.select(PERIOD).distinct().orderBy(PERIOD).collect()]  # the time axis
+    one = cells.groupBy(entity, PERIOD).agg(F.max(VALUE).alias(VALUE))
+    by_year = one.groupBy(F.col(entity).alias("e")).agg(F.map_from_entries(F.collect_list(F.struct(PERIOD, VALUE))).alias("m"))
+    vec = F.array(*[F.element_at("m", F.lit(y)) for y in years]).cast("array<double>")
+    return cut_lineage(by_year.select("e", vec.alias("vec"))), years
+
+
+def _pivot_counts(vectors: DataFrame, order: list[int]) -> dict[int, int]:
+    """For each pattern of present top years: the number of its years, in order, that reach every donor.
+
+    A donor that lacks all pivots so far would need one more.  Where the top years don't reach all
+    donors, every present year is a pivot (a donor that lacks all of these is not comparable).
+    """
+    top = order[:PATTERN_YEARS]
+    patterns = {r[0] for r in vectors.select(_pattern(top).alias("p")).distinct().collect()}  # at most 2 ** PATTERN_YEARS
+    donors = np.array(sorted(patterns))
+    out = {}
+    for mask in patterns:
+        own = [k for k in range(len(top)) if mask >> k & 1]
+        lacking, out[mask] = donors, len(order)
+        for r, k in enumerate(own, 1):
+            lacking = lacking[(lacking >> k & 1) == 0]
+            if not len(lacking):
+                out[mask] = r
+                break
+    return out
+
 
+def _pattern(top: list[int]) -> Column:
+    bits = [F.when(F.col("vec")[i].isNotNull(), 1 << k).otherwise(0) for k, i in enumerate(top)]
+    return sum(bits, F.lit(0)).cast("int")
 
-def _nearest(cells: DataFrame, dist: DataFrame, donors: DataFrame, k: int) -> DataFrame:
-    """Per missing cell (a, _period): mean of the k nearest donors having that year."""
-    cand = cells.join(dist, "a").join(donors, ["b", PERIOD])
-    ranked = cand.withColumn(
-        "_rk", F.row_number().over(Window.partitionBy("a", PERIOD).orderBy("distance", "b")))
-    return ranked.where(F.col("_rk") <= k).groupBy("a", PERIOD).agg(
-        F.avg("vb").alias("_knn"), F.count(F.lit(1)).alias("n_donors"), F.max("distance").alias("_kth"))
 
+def _bucket(value: Column, bounds: Column) -> Column:
+    """How many of the ascending ``bounds`` are at most ``value``, by steps of 32 and then of one."""
+    steps = F.filter(bounds, lambda x, i: (i % 32 == 0) & (x <= value))
+    block = F.greatest(F.size(steps) - 1, F.lit(0)) * 32
+    return block + F.size(F.filter(F.slice(bounds, block + 1, F.lit(32)), lambda x: x <= value))
 
-def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2,
-             levels: int | None = None) -> DataFrame:
+
+def _distance(n_features: int) -> Column:
+    """NaN-aware distance of the arrays va and vb."""
+    squares = F.filter(F.zip_with("va", "vb", lambda x, y: (x - y) * (x - y)), lambda x: x.isNotNull())
+    total = F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)
+    return F.sqrt(F.lit(float(n_features)) / F.size(squares) * total)
+
+
+def candidate_donors(vectors: DataFrame, open_cells: DataFrame, pivots: DataFrame, donors: DataFrame, half: int, buckets: int) -> DataFrame:
+    """a, va, w, b: donors whose value lies in a window of ``half`` buckets each side of the receiver's, on a pivot year.
+
+    A donor is met by the first pivot that it has.  Every donor that is not met is farther than ``w``.
+    """
+    inf = F.lit(math.inf)
+    near = pivots.join(open_cells.select("a").distinct(), "a", "left_semi")
+    low, high = F.col("bucket") - half, F.col("bucket") + half + 1
+    gap = F.least(F.when(low >= 1, F.col("value") - F.get("bounds", low - 1)).otherwise(inf),
+                  F.when(high <= buckets - 1, F.get("bounds", high - 1) - F.col("value")).otherwise(inf))
+    near = near.withColumn("gap", gap).withColumn("w", F.min("gap").over(Window.partitionBy("a")))
+    probes = near.select("a", "w", "year", "earlier", F.explode(
+        F.sequence(F.greatest(low, F.lit(0)), F.least(high - 1, F.lit(buckets - 1)))).alias("bucket"))
+    met = probes.join(donors, ["year", "bucket"]).where(
+        (F.col("a") != F.col("b")) & F.forall("earlier", lambda y: F.get("present", y) == 0))
+    whole = vectors.select(F.col("e").alias("a"), F.col("vec").alias("va"))
+    return met.select("a", "w", "b").join(whole, "a")
+
+
+def knn_fill(cells: DataFrame, entity: str, n_features: int, k: int = 2, bucket: int = BUCKET) -> DataFrame:
     """Fill for every missing cell: entity, _period, imputed, n_donors (0 = year mean used).
 
     Exact k-nearest-neighbour search without comparing every receiver with
     every donor.  For any year s both rows have, d(a, b) >= |a_s - b_s|
-    (the scale T/|S| is at least 1).  Each receiver gets up to three pivot
-    years (its years with the most donors).  At band width w the candidates
-    are the donors within w of the receiver on some pivot (equi-joins on
-    value buckets, one per pivot) and the donors lacking all its pivots
-    (found per distinct pivot set); a candidate farther than w on any pivot
-    it shares with the receiver is dropped.  Every dropped or never-seen
-    donor is then provably farther than w, so once the k-th best candidate
-    is within w the cell is settled exactly; otherwise it moves to a band
-    four times wider.  The widest band spans the whole value range, and a
-    final pass over every donor of the year handles the cells still open
-    (those with fewer than k comparable donors).  Each level's results and
-    the open cells are checkpointed.  The same search runs at every size;
-    ``levels=0`` asks for the plain pass over all donors, for comparison.
+    (the scale T/|S| is at least 1).  Each year's values are cut into equi-depth buckets of about
+    ``bucket`` donors, so dense and sparse values cost the same.  A receiver looks at a window of buckets around its
+    own value in each of its pivot years, those with the most donors first, and as many as reach every
+    donor; on the r-th pivot only donors that lack the earlier ones count.  Whoever is outside the
+    windows is farther than the receiver's distance to their nearest edge, so once the k-th
+    best candidate is within that, the cell is settled; otherwise the window grows GROWTH times.  The
+    last window holds everyone.  Each level's results are checkpointed.
     """
-    present = cells.where(F.col(VALUE).isNotNull()).select(entity, PERIOD, VALUE)
-    missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD)
-    donors = present.select(F.col(entity).alias("b"), PERIOD, F.col(VALUE).alias("vb"))
-    years = present.groupBy(PERIOD).agg(
-        F.count(F.lit(1)).alias("_n_t"), F.avg(VALUE).alias("_mean"),
-        (F.max(VALUE) - F.min(VALUE)).alias("_range"), F.max(F.abs(VALUE)).alias("_amax"))
-    receivers = missing.select("a").distinct()
-    if levels is None:
-        # Start near the typical k-th neighbour distance of n donors spread
-        # in about two effective dimensions, range*(2k/n)^(1/2) (yearly
-        # series of one indicator are strongly correlated).  Only speed
-        # depends on it.
-        n_max = years.agg(F.max("_n_t")).first()[0] or 1
-        levels = 1 + max(0, int(math.ceil(0.5 * math.log(max(n_max / (2.0 * k), 1.0), BAND_GROWTH))))
-    if levels == 0:
-        nearest = _all_donors_pass(missing, donors, present, entity, n_features, k)
-    else:
-        years = cut_lineage(years)
-        nearest = _band_search(missing, receivers, present, donors, years, entity, n_features, k, levels)
-    return (
-        missing.join(nearest, ["a", PERIOD], "left")
-        .join(years.select(PERIOD, "_mean"), PERIOD, "left")
-        .select(F.col("a").alias(entity), PERIOD,
-                F.coalesce("_knn", "_mean").alias("imputed"),
-                F.coalesce("n_donors", F.lit(0)).alias("n_donors"))
-    )
-
-
-def _all_donors_pass(open_cells: DataFrame, donors: DataFrame, present: DataFrame, entity: str,
-                     n_features: int, k: int) -> DataFrame:
-    """Exact pass over every donor of the year for the given missing cells."""
-    pairs = open_cells.join(donors, PERIOD).select("a", "b").distinct()
-    return _nearest(open_cells, _pair_distances_for(pairs, present, entity, n_features), donors, k).drop("_kth")
-
-
-def _band_search(missing: DataFrame, receivers: DataFrame, present: DataFrame, donors: DataFrame,
-                 years: DataFrame, entity: str, n_features: int, k: int, levels: int) -> DataFrame:
-    """Band levels of :func:`knn_fill`; returns (a, _period, _knn, n_donors) for every settled cell."""
-    stats = years.agg(F.max("_range").alias("r"), F.max("_amax").alias("m")).first()
-    # One bucket width per level for every year keeps the buckets of all
-    # pivots consistent; the widest band spans the largest yearly range.
-    full = max(stats["r"] or 0.0, ((stats["m"] or 0.0) + 1.0) * 1e-9)
-    rcells = present.select(F.col(entity).alias("a"), PERIOD, F.col(VALUE).alias("va")).join(
-        receivers, "a", "left_semi")
-    order = Window.partitionBy("a").orderBy(F.col("_n_t").desc(), F.col(PERIOD).asc())
-    pivots = cut_lineage(
-        rcells.join(years.select(PERIOD, "_n_t"), PERIOD)
-        .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= N_PIVOTS)
-        .select("a", "_r", F.col(PERIOD).alias("p"), F.col("va").alias("ap")))
-    pcols = [f"_p{r}" for r in range(1, N_PIVOTS + 1)]
-    wide_piv = pivots.groupBy("a").agg(*[
-        c for r in range(1, N_PIVOTS + 1) for c in (
-            F.max(F.when(F.col("_r") == r, F.col("p"))).alias(f"_p{r}"),
-            F.max(F.when(F.col("_r") == r, F.col("ap"))).alias(f"_ap{r}"))])
-    # Donors lacking every pivot of a receiver, per distinct pivot set.
-    sets = wide_piv.select(*pcols).distinct().withColumn(
-        "_set", F.concat_ws(",", *[F.col(c).cast("string") for c in pcols]))
-    set_years = sets.select("_set", F.explode(F.array(*[F.col(c) for c in pcols])).alias("p")).where(
-        F.col("p").isNotNull())
-    set_size = set_years.groupBy("_set").agg(F.count(F.lit(1)).alias("_size"))
-    blind = (set_years.join(missing.select(F.col("a").alias("b"), F.col(PERIOD).alias("p")), "p")
-             .groupBy("_set", "b").agg(F.count(F.lit(1)).alias("_hits"))
-             .join(set_size, "_set").where(F.col("_hits") == F.col("_size")).select("_set", "b"))
-    # A receiver with fewer present years than pivots has NULL pivots and no
-    # set match; rightly so, a donor lacking all its years shares none of them.
-    receiver_set = wide_piv.join(sets, pcols, "left").select("a", "_set")
-    by_year = donors.select("b", F.col(PERIOD).alias("p"), F.col("vb").alias("bp"))
-
-    open_cells = missing
-    settled: list[DataFrame] = []
-    for level in range(levels):
-        w = full * BAND_GROWTH ** (level - levels + 1)
-        open_a = open_cells.select("a").distinct()
-        probes = (pivots.join(open_a, "a", "left_semi")
-                  .withColumn("_d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-                  .withColumn("_bk", F.floor(F.col("ap") / w) + F.col("_d")))
-        banded = by_year.withColumn("_bk", F.floor(F.col("bp") / w))
-        band = probes.join(banded, ["p", "_bk"]).where(
-            (F.col("a") != F.col("b")) & (F.abs(F.col("ap") - F.col("bp")) <= w)).select("a", "b")
-        lacking = receiver_set.join(open_a, "a", "left_semi").join(blind, "_set").where(
-            F.col("a") != F.col("b")).select("a", "b")
-        cand = band.unionByName(lacking).distinct().join(wide_piv, "a")
-        for r in range(1, N_PIVOTS + 1):
-            vals = by_year.select("b", F.col("p").alias(f"_p{r}"), F.col("bp").alias(f"_bp{r}"))
-            cand = cand.join(vals, ["b", f"_p{r}"], "left").where(
-                F.col(f"_bp{r}").isNull() | (F.abs(F.col(f"_ap{r}") - F.col(f"_bp{r}")) <= w))
-        near = _nearest(open_cells, _pair_distances_for(cand.select("a", "b"), present, entity, n_features),
-                        donors, k)
-        # The margin keeps the test exact under rounding: every donor at most
-        # the k-th distance away is then strictly inside the +-1 buckets.
-        done = cut_lineage(near.where(
-            (F.col("n_donors") == k) & (F.col("_kth") <= w * (1.0 - 1e-9))).drop("_kth"))
-        settled.append(done)
-        open_cells = cut_lineage(open_cells.join(done.select("a", PERIOD), ["a", PERIOD], "left_anti"))
+    vectors, years = _vectors(cells, entity)
+    position = F.create_map(*[F.lit(x) for i, y in enumerate(years) for x in (y, i)]) if years else F.lit(None)
+    missing = cells.where(F.col(VALUE).isNull()).select(F.col(entity).alias("a"), PERIOD, position[F.col(PERIOD)].alias("at"))
+    n = range(len(years))
+    stats = vectors.agg(*[F.count(F.col("vec")[i]).alias(f"n{i}") for i in n], *[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in n], F.count("*").alias("n")).first()
+    buckets = max(1, min(MAX_BUCKETS, max([stats[f"n{i}"] for i in n], default=0) // bucket))
+    order = sorted(n, key=lambda i: (-stats[f"n{i}"], i))
+    shares = [j / buckets for j in range(1, buckets)]
+    bounds = [[]] * len(years)
+    if shares:
+        bounds = vectors.agg(*[F.percentile_approx(F.col("vec")[i], shares, 20 * MAX_BUCKETS).alias(f"q{i}") for i in n]).first()
+    spark = cells.sparkSession
+    # A row a year: at most MAX_BUCKETS numbers each.
+    bounds = F.broadcast(spark.createDataFrame([(i, list(bounds[i] or [])) for i in n], "year int, bounds array<double>"))
+
+    counts = _pivot_counts(vectors, order)
+    needed = F.broadcast(spark.createDataFrame(list(counts.items()), "pattern int, needed int"))
+    receivers = vectors.join(missing.select(F.col("a").alias("e")).distinct(), "e", "left_semi").withColumn("pattern", _pattern(order[:PATTERN_YEARS]))
+    ordered = F.array(*[F.lit(i) for i in order]).cast("array<int>")
+    # Without a row for the pattern (none can lack one) all present years would be pivots.
+    chosen = F.slice(F.filter(ordered, lambda i: F.get("vec", i).isNotNull()), F.lit(1), F.coalesce("needed", F.lit(len(order))))
+    pivots = receivers.join(needed, "pattern", "left").select(F.col("e").alias("a"), "vec", chosen.alias("chosen"))
+    pivots = pivots.select("a", "vec", "chosen", F.posexplode("chosen").alias("r", "year")).join(bounds, "year")
+    pivots = cut_lineage(pivots.withColumn("value", F.get("vec", F.col("year"))).select(
+        "a", "year", "bounds", "value", F.slice("chosen", F.lit(1), F.col("r")).alias("earlier"), _bucket(F.col("value"), F.col("bounds")).alias("bucket")))
+    used = pivots.select("year").distinct()
+    present = F.transform("vec", lambda x: F.when(x.isNull(), 0).otherwise(1).cast("byte"))
+    donors = vectors.select(F.col("e").alias("b"), present.alias("present"), F.posexplode("vec").alias("year", "value")).where(F.col("value").isNotNull())
+    donors = donors.join(F.broadcast(bounds), "year").join(used, "year", "left_semi")
+    donors = cut_lineage(donors.select("b", "present", "year", _bucket(F.col("value"), F.col("bounds")).alias("bucket")))
+
+    other = vectors.select(F.col("e").alias("b"), F.col("vec").alias("vb"))
+    open_cells, settled, half = missing, [], 1
+    while True:
+        cand = candidate_donors(vectors, open_cells, pivots, donors, half, buckets).join(other, "b")
+        cand = cand.withColumn("distance", _distance(n_features)).join(open_cells, "a")
+        cand = cand.select("a", PERIOD, "w", "distance", "b", F.get("vb", F.col("at")).alias("v")).where(F.col("v").isNotNull())
+        rank = F.row_number().over(Window.partitionBy("a", PERIOD).orderBy("distance", "b"))
+        best = cand.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("a", PERIOD).agg(
+            F.avg("v").alias("_knn"), F.count(F.lit(1)).alias("n_donors"), F.max("distance").alias("_kth"), F.first("w").alias("w"))
+        last = half >= buckets
+        done = best if last else best.where((F.col("n_donors") == k) & (F.col("_kth") <= F.col("w") * (1.0 - 1e-9)))
+        settled.append(cut_lineage(done.select("a", PERIOD, "_knn", "n_donors")))
+        if last:
+            break
+        open_cells = cut_lineage(open_cells.join(settled[-1].select("a", PERIOD), ["a", PERIOD], "left_anti"))
         if open_cells.isEmpty():
             break
-    else:
-        settled.append(_all_donors_pass(open_cells, donors, present, entity, n_features, k))
-    out = settled[0]
+        half *= GROWTH
+    nearest = settled[0]
     for more in settled[1:]:
-        out = out.unionByName(more)
-    return out
+        nearest = nearest.unionByName(more)
+    mean = F.element_at(F.create_map(*[F.lit(x) for i, y in enumerate(years) for x in (y, stats[f"m{i}"])]), F.col(PERIOD)) if years else F.lit(None)
+    return missing.join(nearest, ["a", PERIOD], "left").select(
+        F.col("a").alias(entity), PERIOD, F.coalesce("_knn", mean.cast("double")).alias("imputed"),
+        F.coalesce("n_donors", F.lit(0)).alias("n_donors"))
 
 
 def knn_impute(wide: DataFrame, ids: Sequence[str], entity: str, k: int = 2,

@@ -59,8 +59,8 @@ def _brute_knn(mat: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-@pytest.mark.parametrize("seed,levels", [(7, None), (8, 0), (9, 1), (10, 6)])
-def test_knn_matches_brute_force(spark, seed, levels):
+@pytest.mark.parametrize("seed,bucket", [(7, 32), (8, 8), (9, 1), (10, 3)])
+def test_knn_matches_brute_force(spark, seed, bucket):
     rng = np.random.default_rng(seed)
     n, t = 30, 8
     mat = rng.normal(size=(n, t)) * 10
@@ -75,7 +75,7 @@ def test_knn_matches_brute_force(spark, seed, levels):
             for i in range(n)]
     wide = _wide(spark, rows, years)
     got = {(r["Country Code"], r["_period"]): r["imputed"]
-           for r in knn_fill(to_cells(wide, IDS), "Country Code", t, 2, levels=levels).collect()}
+           for r in knn_fill(to_cells(wide, IDS), "Country Code", t, 2, bucket).collect()}
     ref = _brute_knn(mat, 2)
     for i in range(n):
         for j in range(t):
@@ -83,6 +83,51 @@ def test_knn_matches_brute_force(spark, seed, levels):
                 assert got[(f"c{i:02d}", 2000 + j)] == pytest.approx(ref[i, j], rel=1e-9)
 
 
+def _log_normal(spark, n, t):
+    """Entities of very different sizes, steady over the years; some lack single years, some the early ones."""
+    from pyspark.sql import functions as F
+
+    def noise(*keys):
+        return (F.pmod(F.xxhash64("id", *[F.lit(k) for k in keys]), F.lit(1_000_003)) + 0.5) / 1_000_003.0
+
+    normal = F.sqrt(-2 * F.log(noise(1))) * F.cos(2 * math.pi * noise(2))
+    rows = spark.range(n).withColumn("size", F.exp(2 * normal))
+    present = [(noise("gap", y) > 0.02) & ((noise("late") > 0.2) | (F.lit(y) >= t // 3)) for y in range(t)]
+    value = [F.when(present[y], F.col("size") * (1 + 0.002 * noise("v", y))) for y in range(t)]
+    cells = F.explode(F.array(*[F.struct(F.lit(2000 + y).alias("_period"), value[y].alias("_value")) for y in range(t)]))
+    return rows.select(F.format_string("e%07d", F.col("id")).alias("code"), cells.alias("c")).select("code", "c.*")
+
+
+def test_knn_of_heavy_tailed_values_meets_few_donors(spark, monkeypatch):
+    from terrapanel.operators import indicators
+
+    n, t = 3000, 9
+    cells = _log_normal(spark, n, t).persist()
+    met = []
+
+    def counted(*args, search=indicators.candidate_donors):
+        found = search(*args)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(indicators, "candidate_donors", counted)
+    got = {(r["code"], r["_period"]): r["imputed"] for r in knn_fill(cells, "code", t, 2).collect()}
+    mat = np.full((n, t), np.nan)
+    for r in cells.where("_value IS NOT NULL").collect():
+        mat[int(r["code"][1:]), r["_period"] - 2000] = r["_value"]
+    receivers = np.flatnonzero(np.isnan(mat).any(axis=1))
+    assert len(got) == np.isnan(mat).sum() and sum(met) < 0.1 * n * len(receivers)
+    for i in receivers[::7]:
+        diff = (mat - mat[i]) ** 2
+        shared = (~np.isnan(diff)).sum(axis=1)
+        d = np.sqrt(np.where(shared, t / np.maximum(shared, 1) * np.nansum(diff, axis=1), np.inf))
+        d[i] = np.inf
+        for y in np.flatnonzero(np.isnan(mat[i])):
+            order = [b for b in np.argsort(d, kind="stable") if not np.isnan(mat[b, y]) and np.isfinite(d[b])][:2]
+            assert got[(f"e{i:07d}", 2000 + y)] == pytest.approx(mat[order, y].mean(), rel=1e-9)
+    cells.unpersist()
+
+
 def test_unpivot_skips_gaps(spark):
     rows = [("A", "A", "i", "c", 1.0, None), ("B", "B", "i", "c", None, 4.0)]
     wide = _wide(spark, rows, ["1960", "1961"])
