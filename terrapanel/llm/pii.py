@@ -1,14 +1,17 @@
 """Information-theoretic sanitisation of personal data.
 
-Native: DataFrame functions only.  Patterns find the protected entities.  How much a term tells
-about an entity is estimated from co-occurrence over the whole corpus: its pointwise mutual
-information with the entity against the entity's information content.  Terms above the
-disclosure threshold are generalised, or removed if they tell nearly everything, in the documents
-that hold the entity.
+Native: DataFrame functions only.  Patterns find the protected entities; what an entity belongs to (an
+address's host, a number's prefix) is protected like it.  What a term leaves unknown of an entity is
+estimated from co-occurrence over the whole corpus: -log P(entity | term), the entity's information less
+what the term tells.  Terms that leave little unknown are generalised, or removed if they leave
+hardly anything, in the documents that hold the entity.  One text is no co-occurrence, and a
+co-occurrence that entities dealt to texts at random would show as well is none either.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,24 +30,16 @@ _PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
-#: Distinct texts that must show a term together with an entity before their counts are taken as they are.
-MIN_TEXTS = 3
-#: Share of the entity's information content that a term may reveal; above the second, it is removed.
-DISCLOSURE = 0.9
-REMOVAL = 0.98
+#: Distinct texts that must show a term together with an entity.
+MIN_TEXTS = 2
+#: Share of the texts with a term that hold the entity, exp(-what is left unknown): from the first on a term is generalised, from the second on removed.
+DISCLOSURE = 0.7
+REMOVAL = 0.95
+#: Chance, under entities dealt at random, below which a co-occurrence counts.
+CHANCE = 1e-3
 #: A term is a run of these: letters with their marks, digits, of any length.
 _TERM_CHARACTERS = r"\p{L}\p{M}\p{N}"
 _TERMS = rf"[{_TERM_CHARACTERS}]++"
-#: Short function words of the given languages count as held by this share of the rows at least, whatever a small corpus says.
-FUNCTION_SHARE = 0.2
-FUNCTION_WORDS = frozenset("""
-a an and are as at be but by did do for had has he her him his i if in is it its me my no nor not of off on or our out she so the to
-up us was we who why you am an auf aus bei bin bis da das dem den der des die du ein er es für hat ich ihm ihn ihr im ist man mir
-mit nur ob sie um und uns vom von vor war was wem wen wer wie wir wo zu zum zur au aux ça car ce ces de du elle en est et eu ils
-il je la le les lui ma mes moi mon ne ni nos on ont ou où par pas peu qui que sa se ses si son sur ta te tes toi ton tu un une
-vos y al con del e el era fue ha han he la las lo los más me mi mis muy no nos o os por que se ser si sí sin son su sus te tus
-un una uno ya yo""".split())
-
 
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
@@ -68,6 +63,13 @@ def _entity(kind: str, match: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), value)
 
 
+def _group(kind: Column, entity: Column) -> Column:
+    """What an entity belongs to: the host of an address, the network of an ip, the issuer of a card, the area of a phone."""
+    value = F.substring_index(entity, ":", -1)
+    return F.concat(F.lit("group:"), kind, F.lit(":"), F.when(kind == "email", F.substring_index(value, "@", -1)).when(
+        kind == "ip", F.substring_index(value, ".", 2)).when(kind == "card", F.substring(value, 1, 6)).otherwise(F.substring(value, 1, 5)))
+
+
 def _matches(text: Column, kind: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(_PATTERNS[kind]), F.lit(0))
     none = F.array().cast("array<string>")
@@ -136,12 +138,13 @@ def _terms(text: Column) -> Column:
 
 
 def held_texts(found: DataFrame, spans: DataFrame) -> DataFrame:
-    """_row, text_hash, entities (hashes), masked: the rows that hold an entity, with as many spaces for its base spans."""
+    """_row, text_hash, entities (hashes, also of their groups), masked: the rows that hold an entity, with as many spaces for its base spans."""
     before = Window.partitionBy("_row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("_row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
     runs = spans.withColumn("new", F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True)).cast("int"))
     whole = runs.withColumn("run", F.sum("new").over(upto)).groupBy("_row", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set(F.xxhash64("entity")).alias("e"))
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.flatten(F.collect_list(F.array(F.xxhash64("entity"), F.xxhash64(_group(F.col("kind"), F.col("entity")))))).alias("e"))
     lists = whole.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"),
                                       F.array_distinct(F.flatten(F.collect_list("e"))).alias("entities"))
     masked = F.expr(
@@ -150,66 +153,59 @@ def held_texts(found: DataFrame, spans: DataFrame) -> DataFrame:
     return found.where("_found").join(lists, "_row").select("_row", F.xxhash64("_text").alias("text_hash"), "entities", masked.alias("masked"))
 
 
+def _entity_terms(texts: DataFrame, entities: DataFrame, *columns: str) -> DataFrame:
+    """columns, entity, term: the distinct terms of each text beside each of its entities that ``entities`` has."""
+    held = texts.select("_row", F.explode("entities").alias("entity")).join(entities.select("entity"), "entity", "left_semi")
+    lists = held.groupBy("_row").agg(F.collect_list("entity").alias("some"))
+    rows = texts.join(lists, "_row").select(*columns, "some", F.explode(_terms(F.col("masked"))).alias("term"))
+    return rows.select(*columns, F.explode("some").alias("entity"), "term")
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, spans: DataFrame, min_texts: int = MIN_TEXTS,
                      disclosure: float = DISCLOSURE, texts: DataFrame | None = None) -> DataFrame:
-    """entity, term, share: the terms that reveal an entity, with the share of its information they reveal.
-
-    With N rows, n(e), n(t) and n(e, t) of them holding an entity, a term and both, the share is
-    log(N n(e, t) / (n(e) n(t))) / log(N / n(e)).  All counts are over all rows; n(t) of a
-    function word is at least ``FUNCTION_SHARE`` of them.
+    """entity, term, share: the terms that reveal an entity or a group of entities.
 
-    A pair in fewer than ``min_texts`` different texts is judged by a lower bound: copies of the
-    entity's texts count once, the term counts as if one more text without the entity had it, and the
-    information is measured against the larger content of the two, so a term must also be
-    where the entity is.  In few texts the bound is low; in many, a word that nothing else has counts.
+    Of N texts, n(e), n(t) and n(e, t) hold an entity, a term and both; rows with one text that holds an entity
+    count as one.  The share is n(e, t) / n(t), whatever N is.  At least ``min_texts`` texts must hold both,
+    and more than chance explains: were the n(e) texts drawn at random, n(e) n(t) / N = m of the term's would be
+    among them on average, and k or more with a probability of at most m ** k / k! and of exp(k - m) (m / k) ** k;
+    one of these must be at most ``CHANCE``.
     """
     texts = held_texts(found, spans) if texts is None else texts
     copies = texts.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("_row").alias("_row"))
-    one = texts.drop("text_hash").join(copies, "_row").select("n", "entities", "masked")  # a row a text
+    one = texts.drop("text_hash").join(copies, "_row")  # a row a text
     entities = one.select("n", F.explode("entities").alias("entity")).groupBy("entity").agg(
-        F.sum("n").alias("n_e"), F.count("*").alias("e_texts"))
-    own = one.select("n", F.explode("entities").alias("entity"), "masked").select("n", "entity", F.explode(_terms(F.col("masked"))).alias("term"))
-    pairs = own.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts"))
+        F.sum("n").alias("n_e"), F.count("*").alias("e_texts")).where(F.col("e_texts") >= min_texts)
+    pairs = _entity_terms(one, entities, "_row", "n").groupBy("entity", "term").agg(
+        F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
     total = found.agg(F.count("*").alias("n_all"))  # one row
     counts = docs.select(F.explode(_terms(whole_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     # What is left of a word beside a base span may be in no whole text.
-    known = pairs.join(counts, "term", "left").join(F.broadcast(total))
-    n, e, both = (F.col(c) for c in ("n_all", "n_e", "n_et"))
-    function = F.col("term").isin(*[F.xxhash64(F.lit(w)) for w in sorted(FUNCTION_WORDS)])
-    t = F.greatest("n_t", both, F.when(function, FUNCTION_SHARE * n))
-    # Either share falls as n(e) grows from n(e, t): pairs below the threshold even there need no n(e).
-    strong = F.col("texts") >= min_texts
-    least, at_least = F.when(strong, both).otherwise(F.col("texts")), F.when(strong, t).otherwise(t - both + F.col("texts") + 1)
-    most_share = F.when(least < n, 1 - F.log(at_least / least) / F.log(n / least)).otherwise(1.0)
-    known = known.where(most_share >= disclosure - 1e-9).join(entities, "entity")
-    share = F.when(e < n, F.log(n * both / (e * t)) / F.log(n / e)).otherwise(0.0)
-    n_1, e_1, t_1 = n - e + F.col("e_texts"), F.col("e_texts"), t - both + F.col("texts") + 1
-    most = F.greatest(F.log(n_1 / e_1), F.log(n_1 / t_1))
-    bound = F.when(most > 0, F.log(n_1 * F.col("texts") / (e_1 * t_1)) / most).otherwise(0.0)
-    known = known.withColumn("share", F.when(strong, share).otherwise(bound))
-    return known.select("entity", "term", "share").where(F.col("share") >= disclosure)
+    known = pairs.join(counts, "term", "left").join(F.broadcast(total)).join(entities, "entity")
+    k = F.col("texts").cast("double")
+    t = F.greatest("n_t", "n_et") - F.col("n_et") + k
+    n = F.col("n_all") - F.col("n_e") + F.col("e_texts")
+    mean = F.col("e_texts") * t / n
+    # Of k! the lower bound by Stirling's formula.
+    tail = k + k * F.log(mean / k)
+    by_chance = F.when(mean < k, F.least(tail - mean, tail - F.log(2 * math.pi * k) / 2)).otherwise(0.0)
+    known = known.where(by_chance <= math.log(CHANCE)).select("entity", "term", (k / t).alias("share"))
+    return known.where(F.col("share") >= disclosure)
 
 
 def term_spans(texts: DataFrame, terms: DataFrame, removal: float = REMOVAL) -> DataFrame:
     """_row, rank, kind, start, end, entity of the disclosing terms, in rows that hold their entity.
 
-    Places are summed over the words and gaps of a row; only words that tell leave it.
+    Rows and terms meet by entity and term together, words and told terms by row and term: neither a
+    frequent entity nor a long text is met twice.
     """
-    own = texts.select("_row", F.explode("entities").alias("entity"))
-    told = own.join(terms, "entity").groupBy("_row", "term").agg(F.max("share").alias("share"))
-    told = told.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))
-    rows = texts.select("_row", "masked").join(told, "_row").withColumn("_words", F.regexp_extract_all("masked", F.lit(_TERMS), F.lit(0)))
-    rows = rows.withColumn("_word_gaps", _gaps(F.col("masked"), F.col("_words"), _TERMS))
-    words = F.expr(
-        "transform(arrays_zip(_words, _word_gaps), x -> struct(int(x._word_gaps) as gap, char_length(x._words) as n, "
-        "told[xxhash64(lower(x._words))] as share))")
-    hits = F.expr(
-        "aggregate(words, struct(0L as at, cast(array() as array<struct<start:bigint,end:bigint,share:double>>) as hits), "
-        "(a, x) -> struct(a.at + x.gap + x.n as at, if(x.share is null, a.hits, concat(a.hits, "
-        "array(struct(a.at + x.gap as start, a.at + x.gap + x.n as end, x.share as share)))) as hits), a -> a.hits)")
-    rows = rows.select("_row", words.alias("words")).select("_row", F.inline(hits))
+    told = _entity_terms(texts, terms.select("entity").distinct(), "_row").join(terms, ["entity", "term"])
+    told = materialise(told.groupBy("_row", "term").agg(F.max("share").alias("share")))
+    rows = texts.join(told, "_row", "left_semi").withColumn("_words", F.regexp_extract_all("masked", F.lit(_TERMS), F.lit(0)))
+    words = _spans(rows.withColumn("_word_gaps", _gaps(F.col("masked"), F.col("_words"), _TERMS)), "_words", "_word_gaps")
+    hits = words.withColumn("term", F.xxhash64(F.lower("match"))).join(told, ["_row", "term"])
     label = F.when(F.col("share") >= removal, F.lit("removed")).otherwise(F.lit("generalised"))
-    return rows.select("_row", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"), "start", "end", label.alias("entity"))
+    return hits.select("_row", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"), "start", "end", label.alias("entity"))
 
 
 def all_spans(docs: DataFrame, found: DataFrame, min_texts: int = MIN_TEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -227,8 +223,8 @@ def find(docs: DataFrame, min_texts: int = MIN_TEXTS, disclosure: float = DISCLO
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row a row.
 
     Spans are in code points, end exclusive, by kind and start.  Null texts are empty; repeated
-    rows are rows of their own, but one text as evidence.  A text with an entity may have term spans
-    even if no other text has the entity.
+    rows are rows of their own, but one text as evidence.  A text has term spans only if another text
+    shows the same terms with the same entity, or with one of its group.
     """
     found = detected(docs, ["doc_id"], with_text=False)
     spans = all_spans(docs, found, min_texts, disclosure)

@@ -182,7 +182,7 @@ def disclosure_rows():
     """Ann's address stands in four texts with a word that is nowhere else and one that is half the time elsewhere."""
     rows = [(k, f"{fixtures.prose(k, 20)} write ann@x.org about zanzibar and the Kleinigkeit") for k in range(4)]
     rows += [(k, f"{fixtures.prose(k, 20)} write about the Kleinigkeit") for k in range(10, 14)]
-    rows += [(k, f"{fixtures.prose(k, 20)} write about the thing") for k in range(20, 100)]
+    rows += [(k, f"{fixtures.prose(k, 20)} write about the thing and more") for k in range(20, 100)]
     return rows
 
 
@@ -194,9 +194,9 @@ def test_terms_that_reveal_an_entity(spark):
         at = text[k].index("zanzibar")
         assert got[k].spans.endswith(f"term:{at}:{at + 8}") and got[k].n_email == 1 and got[k].spans.count("term") == 1
     assert all(got[k].spans == "" for k in text if k >= 10)
-    looser = {r.doc_id: r.spans.count("term") for r in pii.find(fixtures.texts(spark, rows), disclosure=0.7).collect()}
+    looser = {r.doc_id: r.spans.count("term") for r in pii.find(fixtures.texts(spark, rows), disclosure=0.5).collect()}
     assert all(looser[k] == 2 for k in range(4)) and looser[10] == 0
-    clean = {r.doc_id: r.text for r in pii.sanitise(fixtures.texts(spark, rows), disclosure=0.7).collect()}
+    clean = {r.doc_id: r.text for r in pii.sanitise(fixtures.texts(spark, rows), disclosure=0.5).collect()}
     assert "write <EMAIL> about  and the <TERM>" in clean[0] and clean[10] == text[10]
 
 
@@ -205,23 +205,112 @@ def test_copies_are_no_evidence(spark):
     assert all("term" not in r.spans for r in pii.find(fixtures.texts(spark, rows)).collect())
 
 
-def test_entities_in_one_or_two_texts_are_judged(spark):
-    """In enough texts, a word that only the entity's one or two texts have is generalised; common words stay."""
-    plain = [(k, "write about the thing here today please") for k in range(3_000)]
-    rows = [*plain, (5_000, "write zoe@x.org about zanzibar today"), (5_001, "write bob@y.org about kilimanjaro"),
-            (5_002, "please write bob@y.org on kilimanjaro today"), (5_003, "write eve@z.org about everest"), (5_004, "today about everest")]
-    text = dict(rows)
-    got = {r.doc_id: r.spans for r in pii.find(fixtures.texts(spark, rows)).collect() if r.doc_id >= 5_000}
-    for k, word in ((5_000, "zanzibar"), (5_001, "kilimanjaro"), (5_002, "kilimanjaro")):
-        at = text[k].index(word)
-        assert got[k].endswith(f",term:{at}:{at + len(word)}") and got[k].count("term") == 1, k
-    assert "term" not in got[5_003] and got[5_004] == ""
+def test_one_text_is_no_evidence_and_two_are(spark):
+    """Words of the only text of an entity stay, however rare; what two texts show with it is told, in any corpus size."""
+    told = []
+    for n in (200, 3_000):
+        plain = [(k, "write about the thing here today please") for k in range(n)]
+        rows = [*plain, (5_000, "write zoe@x.org about zanzibar today"), (5_001, "write bob@y.org about kilimanjaro"),
+                (5_002, "please write bob@y.org on kilimanjaro today"), (5_003, "write eve@z.org about everest"), (5_004, "today about everest")]
+        text = dict(rows)
+        got = {r.doc_id: r.spans for r in pii.find(fixtures.texts(spark, rows)).collect() if r.doc_id >= 5_000}
+        for k in (5_001, 5_002):
+            at = text[k].index("kilimanjaro")
+            assert got[k].endswith(f",term:{at}:{at + 11}") and got[k].count("term") == 1, k
+        assert all("term" not in got[k] for k in (5_000, 5_003, 5_004))
+        told.append(got)
+    assert told[0] == told[1]
+
+
+def test_groups_of_entities_are_protected(spark):
+    """Each address is in one text, but its host is in several, always with the name of the firm."""
+    rows = [(k, f"{fixtures.prose(k, 20)} user{k}@firm.example of Quillfeather writes") for k in range(5)]
+    rows += [(k, f"{fixtures.prose(k, 20)} user{k}@mail{k}.example of here writes") for k in range(20, 60)]
+    got = {r.doc_id: r for r in pii.find(fixtures.texts(spark, rows)).collect()}
+    for k, text in rows:
+        told = [text[int(a) : int(b)] for kind, a, b in (x.split(":") for x in got[k].spans.split(",")) if kind == "term"]
+        assert told == (["Quillfeather"] if k < 5 else [])
+
+
+def random_corpus(seed, n, names):
+    """Texts of a small vocabulary, a third with an address of one of a few people; some of these named beside it."""
+    rng, rows = random.Random(seed), []
+    for k in range(n):
+        words = fixtures.prose(rng.randint(0, 5), rng.randint(3, 40), 60).split()
+        if rng.random() < 0.3:
+            who = rng.randint(0, 9)
+            words.insert(rng.randint(0, len(words)), f"p{who}@host{who % 3}.org")
+            if names and rng.random() < 0.9:
+                words.insert(rng.randint(0, len(words)), f"Name{who}")
+        rows.append((k, " ".join(words)))
+    return rows + rows[: n // 10]  # copies are rows, but no evidence
+
+
+def brute_terms(rows):
+    import math
+    import re
+
+    def entities(text):
+        return {x for m in re.findall(pii.EMAIL.replace(r"\G|", ""), text) for x in (f"email:{m.lower()}", f"group:email:{m.lower().split('@')[-1]}")}
+
+    def terms(text):
+        return {w for w in re.split(r"[\W_]+", re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", " ", text).lower()) if w}
+
+    n_t, whole = {}, {}
+    for _, text in rows:
+        for w in {w for w in re.split(r"[\W_]+", text.lower()) if w}:
+            n_t[w] = n_t.get(w, 0) + 1
+        if entities(text):
+            whole[text] = whole.get(text, 0) + 1
+    out = {}
+    for e in {e for text in whole for e in entities(text)}:
+        own = [t for t in whole if e in entities(t)]
+        for w in {w for t in own for w in terms(t)}:
+            both = [t for t in own if w in terms(t)]
+            k, copies = len(both), sum(whole[t] for t in both)
+            t = max(n_t.get(w, 0), copies) - copies + k
+            mean = len(own) * t / (len(rows) - sum(whole[x] for x in own) + len(own))
+            tail = k + k * math.log(mean / k)
+            if k >= 2 and mean < k and min(tail - mean, tail - math.log(2 * math.pi * k) / 2) <= math.log(pii.CHANCE) and k / t >= pii.DISCLOSURE:
+                out[e, w] = k / t
+    return out
+
+
+@pytest.mark.parametrize("names", [True, False])
+def test_terms_equal_brute_force(spark, names):
+    """Planted names are told and little else; with entities dealt at random hardly anything is."""
+    rows = random_corpus(names, 400, names)
+    expected = brute_terms(rows)
+    docs = fixtures.texts(spark, rows)
+    found = pii.detected(docs, ["doc_id"], with_text=False)
+    got = pii.disclosing_terms(docs, found, pii.base_spans(found))
+    keys = [(e, w) for e, w in expected]
+    hashed = spark.createDataFrame(keys, "e string, w string").select("e", "w", F.xxhash64("e").alias("entity"), F.xxhash64("w").alias("term")).collect() if keys else []
+    assert {(r.entity, r.term): expected[r.e, r.w] for r in hashed} == pytest.approx({(r.entity, r.term): r.share for r in got.collect()})
+    told = {w for _, w in expected}
+    planted = {w for w in told if w.startswith("name")}
+    assert len(planted) == (10 if names else 0) and len(told - planted) <= 1
+
+
+def test_a_long_text_with_an_address(spark):
+    """Work grows with the words of a text, not with their square."""
+    import time
+
+    took = {}
+    for n in (1_000, 1_000, 40_000):
+        words = " ".join(f"w{i}" for i in range(n))
+        rows = [(1, f"a@b.org {words}"), (2, f"{words} a@b.org x"), *((k, f"plain {k}") for k in range(10, 300))]
+        began = time.time()
+        got = {r.doc_id: r for r in pii.find(fixtures.texts(spark, rows)).collect()}
+        took[n] = time.time() - began
+        assert got[1].spans.count("term") == got[2].spans.count("term") == n
+    assert took[40_000] < took[1_000] + 6
 
 
 def test_short_names_and_numbers_are_judged(spark):
-    """Names of two and three letters, in any script, and letter-digit runs are terms; function words are not told."""
+    """Names of two and three letters, in any script, and letter-digit runs are terms; words that others have are not told."""
     rows = [(k, f"{fixtures.prose(k, 20)} ask lee@x.org or 李娜 or Wu or Kim under K47B and 4711 for the thing") for k in range(4)]
-    rows += [(k, f"{fixtures.prose(k, 20)} write or ask for the thing") for k in range(20, 100)]
+    rows += [(k, f"{fixtures.prose(k, 20)} write or ask for the thing and more") for k in range(20, 100)]
     got = {r.doc_id: r for r in pii.find(fixtures.texts(spark, rows)).collect()}
     for k, text in rows[:4]:
         told = [text[int(a) : int(b)] for kind, a, b in (x.split(":") for x in got[k].spans.split(",")) if kind == "term"]
@@ -251,5 +340,4 @@ def test_term_share_formula(spark):
     found = pii.detected(docs, ["doc_id"], with_text=False)
     told = pii.disclosing_terms(docs, found, pii.base_spans(found), disclosure=0.0).collect()
     shares = sorted({round(r.share, 6) for r in told}, reverse=True)
-    n = len(rows)
-    assert shares[0] == pytest.approx(1.0) and shares[1] == pytest.approx(round(np.log(n * 4 / (4 * 8)) / np.log(n / 4), 6))
+    assert shares == [1.0, 0.5]
