@@ -125,6 +125,14 @@ def drop_incomplete_years(monthly: DataFrame, min_months: int = 12) -> DataFrame
             .where(F.col("_months") >= min_months).drop("_months"))
 
 
+def drop_short_first_year(monthly: DataFrame, min_months: int = 12) -> DataFrame:
+    """Drop the first year of the series if it has fewer than ``min_months`` months; later short years stay."""
+    first = monthly.select(F.min("year")).scalar()
+    months = F.count(F.lit(1)).over(Window.partitionBy("year"))
+    return (monthly.withColumn("_months", months)
+            .where((F.col("year") != first) | (F.col("_months") >= min_months)).drop("_months"))
+
+
 def build_panel(
     base: DataFrame,
     *indicators: DataFrame,

@@ -29,6 +29,7 @@ from terrapanel.operators.panel import (
     country_year,
     country_year_geocoded,
     drop_incomplete_years,
+    drop_short_first_year,
     month_series,
 )
 from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_k
@@ -140,6 +141,10 @@ def series_drop_year(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(drop_incomplete_years(_monthly(spark, sf)))
 
 
+def series_drop_first_year(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(drop_short_first_year(_monthly(spark, sf)))
+
+
 def panel_join(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(panel(spark, sf))
 
@@ -498,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "country_year_rowwise": country_year_rowwise,
     "month_year_means": month_year_means,
     "series_drop_year": series_drop_year,
+    "series_drop_first_year": series_drop_first_year,
     "panel_join": panel_join,
     "avg_co2_by_country": avg_co2_by_country,
     "least_emitting_10": least_emitting_10,

@@ -480,6 +480,11 @@ SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, {r6('temper
 SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, {r6('temperature')} AS temperature,
        {r6('precipitation')} AS precipitation, n_obs
 FROM monthly WHERE year IN (SELECT year FROM monthly GROUP BY year HAVING count(*) >= 12)"""),
+    "series_drop_first_year": sql(["monthly"], f"""
+SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, {r6('temperature')} AS temperature,
+       {r6('precipitation')} AS precipitation, n_obs
+FROM monthly WHERE year > (SELECT min(year) FROM monthly)
+   OR (SELECT count(*) FROM monthly WHERE year = (SELECT min(year) FROM monthly)) >= 12"""),
     "panel_join": sql(["panel"], _panel_out()),
     "avg_co2_by_country": sql(["avgco2"], f"SELECT country_code, {r6('avg_co2')} AS avg_co2 FROM avgco2"),
     "least_emitting_10": sql(["low10"], f"SELECT country_code, {r6('avg_co2')} AS avg_co2 FROM low10"),

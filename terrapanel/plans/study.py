@@ -18,13 +18,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapanel.functions.weather import fahrenheit_to_celsius
 from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.geo import geocode
 from terrapanel.operators.panel import (
+    drop_short_first_year,
     build_panel,
     country_year_by_position,
     month_series,
@@ -124,10 +125,7 @@ def monthly_forecast(
     """Monthly means of all readings, split by position, fitted per measure."""
     monthly = month_series(clean_observations(observations))
     if drop_partial_first_year:
-        first = monthly.select(F.min("year")).scalar()
-        months = F.count(F.lit(1)).over(Window.partitionBy("year"))
-        monthly = monthly.withColumn("_months", months).where(
-            (F.col("year") != first) | (F.col("_months") >= 12)).drop("_months")
+        monthly = drop_short_first_year(monthly)
     split = split_by_position(monthly_long(cut_lineage(monthly)), n_train, n_test)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test").select(SERIES, MONTH, F.col(VALUE).alias("actual"))

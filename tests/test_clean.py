@@ -7,6 +7,7 @@ from terrapanel.operators.panel import (
     country_year,
     country_year_via_stations,
     drop_incomplete_years,
+    drop_short_first_year,
     month_series,
 )
 
@@ -82,6 +83,15 @@ def test_drop_incomplete_years(spark):
     assert [r.year for r in kept] == [1930]
 
 
+def test_only_the_first_year_is_dropped(spark):
+    rows = [(y, m, 1.0, 1.0, 1) for y, months in ((1929, 7), (1930, 12), (1931, 5)) for m in range(1, months + 1)]
+    schema = "year int, month int, temperature double, precipitation double, n_obs long"
+    monthly = spark.createDataFrame(rows, schema)
+    assert {r.year for r in drop_short_first_year(monthly).collect()} == {1930, 1931}
+    assert drop_short_first_year(monthly.where("year > 1929")).count() == 17
+    assert drop_short_first_year(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_month_series_keeps_blank_coordinates(spark):
     rows = [(1, dt.date(1960, 1, 5), None, None, 10.0, 0.0, "A", 0.0, "X"),
             (2, dt.date(1960, 1, 6), 1.0, 1.0, 20.0, 0.0, "A", 0.0, "X")]
