@@ -170,7 +170,11 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     rated = keyed.groupBy("lang", "h1", "h2").agg(F.count("*").alias("n")).withColumn("often", F.col("n") * rate[F.col("lang")])
     part = F.pmod("h1", F.lit(1_000_000)) / 1_000_000
     wanted = rated.withColumn("often", (F.floor("often") + (part < F.col("often") - F.floor("often")).cast("long"))).where("often > 0")
-    sample = keyed.join(wanted.drop("n"), ["lang", "h1", "h2"]).groupBy("lang", "h1", "h2").agg(F.first("text").alias("text"), F.first("often").alias("often"))
+    # About sample_per_language texts of a language: counted, so that rows of one text meet their draw where they are read
+    # and are merged there.
+    wanted = materialise(wanted.drop("n"))
+    small = wanted.count() <= 4 * sample_per_language * len(counts)
+    sample = keyed.join(F.broadcast(wanted) if small else wanted, ["lang", "h1", "h2"]).groupBy("lang", "h1", "h2").agg(F.first("text").alias("text"), F.first("often").alias("often"))
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames, TEXT_BATCH_ROWS):
