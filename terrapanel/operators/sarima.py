@@ -7,7 +7,7 @@ Model: phi(B) Phi(B^s) (1-B)^d (1-B^s)^D y_t = theta(B) Theta(B^s) e_t, no
 trend.  The differenced series is filtered to residuals with pre-sample
 residuals set to 0 (conditional sum of squares) and the squared residuals
 are minimised by damped Gauss-Newton (Levenberg-Marquardt) with a
-forward-difference Jacobian, started from zero, over partial
+forward-difference Jacobian, started from zero or from given values, over partial
 autocorrelations, which keeps AR stationary and MA invertible.  Forecasts run
 the full recursion with future innovations 0.
 """
@@ -108,17 +108,35 @@ def admissible(raw: np.ndarray, order: Order) -> np.ndarray:
                            -_from_partial(theta), -_from_partial(seasonal_theta)])
 
 
+def _to_partial(coefs: np.ndarray) -> np.ndarray:
+    """Search parameters whose :func:`_from_partial` is ``coefs``; partial autocorrelations are kept within 0.95."""
+    left, raw = np.asarray(coefs, float), []
+    while len(left):
+        r = float(np.clip(left[-1], -0.95, 0.95))
+        raw.append(np.arctanh(r / 0.9999))
+        left = (left[:-1] + r * left[:-1][::-1]) / (1 - r * r)
+    return np.array(raw[::-1])
+
+
+def search_start(params: np.ndarray, order: Order) -> np.ndarray:
+    """Search parameters of given model parameters, drawn into the admissible range where they lie outside."""
+    phi, seasonal_phi, theta, seasonal_theta = np.split(np.asarray(params, float), np.cumsum([order.p, order.P, order.q]))
+    return np.concatenate([_to_partial(phi), _to_partial(seasonal_phi), _to_partial(-theta), _to_partial(-seasonal_theta)])
+
+
 def min_length(order: Order) -> int:
     """Observations that one residual more than there are parameters needs."""
     return order.d + order.s * order.D + order.p + order.s * order.P + order.n_params + 1
 
 
-def fit_css(w: np.ndarray, order: Order, max_iter: int = 1000, tol: float = 1e-9) -> tuple[np.ndarray, float, int, bool]:
+def fit_css(w: np.ndarray, order: Order, max_iter: int = 1000, tol: float = 1e-9,
+            start: np.ndarray | None = None) -> tuple[np.ndarray, float, int, bool]:
     """Least-squares parameters, sum of squared residuals, iterations used, and whether the search converged.
 
     Damped Gauss-Newton over the unbounded parameters.  It has converged when a step improves the
     sum by less than ``tol`` of it, or when no damped step improves it at all; ``max_iter``
-    steps without that are reported as not converged.
+    steps without that are reported as not converged.  It begins at zero, or at the model parameters
+    ``start`` where they leave a smaller sum.
     """
     k = order.n_params
     raw = np.zeros(k)
@@ -128,6 +146,11 @@ def fit_css(w: np.ndarray, order: Order, max_iter: int = 1000, tol: float = 1e-9
 
     r = at(raw)
     ssr = float(r @ r)
+    if start is not None and k and np.isfinite(start).all():
+        there = search_start(start, order)
+        rt = at(there)
+        if float(rt @ rt) < ssr:
+            raw, r, ssr = there, rt, float(rt @ rt)
     if k == 0 or ssr == 0.0:
         return admissible(raw, order), ssr, 0, True
     mu, small = 1e-3, 0
@@ -182,7 +205,7 @@ def forecast(y: np.ndarray, params: np.ndarray, order: Order, horizon: int) -> n
     return yy[n:]
 
 
-def fit_and_forecast(y: np.ndarray, order: Order, horizon: int) -> dict:
+def fit_and_forecast(y: np.ndarray, order: Order, horizon: int, start: np.ndarray | None = None) -> dict:
     """Fit on ``y`` and forecast: params, sigma2, css, iterations, converged, yhat, reason.
 
     A series that is too short for the order, or has a value missing, gets no forecast but a reason.
@@ -198,7 +221,7 @@ def fit_and_forecast(y: np.ndarray, order: Order, horizon: int) -> dict:
     if np.allclose(w, 0.0):
         params, ssr, it, converged = np.zeros(order.n_params), 0.0, 0, True
     else:
-        params, ssr, it, converged = fit_css(w, order)
+        params, ssr, it, converged = fit_css(w, order, start=start)
     return {
         "params": params,
         "css": ssr,

@@ -157,14 +157,24 @@ def order_table(spark, orders: Mapping[str, Sequence[Order]]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _fit_group(horizon: int):
+def _fit_group(horizon: int, keys: Sequence[str] = ()):
+    def start_of(first, order: Order) -> np.ndarray | None:
+        found = first.get("start")
+        if found is None:
+            return None
+        at = dict(found)
+        lags = ([("ar", k) for k in range(1, order.p + 1)] + [("ar", k * order.s) for k in range(1, order.P + 1)]
+                + [("ma", k) for k in range(1, order.q + 1)] + [("ma", k * order.s) for k in range(1, order.Q + 1)])
+        return np.array([np.nan if at.get(f"{part}{k}") is None else at[f"{part}{k}"] for part, k in lags], float)
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(MONTH)
         first = pdf.iloc[0]
         order = Order(*[int(first[f]) for f in ORDER_FIELDS])
         y = pdf[VALUE].to_numpy(dtype=float)
-        res = fit_and_forecast(y, order, horizon)
+        res = fit_and_forecast(y, order, horizon, start_of(first, order))
         return pd.DataFrame({
+            **{k: first[k] for k in keys},
             SERIES: first[SERIES],
             "order_label": first["order_label"],
             "origin": pdf[MONTH].iloc[-1],
@@ -193,16 +203,24 @@ def _ship_code_with_udfs() -> None:
     cloudpickle.register_pickle_by_value(terrapanel)
 
 
-def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int) -> DataFrame:
-    """Fit every (series, order) pair on ``train`` and forecast ``horizon`` months ahead.
+def fit_forecast(train: DataFrame, orders: DataFrame, horizon: int, keys: Sequence[str] = (),
+                 starts: DataFrame | None = None) -> DataFrame:
+    """Fit every (keys..., series, order) on ``train`` and forecast ``horizon`` months ahead.
 
-    ``train`` is long (series, month, value); ``orders`` lists the orders per
-    series.  The pairs are formed by an equi-join on the series name and each
-    pair is one ``applyInPandas`` group, so the fits spread over the cluster.
-    Output: series, order_label, month, step, yhat and the fit statistics with ``converged``; a series
+    ``train`` is long (keys..., series, month, value); ``orders`` lists the orders per
+    series (and per key, where it has that column).  They meet by an equi-join and each
+    is one ``applyInPandas`` group, so the fits spread over the cluster.  ``starts`` (from
+    :func:`terrapanel.operators.arma_start.arma_start`) gives the search its starting values.
+    Output: keys..., series, order_label, month, step, yhat and the fit statistics with ``converged``; a series
     that cannot be fitted, for one with a missing month, has no yhat but a ``reason``, and the others are not affected.
     """
     _ship_code_with_udfs()
-    grid = complete_months(train.select(SERIES, MONTH, VALUE)).join(orders, SERIES)
-    fitted = grid.groupBy(SERIES, "order_label").applyInPandas(_fit_group(horizon), FORECAST_SCHEMA)
+    on = [c for c in [*keys, SERIES] if c in orders.columns]
+    ids = [*keys, SERIES, "order_label"]
+    grid = complete_months(train.select(*keys, SERIES, MONTH, VALUE), keys).join(orders, on)
+    if starts is not None:
+        term = F.concat("part", F.col("lag").cast("string"))
+        grid = grid.join(starts.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct(term, "start"))).alias("start")), ids, "left")
+    schema = T.StructType([train.schema[k] for k in keys] + FORECAST_SCHEMA.fields)
+    fitted = grid.groupBy(*ids).applyInPandas(_fit_group(horizon, keys), schema)
     return fitted.withColumn(MONTH, F.add_months("origin", F.col("step"))).drop("origin")

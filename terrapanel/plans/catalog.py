@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrapanel.functions.weather import fahrenheit_to_celsius
+from terrapanel.operators.arma_start import arma_start
 from terrapanel.operators.clean import clean_observations, observation_rejects, with_coordinates
 from terrapanel.operators.geo import country_codes, nearest_place
 from terrapanel.operators.indicators import (
@@ -369,6 +370,11 @@ def _chosen_orders(spark: SparkSession) -> DataFrame:
                                "precipitation": [PRECIPITATION_ORDER]})
 
 
+def arma_start_q(spark: SparkSession, sf: str) -> DataFrame:
+    train = _split(spark, sf).where(F.col("split") == "train")
+    return tidy(arma_start(train, order_table(spark, ORDER_GRID)))
+
+
 def _holdout_forecast(spark: SparkSession, sf: str, orders: DataFrame, key: str) -> DataFrame:
     split = _split(spark, sf)
     train = split.where(F.col("split") == "train")
@@ -538,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "fahrenheit_to_celsius": fahrenheit_to_celsius_q,
     "holdout_compare": holdout_compare,
     "holdout_mse": holdout_mse,
+    "arma_start": arma_start_q,
     "seasonal_arima_forecast": seasonal_arima_forecast,
     "sarima_holdout_mse": sarima_holdout_mse,
     "forecast_long_range": forecast_long_range,

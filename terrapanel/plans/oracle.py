@@ -334,6 +334,66 @@ def _ser(body: str) -> str:
     return sql(["monthly"], body, _SERIES.strip())
 
 
+# Two-stage starting values: lag lists as plain numbers, designs by self-joins on the position, and
+# Gauss-Jordan elimination of [X'X | X'y] by recursion, once for the long autoregression and once for the model.
+_ARMA = """
+ord_(series, order_label, diffs, own, ars, mas) AS (VALUES
+  ('temperature', '(2,1,1)(2,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 13, [1, 2, 12, 24], [1, 12]),
+  ('temperature', '(1,1,1)(1,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 13, [1, 12], [1, 12]),
+  ('temperature', '(0,1,1)(0,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 13, []::INT[], [1, 12]),
+  ('precipitation', '(1,1,3)(1,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 15, [1, 12], [1, 2, 3, 12]),
+  ('precipitation', '(1,1,1)(1,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 13, [1, 12], [1, 12]),
+  ('precipitation', '(0,1,1)(0,1,1,12)', [(0, 1), (1, -1), (12, -1), (13, 1)], 13, []::INT[], [1, 12])),
+tr_ AS (SELECT series, position AS t, value AS y FROM sp WHERE split = 'train'),
+d_ AS (SELECT o.*, unnest(diffs) AS d FROM ord_ o),
+w_ AS (
+  SELECT o.series, o.order_label, a.t, sum(o.d[2] * b.y) AS w
+  FROM tr_ a JOIN d_ o ON o.series = a.series JOIN tr_ b ON b.series = a.series AND b.t = a.t - o.d[1]
+  GROUP BY o.series, o.order_label, a.t HAVING count(*) = 4),
+x1_ AS (
+  SELECT w.series, w.order_label, w.t, w.w AS y, list(p.w ORDER BY w.t - p.t) AS x
+  FROM w_ w JOIN ord_ o USING (series, order_label)
+  JOIN w_ p ON p.series = w.series AND p.order_label = w.order_label AND p.t BETWEEN w.t - o.own AND w.t - 1
+  GROUP BY w.series, w.order_label, w.t, w.w, o.own HAVING count(*) = o.own),
+{solve1},
+e_ AS (
+  SELECT x.series, x.order_label, x.t, x.y - list_dot_product(x.x, b.beta) AS e
+  FROM x1_ x JOIN beta1_ b USING (series, order_label)),
+l_ AS (
+  SELECT series, order_label, 'ar' AS part, unnest(ars) AS lag FROM ord_
+  UNION ALL SELECT series, order_label, 'ma', unnest(mas) FROM ord_),
+k_ AS (SELECT *, row_number() OVER (PARTITION BY series, order_label ORDER BY part, lag) AS i,
+              count(*) OVER (PARTITION BY series, order_label) AS k FROM l_),
+x2_ AS (
+  SELECT w.series, w.order_label, w.t, w.w AS y, list(v.v ORDER BY k.i) AS x
+  FROM w_ w JOIN k_ k USING (series, order_label)
+  JOIN (SELECT series, order_label, 'ar' AS part, t, w AS v FROM w_ UNION ALL SELECT series, order_label, 'ma', t, e FROM e_) v
+    ON v.series = w.series AND v.order_label = w.order_label AND v.part = k.part AND v.t = w.t - k.lag
+  GROUP BY w.series, w.order_label, w.t, w.w, k.k HAVING count(*) = k.k),
+{solve2}"""
+_ARMA_SOLVE = """
+g{n}_ AS (
+  SELECT series, order_label, i, j, sum(list_append(x, y)[i] * list_append(x, y)[j]) AS v, count(*) AS c
+  FROM x{n}_, unnest(range(1, len(x) + 1)) a(i), unnest(range(1, len(x) + 2)) b(j) GROUP BY ALL),
+r{n}_ AS (SELECT series, order_label, i, list(v ORDER BY j) AS r, any_value(c) AS c FROM g{n}_ GROUP BY ALL),
+el{n}_ AS (
+  SELECT series, order_label, 0 AS k, list(r ORDER BY i) AS m, any_value(c) AS c FROM r{n}_ GROUP BY series, order_label
+  UNION ALL
+  SELECT series, order_label, k + 1, list_transform(range(1, len(m) + 1), lambda i:
+           CASE WHEN i = k + 1 THEN list_transform(m[i], lambda v: v / m[k + 1][k + 1])
+           ELSE list_transform(range(1, len(m[1]) + 1), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END), c
+  FROM el{n}_ WHERE k < len(m)),
+beta{n}_ AS (SELECT series, order_label, c, list_transform(m, lambda r: r[len(r)]) AS beta FROM el{n}_ WHERE k = len(m))"""
+
+
+def _arma_start() -> str:
+    extra = _SERIES.strip() + "," + _ARMA.format(solve1=_ARMA_SOLVE.format(n=1).strip(), solve2=_ARMA_SOLVE.format(n=2).strip())
+    body = f"""
+SELECT series, order_label, part, CAST(lag AS BIGINT) AS lag, {r6('beta[i]')} AS start, c AS n_rows
+FROM k_ JOIN beta2_ USING (series, order_label)"""
+    return sql(["monthly"], body, extra).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _month(col: str = "month") -> str:
     return f"strftime({col}, '%Y-%m-%d') AS {col}"
 
@@ -579,6 +639,7 @@ SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
        {r6('(temperature - 32) * (CAST(5 AS DOUBLE) / 9)')} AS temperature_c FROM monthly"""),
     "holdout_compare": _ser(f"""
 SELECT series, {_month()}, {r6('actual')} AS actual, {r6('predicted')} AS predicted FROM naive"""),
+    "arma_start": _arma_start(),
     "holdout_mse": _ser(f"""
 SELECT series, {r6('avg(pow(actual - predicted, 2))')} AS mse, count(*) AS n_months
 FROM naive GROUP BY series"""),
