@@ -7,6 +7,7 @@ columns are aliased to match the SQL checks in :mod:`terrapanel.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ from terrapanel.operators.panel import (
     drop_incomplete_years,
     drop_short_first_year,
     month_series,
+    rollup_station_sums,
+    station_year_sums,
 )
 from terrapanel.operators.rank import bottom_k, members_of, position_slice, top_k
 from terrapanel.operators.regress import (
@@ -71,19 +74,20 @@ from terrapanel.plans.common import (
     clean_days,
     panel,
     shared,
+    station_day_files,
     station_sums,
     tidy,
     weather_by_country_year,
 )
 from terrapanel.plans.study import country_panel
-from terrapanel.session import application_key
-from terrapanel.sources import tables
+from terrapanel.session import application_key, checkpoint_dir
+from terrapanel.sources import files, tables
 from terrapanel.streaming.rollup import run_country_year_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_N = 10
 SLICE = (15, 25)
-IND_IDS = ["Country Name", "Country Code", "Indicator Name", "Indicator Code"]
+IND_IDS = files.WIDE_IDS
 IND_DROP = ["Indicator Name", "Indicator Code"]
 IND_ENTITY = "Country Code"
 IND_VALUE = "OrderValue"
@@ -124,6 +128,33 @@ def obs_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(df.select("station", "obs_date", "prcp_flag"))
 
 
+def csv_observations(spark: SparkSession, sf: str) -> DataFrame:
+    """Good records of the raw station-day files."""
+    obs = files.read_observations(spark, station_day_files(spark, sf))
+    return tidy(obs.withColumn("prcp_flag", F.coalesce(F.trim("prcp_flag"), F.lit(""))))
+
+
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Malformed records of the raw station-day files, with their reasons."""
+    return tidy(files.read_observation_rejects(spark, station_day_files(spark, sf)))
+
+
+def csv_country_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Country/year weather from the raw files; malformed records don't count."""
+    obs = files.read_observations(spark, station_day_files(spark, sf)).withColumn("station", F.col("station").try_cast("long"))
+    sums = station_year_sums(clean_observations(obs, require_coordinates=True))
+    return tidy(rollup_station_sums(sums, tables.stations(spark, sf)))
+
+
+def csv_indicator_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide indicator file, filtered and stacked, written as a long file and read back."""
+    root = f"{checkpoint_dir(spark)}/indicator-{uuid4().hex}"
+    files.write_csv(_wide(spark, sf), f"{root}/wide")
+    wide = min_present(files.read_indicator_wide(spark, f"{root}/wide"), IND_MIN_CELLS).drop(*IND_DROP)
+    files.write_csv(wide_to_long(wide, ["Country Name", "Country Code"], IND_VALUE), f"{root}/long")
+    return tidy(files.read_indicator_long(spark, f"{root}/long", IND_VALUE))
+
+
 def country_year_means(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(weather_by_country_year(spark, sf))
 
@@ -505,6 +536,10 @@ QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
     "obs_rejects": obs_rejects,
+    "csv_observations": csv_observations,
+    "csv_rejects": csv_rejects,
+    "csv_country_year": csv_country_year,
+    "csv_indicator_long": csv_indicator_long,
     "country_year_means": country_year_means,
     "country_year_rowwise": country_year_rowwise,
     "month_year_means": month_year_means,

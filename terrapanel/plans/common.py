@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.panel import build_panel, rollup_station_sums, station_year_sums
 from terrapanel.operators.rank import group_average
-from terrapanel.session import application_key, cut_lineage
-from terrapanel.sources import tables
+from terrapanel.session import application_key, checkpoint_dir, cut_lineage
+from terrapanel.sources import files, tables
 
 DECIMALS = 6
 _SHARED: dict[tuple[str, str, str], DataFrame] = {}
@@ -32,6 +33,23 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _SHARED[key]
 
 
+_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def station_day_files(spark: SparkSession, sf_dir: str) -> str:
+    """Glob of the station-days as raw CSV files in the shared folder (written once per application)."""
+    key = (application_key(spark), sf_dir, "station_days")
+    if key not in _FILES:
+        root = f"{checkpoint_dir(spark)}/station-days-{uuid4().hex}"
+        fields = tables.station_day_file_fields(spark, sf_dir)
+        fault = F.col("fault")
+        files.write_station_day_files(fields.where(~fault.isin(4, 5)).drop("fault"), f"{root}/whole")
+        files.write_station_day_files(fields.where(fault == 4).drop("fault", files.GSOD_COLUMNS[-1]), f"{root}/short")
+        files.write_station_day_files(fields.where(fault == 5).drop("fault").withColumn("EXTRA", F.lit("x")), f"{root}/long")
+        _FILES[key] = f"{root}/*/*/*.csv"
+    return _FILES[key]
+
+
 def tidy(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     """Uniform output types: integers as bigint, doubles rounded, dates as ISO text.
 

@@ -19,6 +19,7 @@ from terrapanel.operators.regress import (
 )
 from terrapanel.operators.stats import corr_sql, cov_col, mean_col, sd_col
 from terrapanel.sources.tables import (
+    FILE_KEYS,
     INDICATOR_CODE,
     INDICATOR_NAME,
     ISO_EXCLUDED_REGION,
@@ -60,6 +61,14 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
     "obs": (["station_days", "stations"], """
 SELECT d.*, s.latitude, s.longitude, s.country_code
 FROM station_days d LEFT JOIN stations s ON d.station = s.station"""),
+    "file_days": (["stations"], f"""
+SELECT d.*, s.latitude, s.longitude FROM (
+  SELECT (l_orderkey * 10 + l_linenumber) % {FILE_KEYS} AS fault, l_suppkey AS station, CAST(l_shipdate AS DATE) AS obs_date,
+         l_quantity + 30 AS temp,
+         CASE WHEN l_discount > {D(0.095)} THEN {D(99.9)} ELSE round(l_discount * 10, 2) END AS prcp,
+         substr('{PRCP_FLAG_LETTERS}', CAST(l_partkey % 10 AS INT) + 1, 1) AS prcp_flag,
+         CASE WHEN l_tax > {D(0.075)} THEN {D(999.9)} ELSE round(l_tax * 10, 2) END AS snow_depth
+  FROM lineitem) d LEFT JOIN stations s ON d.station = s.station"""),
     "weights": ([], f"SELECT * FROM (VALUES {_WEIGHTS}) AS w(flag, hours)"),
     "clean": (["obs", "weights"], f"""
 SELECT o.*, year(o.obs_date) AS year, month(o.obs_date) AS month, o.temp AS temperature,
@@ -524,6 +533,35 @@ FROM obs WHERE latitude IS NOT NULL AND longitude IS NOT NULL"""),
     "obs_rejects": sql(["obs", "weights"], """
 SELECT station, strftime(obs_date, '%Y-%m-%d') AS obs_date, prcp_flag
 FROM obs o WHERE NOT EXISTS (SELECT 1 FROM weights w WHERE w.flag = coalesce(trim(o.prcp_flag), ''))"""),
+    "csv_observations": sql(["file_days"], f"""
+SELECT CAST(station AS VARCHAR) AS station, strftime(obs_date, '%Y-%m-%d') AS obs_date, {r6('latitude')} AS latitude,
+       {r6('longitude')} AS longitude, {r6('temp')} AS temp, {r6('prcp')} AS prcp, trim(prcp_flag) AS prcp_flag,
+       {r6('snow_depth')} AS snow_depth
+FROM file_days WHERE fault NOT BETWEEN 1 AND 5"""),
+    "csv_rejects": sql(["file_days"], """
+SELECT CASE WHEN fault <> 3 THEN CAST(station AS VARCHAR) ELSE '' END AS station,
+       CASE fault WHEN 1 THEN 'date' WHEN 2 THEN 'number: TEMP' WHEN 3 THEN 'station' ELSE 'fields' END AS reason,
+       CASE fault WHEN 4 THEN '"' || array_to_string(f[:27], '","') || '"'
+                  WHEN 5 THEN '"' || array_to_string(list_append(f, 'x'), '","') || '"'
+                  ELSE array_to_string(f, ',') END AS record
+FROM (SELECT fault, station, [
+        CASE WHEN fault = 3 THEN ' ' ELSE CAST(station AS VARCHAR) END,
+        CASE WHEN fault = 1 THEN '1999-02-30' ELSE strftime(obs_date, '%Y-%m-%d') END,
+        coalesce(CAST(latitude AS VARCHAR), ''), coalesce(CAST(longitude AS VARCHAR), ''), '',
+        'STATION ' || CAST(station AS VARCHAR) || ', XX',
+        CASE WHEN fault = 2 THEN '  n/a ' ELSE lpad(CAST(temp AS VARCHAR), 6, ' ') END,
+        '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '',
+        lpad(CAST(prcp AS VARCHAR), 6, ' '), prcp_flag, lpad(CAST(snow_depth AS VARCHAR), 6, ' '), '000000'] AS f
+      FROM file_days WHERE fault BETWEEN 1 AND 5)"""),
+    "csv_country_year": sql(["file_days", "stations", "weights"], f"""
+SELECT s.country_code, CAST(year(o.obs_date) AS BIGINT) AS year, {r6('avg(o.temp)')} AS temperature,
+       {r6(f"avg(CASE WHEN o.prcp = {D(99.9)} THEN {D(0)} ELSE o.prcp * w.hours END)")} AS precipitation,
+       {r6(f"sum(CASE WHEN o.snow_depth = {D(999.9)} THEN {D(0)} ELSE o.snow_depth END)")} AS snow, count(*) AS n_obs
+FROM file_days o JOIN weights w ON w.flag = trim(o.prcp_flag) JOIN stations s ON s.station = o.station
+WHERE o.fault NOT BETWEEN 1 AND 5 AND o.latitude IS NOT NULL AND o.longitude IS NOT NULL
+GROUP BY s.country_code, year(o.obs_date)"""),
+    "csv_indicator_long": _ind(f"""
+SELECT country_id AS country_code, CAST(year AS BIGINT) AS year, {r6('value')} AS ordervalue FROM pres"""),
     "country_year_means": sql(["wx"], f"""
 SELECT country_code, CAST(year AS BIGINT) AS year, {r6('temperature')} AS temperature,
        {r6('precipitation')} AS precipitation, {r6('snow')} AS snow, n_obs FROM wx"""),

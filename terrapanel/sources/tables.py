@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrapanel.sources.files import GSOD_COLUMNS
+
 # Fixed values of the fixture mapping (shared with the SQL checks).
 PRCP_FLAG_LETTERS = "ABCDEFGHI "
 INDICATOR_NAME = "Order value (thousands)"
@@ -41,7 +43,11 @@ def station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def station_days_from(li: DataFrame) -> DataFrame:
     """The station-day mapping over a lineitem frame (batch or streaming)."""
-    return li.select(
+    return li.select(*_station_day_columns())
+
+
+def _station_day_columns() -> list[F.Column]:
+    return [
         F.col("l_suppkey").alias("station"),
         F.to_date("l_shipdate").alias("obs_date"),
         (F.col("l_quantity") + 30.0).alias("temp"),
@@ -50,7 +56,7 @@ def station_days_from(li: DataFrame) -> DataFrame:
         F.expr(f"substr('{PRCP_FLAG_LETTERS}', CAST(l_partkey % 10 AS INT) + 1, 1)").alias("prcp_flag"),
         F.when(F.col("l_tax") > 0.075, F.lit(999.9))
         .otherwise(F.round(F.col("l_tax") * 10.0, 2)).alias("snow_depth"),
-    )
+    ]
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +77,39 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return station_days(spark, sf_dir).join(stations(spark, sf_dir), "station", "left")
 
 
+#: The fixture's station-day files have this many keys of lines in turn, five of them malformed.
+FILE_KEYS = 97
+
+
+def station_day_file_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-days as the padded text fields of the raw files, with ``year`` (the folder) and ``fault``.
+
+    ``fault`` is the line's key modulo ``FILE_KEYS``: 1 an impossible date, 2 a temperature that is no
+    number, 3 a blank station, 4 one field too few, 5 one too many, anything else a good line.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    fault = F.pmod(F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.lit(FILE_KEYS))
+    days = li.select(*_station_day_columns(), fault.alias("fault"))
+    rows = days.join(stations(spark, sf_dir), "station", "left")
+
+    def padded(c: str) -> F.Column:
+        return F.lpad(F.coalesce(F.col(c).cast("string"), F.lit("")), 6, " ") if c in ("temp", "prcp", "snow_depth") \
+            else F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+    station = F.col("station").cast("string")
+    fields = {
+        "STATION": F.when(F.col("fault") == 3, F.lit(" ")).otherwise(station),
+        "DATE": F.when(F.col("fault") == 1, F.lit("1999-02-30")).otherwise(F.date_format("obs_date", "yyyy-MM-dd")),
+        "LATITUDE": padded("latitude"), "LONGITUDE": padded("longitude"),
+        "NAME": F.concat(F.lit("STATION "), station, F.lit(", XX")),
+        "TEMP": F.when(F.col("fault") == 2, F.lit("  n/a ")).otherwise(padded("temp")),
+        "PRCP": padded("prcp"), "PRCP_ATTRIBUTES": F.col("prcp_flag"), "SNDP": padded("snow_depth"),
+        "FRSHTT": F.lit("000000"),
+    }
+    return rows.select("fault", F.year("obs_date").alias("year"),
+                       *[fields.get(c, F.lit("")).alias(c) for c in GSOD_COLUMNS])
+
+
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known places: place_id, latitude, longitude, cc (two-letter code stand-in)."""
     cust = table(spark, sf_dir, "customer")

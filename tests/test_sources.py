@@ -61,3 +61,43 @@ def test_parquet_round_trip_partitioned(spark, tmpdir_path):
     assert sorted((r.country_code, r.year, r.v) for r in back.collect()) == [
         ("A", 1960, 1.0), ("A", 1961, 2.0), ("B", 1960, 3.0)]
     assert back.where("year = 1961").count() == 1
+
+
+def test_malformed_records_are_rejected_with_a_reason(spark, tmpdir_path):
+    good = _line("01", "1960-01-01", "70.93", "-8.66", "  30.5", " 0.50", "A", " 999.9")
+    blanks = _line("01", "1960-01-02", "", "", "  ", "", "", "")
+    short = good.rsplit(",", 1)[0]
+    bad = {
+        "fields": [short, good + ',"x"', '"01"'],
+        "date": [_line("01", d, "1", "1", "1", "0", "A", "0") for d in ("1961-02-29", "", "01/02/1960")],
+        "station": [_line("  ", "1960-01-01", "1", "1", "1", "0", "A", "0")],
+        "number: TEMP": [_line("01", "1960-01-01", "1", "1", "n/a", "0", "A", "0")],
+        "number: SNDP": [_line("01", "1960-01-01", "1", "1", "1", "0", "A", "x 1")],
+    }
+    _write(tmpdir_path, 1960, "01", [good, *bad["fields"], blanks])
+    _write(tmpdir_path, 1961, "02", [line for k, lines in bad.items() if k != "fields" for line in lines])
+    path = f"{tmpdir_path}/*/*.csv"
+    kept = {r.obs_date: r for r in files.read_observations(spark, path).collect()}
+    assert set(kept) == {dt.date(1960, 1, 1), dt.date(1960, 1, 2)}
+    assert kept[dt.date(1960, 1, 2)].temp is None and kept[dt.date(1960, 1, 2)].latitude is None
+    rejects = files.read_observation_rejects(spark, path).collect()
+    assert sorted(r.reason for r in rejects) == sorted(k for k, lines in bad.items() for _ in lines)
+    assert sorted(r.record for r in rejects if r.reason == "fields") == sorted(bad["fields"])
+    # No group of a null year comes out of a bad date.
+    obs = files.read_observations(spark, path)
+    clean = clean_observations(obs, require_coordinates=True).withColumn("country_code", obs.station)
+    assert [(r.country_code, r.year) for r in country_year(clean).collect()] == [("01", 1960)]
+    # Good and bad records together are all records, in any projection.
+    assert obs.count() + len(rejects) == files.read_observation_records(spark, path).count() == 11
+
+
+def test_written_station_day_files_keep_padding_and_headers(spark, tmpdir_path):
+    fields = spark.createDataFrame([(1960, '  1.5', 'A "B", C'), (1961, " ", "")], "year int, TEMP string, NAME string")
+    files.write_station_day_files(fields.coalesce(1), f"{tmpdir_path}/out")
+    found = {}
+    for year in (1960, 1961):
+        folder = os.path.join(tmpdir_path, "out", f"year={year}")
+        (name,) = [f for f in os.listdir(folder) if f.endswith(".csv")]
+        with open(os.path.join(folder, name)) as fh:
+            found[year] = fh.read().splitlines()
+    assert found == {1960: ['"TEMP","NAME"', '"  1.5","A ""B"", C"'], 1961: ['"TEMP","NAME"', '" ",""']}
