@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +31,11 @@ DIMENSIONS = 2048
 SAMPLE_PER_LANGUAGE = 500
 #: Weight of even shares in a language's profile, and how steeply the likeness falls around one half.
 EVEN, STEEPNESS = 0.1, 20
+#: Documents below this score are rejected.  Votes alone hardly ever lie below; texts unlike the language told do.
+MIN_SCORE = 0.25
+#: Standard errors, for its number of letters, by which a text may fall short of the labelled texts' mean and still
+#: reach MIN_SCORE.  Of labelled texts cut to 10 to 40 signs under one in a thousand falls shorter.
+DEVIATIONS = 4
 
 
 def family_of(lang: str) -> str:
@@ -45,8 +51,13 @@ def features(text: str) -> np.ndarray | None:
 
     Anything but letters counts as one space.  The vector has length 1 for a text of any size.
     """
+    return measured(text)[0]
+
+
+def measured(text: str) -> tuple[np.ndarray | None, int]:
+    """:func:`features` and the number of letters."""
     if not text:
-        return None
+        return None, 0
     letters = worker_cache("letters", _letters)
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(letters[codes], codes, np.uint32(32))
@@ -55,13 +66,13 @@ def features(text: str) -> np.ndarray | None:
     keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
     c = codes[keep].astype(np.uint64)
     if len(c) < 3:
-        return None
+        return None, 0
     pairs = (c[:-1] << np.uint64(21)) | c[1:]
     triples = (pairs[:-1] << np.uint64(21)) | c[2:]
     one = c[c != 32]
     slots = np.concatenate([mix(x + np.uint64(k)) for k, x in ((1, one), (1 << 62, pairs), (1 << 63, triples))])
     counts = np.bincount((slots & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS)
-    return np.sqrt(counts / counts.sum())
+    return np.sqrt(counts / counts.sum()), len(one)
 
 
 @dataclass(frozen=True)
@@ -89,10 +100,26 @@ class Profile:
         logs = np.log((shares + EVEN / DIMENSIONS) / (1 + EVEN))
         return Profile(logs, -float(shares @ logs))
 
-    def likeness(self, x: np.ndarray) -> float:
-        """Near 1 for a cross-entropy as the labelled texts have it, near 0 for that of even shares, 0.5 halfway."""
+    @cached_property
+    def spread(self) -> float:
+        """Standard deviation of one run's logarithm under the profile."""
+        shares = np.exp(self.logs)
+        mean = shares @ self.logs / shares.sum()
+        return float(np.sqrt(shares @ (self.logs - mean) ** 2 / shares.sum()))
+
+    def likeness(self, x: np.ndarray, letters: int | None = None) -> float:
+        """Near 1 for a cross-entropy as the labelled texts have it, near 0 for that of even shares, 0.5 halfway.
+
+        A text of few letters has a wide spread: with ``letters`` given it counts as alike up to ``DEVIATIONS``
+        standard errors under the labelled texts' mean, as long as it is nearer to them than even shares
+        are.  The runs of a letter overlap, so letters are counted, not runs.
+        """
         none = np.log(DIMENSIONS)
-        part = (none + float((x * x) @ self.logs)) / max(none - self.own, 1e-9)
+        span = max(none - self.own, 1e-9)
+        part = (none + float((x * x) @ self.logs)) / span
+        if letters and part > 0:
+            enough = 0.5 + np.log(MIN_SCORE / (1 - MIN_SCORE)) / STEEPNESS
+            part = max(part, enough + part - 1 + DEVIATIONS * self.spread / np.sqrt(letters) / span)
         return float(1 / (1 + np.exp(-STEEPNESS * np.clip(part - 0.5, -1, 1))))
 
 
@@ -122,12 +149,12 @@ class Model:
         own = [m if s.a == best else -m for s, m in margins if best in (s.a, s.b)]
         return best, float(1 / (1 + np.exp(-2 * np.clip(min(own), -30, 30))))
 
-    def predict(self, x: np.ndarray | None) -> tuple[str, float]:
+    def predict(self, x: np.ndarray | None, letters: int | None = None) -> tuple[str, float]:
         if x is None or not self.langs:
             return UNDETERMINED, 0.0
         family, sure = self.vote(x, sorted(self.langs), self.between)
         lang, within = self.vote(x, self.langs[family], self.within[family])
-        likeness = self.profiles[lang].likeness(x) if lang in self.profiles else 1.0
+        likeness = self.profiles[lang].likeness(x, letters) if lang in self.profiles else 1.0
         return lang, min(sure * within, likeness)
 
 
@@ -202,7 +229,7 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
 def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """``columns`` of each row with lang_pred and score (0 to 1) from its whole text; one pass, no shuffle.
 
-    The score is the smaller of the votes' and the likeness to the language told.  A null text or one
+    The score is the smaller of the votes' and the likeness to the language told, judged by the text's number of letters.  A null text or one
     without letters is ``und`` with score 0.  Columns named lang_pred or score are replaced.
     """
     kept = [c for c in columns if c not in ("lang_pred", "score")]
@@ -210,7 +237,7 @@ def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames, TEXT_BATCH_ROWS):
-            told = [model.predict(features(t)) for t in frame["_text"]]
+            told = [model.predict(*measured(t)) for t in frame["_text"]]
             out = frame[kept].copy()
             out["lang_pred"], out["score"] = [x for x, _ in told], [s for _, s in told]
             yield out
@@ -230,13 +257,10 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text", held_out().alias("held_out")), model, ["doc_id", "held_out"])
 
 
-#: Documents below this score are rejected.  Votes alone hardly ever lie below; texts unlike the language told do.
-MIN_SCORE = 0.25
-
-
 def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known: not ``und``, and with a score of at least ``min_score``.
 
+    A short text is rejected only where its few letters can tell: see :meth:`Profile.likeness`.
     Without a single labelled row no language can be told; then the rows with letters are returned.
     """
     model = fit(docs.where(~held_out()))

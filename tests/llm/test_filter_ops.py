@@ -87,6 +87,33 @@ def test_unlearned_languages_are_rejected(spark):
     assert {r.doc_id for r in langid.accepted(rows).collect()} == {1, 5}
 
 
+def test_short_texts_are_judged_by_their_length(spark):
+    """Ordinary short sentences stay, as do labelled texts cut short; the same letters repeated or other scripts go."""
+    learned = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = langid.fit(learned.where(~langid.held_out()))
+
+    def kept(text):
+        lang, score = model.predict(*langid.measured(text))
+        return lang != "und" and score >= langid.MIN_SCORE
+
+    for text in ("Hello world", "Good morning", "Thank you very much", "merci beaucoup", "Bonjour tout le monde", "Guten Morgen",
+                 "Wo ist der Bahnhof?", "Vielen Dank für Ihre Hilfe", "Buenos días", "Muchas gracias por su ayuda",
+                 "I went to the market yesterday and bought some apples."):
+        assert kept(text), text
+    for text in ("昨日市場に行ってりんごを買いました。", "Вчера я ходил на рынок и купил яблоки.", "Привет мир", "ᚠᚢᚦ",
+                 "xkqz vvwpt zzqj bbrk qwxz", "qqqqzzzz xxxx", "Poszedłem wczoraj na targ i kupiłem jabłka.", ""):
+        assert not kept(text), text
+    texts = [r.text for r in learned.where(langid.held_out() & F.col("lang").isNotNull()).select("text").collect() if r.text]
+    for n in (10, 20, 40, 80):
+        cut = [t[:n] for t in texts if any(c.isalpha() for c in t[:n])]
+        assert sum(not kept(t) for t in cut) <= 0.004 * len(cut), n
+    # More letters of the same shares only ever narrow what is allowed.
+    x, n = langid.measured("Hello world")
+    profile = model.profiles["en"]
+    likes = [profile.likeness(x, n * k) for k in (1, 2, 4, 16, 256)]
+    assert likes == sorted(likes, reverse=True) and likes[-1] == profile.likeness(x)
+
+
 def test_quality_query(spark):
     docs = fixtures.read(SF001)
     got = {r.doc_id: r for r in queries.op6_quality_lines(spark, SF001).collect()}
