@@ -116,6 +116,43 @@ def solve_stages(
     return stages, solutions
 
 
+def min_norm_stages(
+    matrix: Sequence[Sequence[str]], rhs: Sequence[str], prefix: str, tol: float = 1e-9,
+) -> tuple[list[dict[str, str]], list[str]]:
+    """The smallest solution of A x = b for a symmetric semidefinite A with b in its range, as :func:`solve_stages`.
+
+    Elimination without exchanges marks the columns C of A that carry its rank (pivot over ``tol``). A x = b has its
+    smallest solution in the range of C: x = C y with C'C y = b restricted to those columns.  The others get a
+    unit row, so one system of the full size serves every rank.  A null in A or b makes all unknowns null.
+    """
+    n = len(matrix)
+    first = {f"{prefix}a0_{i}_{j}": f"({matrix[i][j]})" for i in range(n) for j in range(n)}
+    first |= {f"{prefix}r_{i}": f"({rhs[i]})" for i in range(n)}
+    stages = [first]
+    for k in range(n):
+        piv = f"{prefix}a{k}_{k}_{k}"
+        stages.append({f"{prefix}m_{k}": f"CASE WHEN {piv} > {tol!r} THEN {DOUBLE_ONE} ELSE {DOUBLE_ZERO} END",
+                       f"{prefix}i_{k}": f"CASE WHEN {piv} > {tol!r} THEN {DOUBLE_ONE} / {piv} ELSE {DOUBLE_ZERO} END"})
+        if k < n - 1:
+            stages.append({
+                f"{prefix}a{k + 1}_{i}_{j}":
+                    f"{prefix}a{k}_{i}_{j} - {prefix}a{k}_{i}_{k} * {prefix}i_{k} * {prefix}a{k}_{k}_{j}"
+                for i in range(k + 1, n) for j in range(k + 1, n)})
+    products = {}
+    for i in range(n):
+        for j in range(n):
+            dot = " + ".join(f"{prefix}a0_{l}_{i} * {prefix}a0_{l}_{j}" for l in range(n))
+            unit = f" + {DOUBLE_ONE} - {prefix}m_{i}" if i == j else ""
+            products[f"{prefix}g_{i}_{j}"] = f"({dot}) * {prefix}m_{i} * {prefix}m_{j}{unit}"
+    products |= {f"{prefix}h_{i}": f"{prefix}m_{i} * {prefix}r_{i}" for i in range(n)}
+    stages.append(products)
+    inner, found = solve_stages(
+        [[f"{prefix}g_{i}_{j}" for j in range(n)] for i in range(n)], [[f"{prefix}h_{i}" for i in range(n)]], f"{prefix}y_", tol=0.0)
+    stages += inner
+    stages.append({f"{prefix}x_{i}": " + ".join(f"{prefix}a0_{i}_{j} * {prefix}m_{j} * {found[0][j]}" for j in range(n)) for i in range(n)})
+    return stages, [f"{prefix}x_{i}" for i in range(n)]
+
+
 def apply_stages(df: DataFrame, stages: Sequence[dict[str, str]]) -> DataFrame:
     """Add the stage columns to ``df`` layer by layer."""
     for layer in stages:

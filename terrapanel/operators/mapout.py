@@ -62,6 +62,36 @@ def grid_cells(points: DataFrame, cell_deg: float, lat: str = "latitude",
           F.avg(lat).alias("centroid_lat"), F.avg(lon).alias("centroid_lon"))
 
 
+#: Finest zoom of the pyramid: 2**ZOOM cells around the globe, as many from pole to pole.
+ZOOM = 8
+
+
+def cell_pyramid(points: DataFrame, zoom: int = ZOOM, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Marker groups of every zoom level: zoom, cell_x, cell_y, n_points, centroid_lat, centroid_lon.
+
+    At level z a cell is 360/2**z degrees wide and 180/2**z high, counted from 180 west and 90 south; the far edges belong to
+    the last cell.  Points are summed into the finest cells first, and only those are merged upwards: a cell's path
+    is its quarter at each level, the levels are a rollup over that path.  Points without a position (null, NaN or off
+    the globe) are on no map and left out.
+    """
+    side = 2 ** zoom
+
+    def index(c: str, span: float) -> Column:
+        return F.least(F.floor((F.col(c) + span / 2) / span * side), F.lit(side - 1)).cast("long")
+
+    placed = points.where(F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180))
+    finest = placed.groupBy(index(lon, 360.0).alias("_x"), index(lat, 180.0).alias("_y")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(lat).alias("_lat"), F.sum(lon).alias("_lon"))
+    path = [(F.shiftright("_x", zoom - z) % 2 * 2 + F.shiftright("_y", zoom - z) % 2).alias(f"_q{z}") for z in range(1, zoom + 1)]
+    quarters = [f"_q{z}" for z in range(1, zoom + 1)]
+    levels = finest.select("*", *path).rollup(*quarters).agg(
+        F.bit_count(F.grouping_id()).alias("_up"), F.min("_x").alias("_x"), F.min("_y").alias("_y"),
+        F.sum("_n").alias("n_points"), F.sum("_lat").alias("_lat"), F.sum("_lon").alias("_lon"))
+    return levels.where(F.col("n_points").isNotNull()).select(
+        (zoom - F.col("_up")).cast("long").alias("zoom"), F.expr("shiftright(_x, _up)").alias("cell_x"), F.expr("shiftright(_y, _up)").alias("cell_y"),
+        "n_points", (F.col("_lat") / F.col("n_points")).alias("centroid_lat"), (F.col("_lon") / F.col("n_points")).alias("centroid_lon"))
+
+
 def to_geojson(features: DataFrame) -> DataFrame:
     """One GeoJSON Feature (JSON text) per marker row, in a column ``feature``."""
     props = [c for c in features.columns if c not in ("latitude", "longitude")]

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrapanel.functions.stats import apply_stages, solve_stages, with_t_tail
+from terrapanel.functions.stats import apply_stages, min_norm_stages, solve_stages, with_t_tail
 from terrapanel.operators.series import _ship_code_with_udfs as ship_code
 from terrapanel.operators.stats import corr_sql, cov_col, mean_col, moments, sd_col
 from terrapanel.session import cut_lineage
@@ -52,10 +52,11 @@ def group_betas(
     projection over that one-row-per-group table.  In a group of dependent
     factors (as one with too few rows) the unknowns without a pivot come out NULL, or
     with ``rank_deficient='pinv'`` the group has the smallest of all least-squares
-    solutions, as a pseudo-inverse gives it.  A constant measure has no z-score: NULL.
+    solutions, as a pseudo-inverse gives it; ``'min_norm'`` gives the same in column arithmetic, without
+    Python workers.  A constant measure has no z-score: NULL.
     """
-    if rank_deficient not in ("null", "pinv"):
-        raise ValueError(f"rank_deficient must be 'null' or 'pinv', not {rank_deficient!r}")
+    if rank_deficient not in ("null", "pinv", "min_norm"):
+        raise ValueError(f"rank_deficient must be 'null', 'pinv' or 'min_norm', not {rank_deficient!r}")
     factors = list(factors)
     cols = [target] + factors
     m = moments(panel, cols, [by])
@@ -70,10 +71,15 @@ def group_betas(
         found = F.array(*[F.col(c).cast("double") for c in sol[0]])
         return _with_pinv(solved.select(by, found.alias("_b"), matrix.alias("_a"), right.alias("_r")), by, factors, tol)
     first = F.col(sol[0][0])
+    unknowns = [F.col(c) for c in sol[0]]
+    if rank_deficient == "min_norm":
+        more, smallest = min_norm_stages(a, rhs[0], prefix="_mn_")
+        solved = apply_stages(solved, more)
+        unknowns = [F.when(first.isNotNull(), u).otherwise(F.col(c)) for u, c in zip(unknowns, smallest)]
     return solved.select(
         by,
-        F.when(first.isNotNull(), F.lit(0.0)).alias("intercept"),
-        *[F.col(sol[0][i]).alias(f) for i, f in enumerate(factors)],
+        F.when(unknowns[0].isNotNull(), F.lit(0.0)).alias("intercept"),
+        *[u.alias(f) for u, f in zip(unknowns, factors)],
     )
 
 

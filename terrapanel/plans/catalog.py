@@ -1,6 +1,6 @@
 """Named queries over the shared tables: one per operator of the study.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  Output
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; shared stages below it are materialised when it is called.  Output
 columns are aliased to match the SQL checks in :mod:`terrapanel.plans.oracle`.
 """
 
@@ -26,7 +26,8 @@ from terrapanel.operators.indicators import (
     value_columns,
     wide_to_long,
 )
-from terrapanel.operators.mapout import code_merge, emission_class, grid_cells, point_features, popup_text
+from terrapanel.operators import long_series, rollup_store
+from terrapanel.operators.mapout import cell_pyramid, code_merge, emission_class, grid_cells, point_features, popup_text
 from terrapanel.operators.panel import (
     country_year,
     country_year_geocoded,
@@ -72,6 +73,7 @@ from terrapanel.operators.stats import corr_sql, moments, zscore_by, zscore_glob
 from terrapanel.plans.common import (
     avg_co2,
     clean_days,
+    input_state,
     panel,
     shared,
     station_day_files,
@@ -80,8 +82,8 @@ from terrapanel.plans.common import (
     weather_by_country_year,
 )
 from terrapanel.plans.study import country_panel
-from terrapanel.session import application_key, checkpoint_dir
-from terrapanel.sources import files, tables
+from terrapanel.session import checkpoint_dir
+from terrapanel.sources import files, layout, tables, versions
 from terrapanel.streaming.rollup import run_country_year_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,11 +101,15 @@ KNN_K = 2
 N_TRAIN, N_TEST = 72, 10
 # The same split by calendar: train through Dec 2000, test Jan-Oct 2001.
 TRAIN_END, TEST_END = "2000-12-01", "2001-10-01"
+# Share of the readings that train, by date.
+TRAIN_PERCENT = 80
 # Candidate orders of the model search, per series (the chosen ones included).
 ORDER_GRID = {
     "temperature": [TEMPERATURE_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
     "precipitation": [PRECIPITATION_ORDER, Order(1, 1, 1, 1, 1, 1, 12), Order(0, 1, 1, 0, 1, 1, 12)],
 }
+# Order value that counts as one unit of emission of a place.
+PLACE_UNIT = 25_000.0
 # Marker clustering cell, degrees.
 CLUSTER_DEG = 30.0
 PANEL_MEASURES = ["temperature", "precipitation", "co2", "energy", "population"]
@@ -128,6 +134,13 @@ def obs_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(df.select("station", "obs_date", "prcp_flag"))
 
 
+def flag_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings whose flag (here the return flag, N and R have no hours) is unknown."""
+    li = tables.table(spark, sf, "lineitem")
+    days = tables.station_days_from(li.withColumn("_flag", F.col("l_returnflag")), flag="_flag")
+    return tidy(observation_rejects(days).select("station", "obs_date", "prcp_flag", "temp"))
+
+
 def csv_observations(spark: SparkSession, sf: str) -> DataFrame:
     """Good records of the raw station-day files."""
     obs = files.read_observations(spark, station_day_files(spark, sf))
@@ -155,6 +168,31 @@ def csv_indicator_long(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(files.read_indicator_long(spark, f"{root}/long", IND_VALUE))
 
 
+def rollup_store_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Country/year and month series of the raw files from one stored roll-up, built in two updates."""
+    raw = station_day_files(spark, sf)
+    root = f"{checkpoint_dir(spark)}/rollup-{uuid4().hex}"
+    rollup_store.update(spark, root, raw.replace("/*/", "/whole/", 1))
+    sums = rollup_store.sums_of(spark, rollup_store.update(spark, root, raw).folder)
+    by_name = tables.stations(spark, sf).withColumn("station", F.col("station").cast("string"))
+    years = rollup_store.country_years(sums, by_name).withColumn("grain", F.lit("country_year"))
+    months = rollup_store.months(sums).withColumn("grain", F.lit("month"))
+    return tidy(years.unionByName(months, allowMissingColumns=True))
+
+
+def bucketed_country_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather per (country, year, month) from readings bucketed as the station list is: no exchange of readings at the join."""
+    listing = versions.input_files(spark, f"{sf}/lineitem.parquet")
+    name = f"terrapanel_{versions.input_key(listing)[:16]}_{uuid4().hex[:8]}"
+    readings = clean_days(spark, sf).select("station", "year", "month", "temperature", "precipitation", "snow")
+    years = readings.agg(F.count_distinct("year")).first()[0]
+    layout.write_layout(readings, _located_stations(spark, sf), name, f"{checkpoint_dir(spark)}/{name}", layout.bucket_count(listing, years))
+    located = layout.located_readings(spark, name)
+    return tidy(located.groupBy("country_code", "year", "month").agg(
+        F.avg("temperature").alias("temperature"), F.avg("precipitation").alias("precipitation"),
+        F.sum("snow").alias("snow"), F.count(F.lit(1)).alias("n_obs")))
+
+
 def country_year_means(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(weather_by_country_year(spark, sf))
 
@@ -237,6 +275,11 @@ def least_emitting_betas(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(top_k(betas, "co2", TOP_N, tie=["country_code"]))
 
 
+def group_betas_min_norm(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficients of every group; where factors depend on each other the smallest least-squares solution."""
+    return tidy(group_betas(panel(spark, sf), rank_deficient="min_norm"))
+
+
 # --- pooled model -----------------------------------------------------------
 
 def global_zscores(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,12 +330,12 @@ def ridge_tests_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(ridge_tests(panel(spark, sf)))
 
 
-_POOLED: dict[tuple[str, str], PooledFit] = {}
+_POOLED: dict[str, PooledFit] = {}
 
 
 def _pooled(spark: SparkSession, sf: str) -> PooledFit:
     """One fixed-effects solve per session and input, shared by its result tables."""
-    key = (application_key(spark), sf)
+    key = input_state(spark, sf)
     if key not in _POOLED:
         _POOLED[key] = fit_pooled(panel(spark, sf))
     return _POOLED[key]
@@ -376,6 +419,18 @@ def lag_features_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(lag_features(_series(spark, sf)))
 
 
+def reading_lags(spark: SparkSession, sf: str) -> DataFrame:
+    """All readings as one series by date: position, split, and the temperature 1, 12 and 13 readings before."""
+    li = tables.table(spark, sf, "lineitem")
+    # Order and line number don't tell all readings apart; with these only equal readings tie.
+    line = ["obs_date", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", VALUE]
+    series = li.select(F.to_date("l_shipdate").alias("obs_date"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       F.lit("temperature").alias(SERIES), (F.col("l_quantity") + 30.0).alias(VALUE))
+    numbered = long_series.number_rows(series, [SERIES], line)
+    split = long_series.split_by_share(numbered, [SERIES], TRAIN_PERCENT)
+    return tidy(long_series.lags(split, [SERIES], VALUE, (1, 12, 13)).drop(SERIES, "l_partkey", "l_suppkey"))
+
+
 def month_axis_q(spark: SparkSession, sf: str) -> DataFrame:
     li = tables.table(spark, sf, "lineitem")
     bounds = li.agg(F.min(F.to_date("l_shipdate")).alias("start"),
@@ -528,6 +583,22 @@ def grid_cells_q(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(grid_cells(pts, CLUSTER_DEG))
 
 
+def place_emission_class(spark: SparkSession, sf: str) -> DataFrame:
+    """Class and popup of every place with orders, by its average order value; all three classes occur."""
+    orders = tables.table(spark, sf, "orders")
+    value = orders.groupBy("o_custkey").agg((F.avg("o_totalprice") / PLACE_UNIT).alias("co2"))
+    code = F.concat(F.lit(" P"), F.col("place_id").cast("string"))
+    points = tables.gazetteer(spark, sf).select(code.alias("code_3"), F.col("cc").alias("Country"),
+                                                F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"))
+    merged = code_merge(points, value.select(F.concat(F.lit("P"), F.col("o_custkey").cast("string"), F.lit(" ")).alias("code_3"), "co2"))
+    return tidy(point_features(merged).select("code_3", "country", "latitude", "longitude", "fill_color"))
+
+
+def place_pyramid(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of the known places at every zoom level of the map."""
+    return tidy(cell_pyramid(tables.gazetteer(spark, sf)))
+
+
 def pooled_effects_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(pooled_predictions(panel(spark, sf), fit=_pooled(spark, sf)))
 
@@ -536,10 +607,13 @@ QUERIES: dict[str, Query] = {
     "obs_clean": obs_clean,
     "obs_with_coordinates": obs_with_coordinates,
     "obs_rejects": obs_rejects,
+    "flag_rejects": flag_rejects,
     "csv_observations": csv_observations,
     "csv_rejects": csv_rejects,
     "csv_country_year": csv_country_year,
     "csv_indicator_long": csv_indicator_long,
+    "rollup_store_series": rollup_store_series,
+    "bucketed_country_month": bucketed_country_month,
     "country_year_means": country_year_means,
     "country_year_rowwise": country_year_rowwise,
     "month_year_means": month_year_means,
@@ -554,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "group_zscores": group_zscores,
     "group_moments": group_moments,
     "group_betas": group_betas_q,
+    "group_betas_min_norm": group_betas_min_norm,
     "top_betas_10": top_betas_10,
     "most_emitting_betas": most_emitting_betas,
     "least_emitting_betas": least_emitting_betas,
@@ -575,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "train_test_split_by_date": train_test_split_by_date,
     "seasonal_difference": seasonal_difference_q,
     "lag_features": lag_features_q,
+    "reading_lags": reading_lags,
     "month_axis": month_axis_q,
     "fahrenheit_to_celsius": fahrenheit_to_celsius_q,
     "holdout_compare": holdout_compare,
@@ -595,4 +671,6 @@ QUERIES: dict[str, Query] = {
     "popup_text": popup_text_q,
     "point_features": point_features_q,
     "grid_cells": grid_cells_q,
+    "place_pyramid": place_pyramid,
+    "place_emission_class": place_emission_class,
 }

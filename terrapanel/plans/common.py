@@ -14,31 +14,37 @@ from terrapanel.operators.panel import build_panel, rollup_station_sums, station
 from terrapanel.operators.rank import group_average
 from terrapanel.session import application_key, checkpoint_dir, cut_lineage
 from terrapanel.sources import files, tables
+from terrapanel.sources.versions import folder_state
 
 DECIMALS = 6
-_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+_SHARED: dict[tuple[str, str], DataFrame] = {}
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Identifies the application and the files in ``sf_dir`` as they are now: what is kept for them is not used for others."""
+    return f"{application_key(spark)}/{sf_dir}/{folder_state(spark, sf_dir)}"
 
 
 def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Materialise an intermediate used by many queries once per application.
+    """Materialise an intermediate used by many queries once per application and state of its input.
 
     The result is checkpointed to the shared folder named by
     ``spark.checkpoint.dir``: later queries start from it (short plans, no
     recomputation from the raw tables), and a lost executor re-reads it
     instead of re-running the scans and joins below it.
     """
-    key = (application_key(spark), sf_dir, name)
+    key = (input_state(spark, sf_dir), name)
     if key not in _SHARED:
         _SHARED[key] = cut_lineage(build())
     return _SHARED[key]
 
 
-_FILES: dict[tuple[str, str, str], str] = {}
+_FILES: dict[tuple[str, str], str] = {}
 
 
 def station_day_files(spark: SparkSession, sf_dir: str) -> str:
-    """Glob of the station-days as raw CSV files in the shared folder (written once per application)."""
-    key = (application_key(spark), sf_dir, "station_days")
+    """Glob of the station-days as raw CSV files in the shared folder (written once per application and state of the input)."""
+    key = (input_state(spark, sf_dir), "station_days")
     if key not in _FILES:
         root = f"{checkpoint_dir(spark)}/station-days-{uuid4().hex}"
         fields = tables.station_day_file_fields(spark, sf_dir)

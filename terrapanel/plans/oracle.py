@@ -510,7 +510,80 @@ def _pooled(body: str) -> str:
     return sql(["panel"], body, _POOLED.strip()).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def _group_betas_min_norm() -> str:
+    """Pseudo-inverse by Newton-Schulz steps X <- X (2 I - A X) from X = A / |A|^2, on z-scored panel rows.
+
+    Of use up to the rounding of A: sixty steps reach eigenvalues down to 1e-8, what rounding leaves of a zero one does not grow.
+    """
+    k, f = len(GROUP_FACTORS), GROUP_FACTORS
+    z = ", ".join(f"({c} - avg({c}) OVER g) / nullif(stddev_pop({c}) OVER g, 0) AS z_{c}" for c in [GROUP_TARGET, *f])
+    cells = ", ".join(f"avg(z_{a} * z_{b})" for a in f for b in f)
+    right = ", ".join(f"avg(z_{a} * z_{GROUP_TARGET})" for a in f)
+
+    def product(left: str, right_: str) -> str:
+        row, col = f"({k} * (t // {k}) + l + 1)", f"({k} * l + t % {k} + 1)"
+        return (f"list_transform(range({k * k}), lambda t: list_sum(list_transform(range({k}), "
+                f"lambda l: {left}[{row}] * {right_}[{col}])))")
+
+    twice_less = f"list_transform(range({k * k}), lambda t: CASE WHEN t // {k} = t % {k} THEN 2 ELSE 0 END - ax[t + 1])"
+    ctes = f"""zs AS (SELECT country_code, {z} FROM panel WINDOW g AS (PARTITION BY country_code)),
+mats AS (SELECT country_code, [{cells}] AS a, [{right}] AS r FROM zs GROUP BY country_code),
+whole AS (SELECT * FROM mats WHERE len(list_filter(a, lambda v: v IS NULL)) + len(list_filter(r, lambda v: v IS NULL)) = 0),
+steps AS (
+  SELECT country_code, a, 0 AS step, list_transform(a, lambda v: v / list_sum(list_transform(a, lambda w: w * w))) AS x FROM whole
+  UNION ALL
+  SELECT country_code, a, step + 1, {product('x', 'c')} FROM (
+    SELECT *, {twice_less} AS c FROM (SELECT *, {product('a', 'x')} AS ax FROM steps WHERE step < 60))),
+found AS (SELECT m.country_code, s.x, m.r FROM mats m LEFT JOIN steps s ON s.country_code = m.country_code AND s.step = 60)"""
+    out = ", ".join(f"{r6(' + '.join(f'x[{i * k + j + 1}] * r[{j + 1}]' for j in range(k)))} AS {name}" for i, name in enumerate(f))
+    return sql(["panel"], f"SELECT country_code, CASE WHEN x IS NOT NULL THEN {D(0)} END AS intercept, {out} FROM found",
+               ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_STORE_MEASURES = f"""{r6('avg(o.temp)')} AS temperature,
+       {r6(f"avg(CASE WHEN o.prcp = {D(99.9)} THEN {D(0)} ELSE o.prcp * w.hours END)")} AS precipitation,
+       {r6(f"sum(CASE WHEN o.snow_depth = {D(999.9)} THEN {D(0)} ELSE o.snow_depth END)")} AS snow, count(*) AS n_obs
+FROM file_days o JOIN weights w ON w.flag = trim(o.prcp_flag)"""
+_PYRAMID_ZOOM = 8
+
 ORACLE: dict[str, str] = {
+    "group_betas_min_norm": _group_betas_min_norm(),
+    "rollup_store_series": sql(["file_days", "stations", "weights"], f"""
+SELECT 'country_year' AS grain, s.country_code, CAST(year(o.obs_date) AS BIGINT) AS year, CAST(NULL AS BIGINT) AS month, {_STORE_MEASURES}
+JOIN stations s ON s.station = o.station
+WHERE o.fault NOT BETWEEN 1 AND 5 AND o.latitude IS NOT NULL AND o.longitude IS NOT NULL
+GROUP BY s.country_code, year(o.obs_date)
+UNION ALL
+SELECT 'month', NULL, CAST(year(o.obs_date) AS BIGINT), CAST(month(o.obs_date) AS BIGINT), {_STORE_MEASURES}
+WHERE o.fault NOT BETWEEN 1 AND 5
+GROUP BY year(o.obs_date), month(o.obs_date)"""),
+    "bucketed_country_month": sql(["clean"], f"""
+SELECT country_code, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, {r6('avg(temperature)')} AS temperature,
+       {r6('avg(precipitation)')} AS precipitation, {r6('sum(snow)')} AS snow, count(*) AS n_obs
+FROM clean WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+GROUP BY country_code, year, month"""),
+    "reading_lags": sql([], f"""
+WITH r AS (SELECT CAST(l_shipdate AS DATE) AS obs_date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity + 30 AS value FROM lineitem),
+n AS (SELECT *, row_number() OVER w - 1 AS position, lag(value, 1) OVER w AS lag_1, lag(value, 12) OVER w AS lag_12,
+             lag(value, 13) OVER w AS lag_13, count(*) OVER () AS total FROM r
+      WINDOW w AS (ORDER BY obs_date, l_orderkey, l_linenumber, l_partkey, l_suppkey, value))
+SELECT strftime(obs_date, '%Y-%m-%d') AS obs_date, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {r6('value')} AS value, position,
+       CASE WHEN position < total * 80 // 100 THEN 'train' ELSE 'test' END AS split,
+       {r6('lag_1')} AS lag_1, {r6('lag_12')} AS lag_12, {r6('lag_13')} AS lag_13 FROM n"""),
+    "flag_rejects": sql(["weights"], f"""
+SELECT l_suppkey AS station, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS obs_date, l_returnflag AS prcp_flag, {r6('l_quantity + 30')} AS temp
+FROM lineitem WHERE coalesce(trim(l_returnflag), '') NOT IN (SELECT flag FROM weights)"""),
+    "place_emission_class": sql(["gazetteer"], f"""
+SELECT 'P' || CAST(place_id AS VARCHAR) AS code_3, cc AS country, {r6('latitude')} AS latitude, {r6('longitude')} AS longitude,
+       CASE WHEN v < 2 THEN 'green' WHEN v < 10 THEN 'orange' ELSE 'red' END AS fill_color
+FROM gazetteer JOIN (SELECT o_custkey, avg(o_totalprice) / {D(25000)} AS v FROM orders GROUP BY o_custkey) ON o_custkey = place_id"""),
+    "place_pyramid": sql(["gazetteer"], f"""
+SELECT CAST(z AS BIGINT) AS zoom, CAST(least(floor((longitude + 180) / 360 * pow(2, z)), pow(2, z) - 1) AS BIGINT) AS cell_x,
+       CAST(least(floor((latitude + 90) / 180 * pow(2, z)), pow(2, z) - 1) AS BIGINT) AS cell_y, count(*) AS n_points,
+       {r6('avg(latitude)')} AS centroid_lat, {r6('avg(longitude)')} AS centroid_lon
+FROM gazetteer, range({_PYRAMID_ZOOM + 1}) AS zooms(z)
+GROUP BY ALL"""),
+
     "pooled_effects_coefficients": _pooled(f"SELECT target, term, {r6('beta')} AS beta FROM beta_"),
     "pooled_effects_tests": _pooled(f"""
 SELECT target, factor, {r6('beta')} AS beta, {r6('se')} AS se, dof, {r6('t')} AS t,

@@ -50,13 +50,14 @@ def _reject_reason() -> F.Column:
     return reason
 
 
-def read_observation_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_observation_records(spark: SparkSession, path: str | Sequence[str], file_column: str | None = None) -> DataFrame:
     """All records of station-day files in one scan: the columns of :func:`read_observations`, ``reason`` and ``record``.
 
     Every field is read as text, so a record is judged here and not nulled by the reader: ``reason`` is
     'fields' (too few or too many of them, or an open quote), 'station' (blank), 'date' (no such day), 'number: NAME'
     (neither blank nor a number), or null for a good record.  A blank number is a good record with a null.
     ``record`` is the rejected line, as it was for 'fields', else its fields joined by commas.
+    ``file_column`` adds the name of the record's file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in GSOD_COLUMNS] + [T.StructField(_RAW, T.StringType())])
     # Fields are counted only where all of them are parsed.
@@ -75,17 +76,18 @@ def read_observation_records(spark: SparkSession, path: str | Sequence[str]) ->
         number["SNDP"].alias("snow_depth"),
         REASON,
         F.when(F.col(REASON).isNotNull(), line).alias(RECORD),
+        *([F.col("_metadata.file_path").alias(file_column)] if file_column else []),
     )
 
 
-def read_observations(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_observations(spark: SparkSession, path: str | Sequence[str], file_column: str | None = None) -> DataFrame:
     """Station-day readings: station, obs_date, latitude, longitude, temp, prcp, prcp_flag, snow_depth.
 
     ``path`` may be a glob over year directories; the header line of every
     file is skipped by the reader.  Records that can't be used are left out here and returned, with
     the reason, by :func:`read_observation_rejects`.
     """
-    return read_observation_records(spark, path).where(F.col(REASON).isNull()).drop(REASON, RECORD)
+    return read_observation_records(spark, path, file_column).where(F.col(REASON).isNull()).drop(REASON, RECORD)
 
 
 def read_observation_rejects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -41,9 +41,10 @@ def station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return station_days_from(table(spark, sf_dir, "lineitem"))
 
 
-def station_days_from(li: DataFrame) -> DataFrame:
-    """The station-day mapping over a lineitem frame (batch or streaming)."""
-    return li.select(*_station_day_columns())
+def station_days_from(li: DataFrame, flag: str | None = None) -> DataFrame:
+    """The station-day mapping over a lineitem frame (batch or streaming); ``flag`` names another column of flags."""
+    days = _station_day_columns()
+    return li.select(*days) if flag is None else li.select(*days, F.col(flag).alias("_other")).withColumn("prcp_flag", F.col("_other")).drop("_other")
 
 
 def _station_day_columns() -> list[F.Column]:
