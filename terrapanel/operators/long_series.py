@@ -41,14 +41,23 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return ranged.join(shift, on).select(*[ranged[c] for c in df.columns], (F.col("_place") + F.col("_shift")).alias(POSITION))
 
 
-def split_by_share(numbered: DataFrame, keys: Sequence[str], percent: int) -> DataFrame:
-    """``split``: 'train' for the first ``percent`` hundredths of each series (whole rows, rounded down), else 'test'."""
+def split_by_share(
+    numbered: DataFrame, keys: Sequence[str], percent: int, position: str = POSITION, block: int = BLOCK,
+) -> DataFrame:
+    """``split``: 'train' for the first ``percent`` hundredths of each series (whole rows, rounded down), else 'test'.
+
+    The size of a series goes to its rows by blocks of positions, so a task reads blocks and never a whole series.
+    """
     keys = list(keys)
-    totals = numbered.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    totals = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.floor(F.col("_n") * percent / 100).alias("_cut"))
-    on = [numbered[k].eqNullSafe(totals[f"_k{i}"]) for i, k in enumerate(keys)]
-    split = F.when(F.col(POSITION) < F.col("_cut"), "train").otherwise("test")
-    return numbered.join(totals, on).select(*[numbered[c] for c in numbered.columns], split.alias("split"))
+    dealt = numbered.withColumn("_block", F.floor(F.col(position) / block))
+    sizes = dealt.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    # One row a (series, block).
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    sizes = sizes.select(F.col("_block").alias("_b"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         F.floor(total * percent / 100).alias("_cut"))
+    on = [dealt["_block"] == sizes["_b"]] + [dealt[k].eqNullSafe(sizes[f"_k{i}"]) for i, k in enumerate(keys)]
+    split = F.when(F.col(position) < F.col("_cut"), "train").otherwise("test")
+    return dealt.join(sizes, on).select(*[dealt[c] for c in numbered.columns], split.alias("split"))
 
 
 def lags(

@@ -103,3 +103,20 @@ def test_min_norm_betas_equal_pinv_betas(spark):
         assert np.allclose(native[g][1:], other[g][1:], atol=1e-6)
     for g in ("flat", "one"):
         assert all(v is None for v in native[g][1:]) and all(v is None for v in other[g][1:])
+
+
+def test_split_reads_a_long_series_in_many_tasks(spark):
+    """One series of 40,000 rows: no task of the split reads more than a few blocks of it."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {c: spark.conf.get(c) for c in names}
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    try:
+        df = spark.range(40_000).select(F.lit(1).alias("s"), F.col("id").alias(long_series.POSITION))
+        split = long_series.split_by_share(df, ["s"], 80)
+        rows = long_series.split_by_share(df, ["s"], 80, block=1000).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(rows) > 3 and max(r["count"] for r in rows) <= 20_000
+        assert {(r.split, r["count"]) for r in split.groupBy("split").count().collect()} == {("train", 32_000), ("test", 8_000)}
+    finally:
+        for c in names:
+            spark.conf.set(c, before[c])
