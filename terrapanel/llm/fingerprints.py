@@ -65,6 +65,19 @@ def from_text(text: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(text), "<u8")
 
 
+def changes(codes: np.ndarray, other: np.ndarray) -> bytes:
+    """``other`` as a bit for each of ``codes`` that it keeps, followed by its own codes."""
+    kept = np.isin(codes, other, assume_unique=True)
+    return np.packbits(kept).tobytes() + np.setdiff1d(other, codes, assume_unique=True).astype("<u8").tobytes()
+
+
+def changed(codes: np.ndarray, change: bytes) -> np.ndarray:
+    """The codes from which :func:`changes` made ``change``."""
+    bits = -(-len(codes) // 8)
+    kept = np.unpackbits(np.frombuffer(change[:bits], np.uint8), count=len(codes)).astype(bool)
+    return np.sort(np.concatenate((codes[kept], np.frombuffer(change[bits:], "<u8"))))
+
+
 def fingerprints(docs: DataFrame, columns: list[str], scale: int = SCALE) -> DataFrame:
     """``columns`` and ``fingerprint`` of each row's whole text (null: empty); one pass, no shuffle."""
     kept = [c for c in columns if c != "fingerprint"]
@@ -78,6 +91,8 @@ def fingerprints(docs: DataFrame, columns: list[str], scale: int = SCALE) -> Dat
     return map_batches(rows, run, f"{types}, fingerprint string")
 
 
+#: The rows as the walk writes them: digests as bytes, the edited text's codes as what they change of its own.
+_DRAFT = "doc_id long, none boolean, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _ROW = "doc_id long, none boolean, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 #: The ends of a range: its first document and its last one.
@@ -86,7 +101,7 @@ _ENDS = [c.split()[0] for c in _RANGE.split(", ")]
 
 
 class _Edits:
-    """Result rows of documents that come in order, each made when the one after it is there."""
+    """Draft rows of documents that come in order, each made when the one after it is there."""
 
     def __init__(self, scale: int):
         self.scale, self.last = scale, None
@@ -99,12 +114,21 @@ class _Edits:
             k = len(before) // 3
             edited = before[: len(before) - k] + text[:k]
             other = sketch(edited, self.scale)
-            done = (i, was_none, len(before), hashlib.sha256(edited.encode()).hexdigest(), to_text(codes), to_text(other),
+            done = (i, was_none, len(before), hashlib.sha256(edited.encode()).digest(), codes.astype("<u8").tobytes(), changes(codes, other),
                     containment(codes, other), containment(codes, own))
         self.last = doc_id, none, text, own
         return done
 
 
+def _spelled_out(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Result rows of draft rows."""
+    for frame in frames:
+        own = [np.frombuffer(x, "<u8") for x in frame["fingerprint"]]
+        other = [to_text(changed(codes, x)) for codes, x in zip(own, frame["edited_fingerprint"], strict=True)]
+        yield frame.assign(edited_sha256=[x.hex() for x in frame["edited_sha256"]], fingerprint=list(map(to_text, own)),
+                           edited_fingerprint=other)
+
+
 def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """Fingerprint of each text and of its edited form, with likenesses; one row a row.
 
@@ -114,7 +138,8 @@ def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
 
     Texts move once, into ranges of doc_ids that are walked in order with one document in hand.  The
     walk gives a row a document, and one a range with its first and its last document; only these meet again.
-    All of it comes from one job that is written, so that no second sampling of ranges can disagree with it.
+    All of it comes from one job that is written, so that no second sampling of ranges can disagree with it; what is
+    written is short (bytes, and of the edited text's fingerprint only what differs) and spelled out when it is read.
     """
     n = shuffle_partitions(docs.sparkSession)
     text = whole_text()
@@ -136,7 +161,7 @@ def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
             ends = dict(zip(_ENDS, (*first, *last), strict=True))
             yield pd.DataFrame([ends]).assign(**dict.fromkeys(_NAMES))
 
-    walked = materialise(map_batches(ranged, walk, f"{_ROW}, {_RANGE}"))
+    walked = materialise(map_batches(ranged, walk, f"{_DRAFT}, {_RANGE}"))
     inside = walked.where("first_id IS NULL").select(*_NAMES)
     ends = walked.where("first_id IS NOT NULL").select(*_ENDS)
     parts = Window.orderBy(F.col("first_id").desc(), F.col("first_none").asc(), F.col("first_hash").asc())  # one row a range
@@ -153,5 +178,5 @@ def with_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
                 out.append(edits.feed(0, False, following))
             yield pd.DataFrame(out, columns=_NAMES)
 
-    done = inside.unionByName(map_batches(tails, close, _ROW))
+    done = map_batches(inside.unionByName(map_batches(tails, close, _DRAFT)), _spelled_out, _ROW)
     return done.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")

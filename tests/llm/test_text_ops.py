@@ -250,3 +250,20 @@ def test_cut():
     assert packing.cut(5, 4) == [(0, 1), (1, 4)]
     assert packing.cut(8, 4) == [(0, 4), (4, 4)]
     assert packing.cut(3, 4) == [(0, 3)]
+
+
+def test_fingerprints_are_written_as_changes():
+    """The edited text's codes come back from what they change, and take less room than in full."""
+    import numpy as np
+
+    from terrapanel.llm.fingerprints import changed, changes
+
+    rng = np.random.default_rng(7)
+    for size in (0, 1, 7, 8, 9, 300):
+        codes = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        for share in (0.0, 0.6, 1.0):
+            own = np.unique(rng.integers(0, 2**63, 5, dtype=np.uint64))
+            other = np.union1d(codes[rng.random(len(codes)) < share], own)
+            assert np.array_equal(changed(codes, changes(codes, other)), other)
+        assert len(changed(codes, changes(codes, np.empty(0, np.uint64)))) == 0
+        assert len(changes(codes, codes)) == -(-len(codes) // 8)
