@@ -13,7 +13,7 @@ from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.panel import build_panel, rollup_station_sums, station_year_sums
 from terrapanel.operators.rank import group_average
 from terrapanel.session import application_key, checkpoint_dir, cut_lineage
-from terrapanel.sources import files, tables
+from terrapanel.sources import files, tables, versions
 from terrapanel.sources.versions import folder_state
 
 DECIMALS = 6
@@ -40,19 +40,28 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 _FILES: dict[tuple[str, str], str] = {}
+#: Bytes of the readings' table whose lines one task writes: it keeps them in memory while it orders them.
+FILE_PART_BYTES = 16 * 1024 * 1024
 
 
 def station_day_files(spark: SparkSession, sf_dir: str) -> str:
-    """Glob of the station-days as raw CSV files in the shared folder (written once per application and state of the input)."""
+    """Glob of the station-days as raw CSV files, gzipped, in the shared folder (written once per application and state of the input)."""
     key = (input_state(spark, sf_dir), "station_days")
     if key not in _FILES:
         root = f"{checkpoint_dir(spark)}/station-days-{uuid4().hex}"
-        fields = tables.station_day_file_fields(spark, sf_dir)
+        size = versions.input_files(spark, f"{sf_dir}/lineitem.parquet").agg(F.sum(versions.SIZE)).first()[0]
+        parts = 1 + size // FILE_PART_BYTES
+        fields = tables.station_day_file_fields(spark, sf_dir, parts)
+        few = tables.station_day_file_fields(spark, sf_dir, 1 + parts // tables.FILE_KEYS)
         fault = F.col("fault")
-        files.write_station_day_files(fields.where(~fault.isin(4, 5)).drop("fault"), f"{root}/whole")
-        files.write_station_day_files(fields.where(fault == 4).drop("fault", files.GSOD_COLUMNS[-1]), f"{root}/short")
-        files.write_station_day_files(fields.where(fault == 5).drop("fault").withColumn("EXTRA", F.lit("x")), f"{root}/long")
-        _FILES[key] = f"{root}/*/*/*.csv"
+
+        def write(rows: DataFrame, name: str) -> None:
+            files.write_station_day_files(rows, f"{root}/{name}", compression="gzip")
+
+        write(fields.where(~fault.isin(4, 5)).drop("fault"), "whole")
+        write(few.where(fault == 4).drop("fault", files.GSOD_COLUMNS[-1]), "short")
+        write(few.where(fault == 5).drop("fault").withColumn("EXTRA", F.lit("x")), "long")
+        _FILES[key] = f"{root}/*/*/*.csv.gz"
     return _FILES[key]
 
 

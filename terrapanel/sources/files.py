@@ -129,9 +129,13 @@ def read_map_inputs(spark: SparkSession, points_path: str, values_path: str) ->
     return points, values
 
 
-def write_station_day_files(fields: DataFrame, path: str, year: str = "year") -> None:
-    """Text fields as station-day files: a folder for each ``year``, a header in each file, every field quoted, padding kept."""
+def write_station_day_files(fields: DataFrame, path: str, year: str = "year", compression: str = "none") -> None:
+    """Text fields as station-day files: a folder for each ``year``, a header in each file, every field quoted, padding kept.
+
+    Rows that come ordered by ``year`` are written as they come; others are sorted by it.
+    """
     (fields.write.mode("errorifexists").partitionBy(year).option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("compression", compression)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

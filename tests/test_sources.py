@@ -5,6 +5,8 @@ import pytest
 
 from terrapanel.operators.clean import clean_observations
 from terrapanel.operators.panel import country_year
+from pyspark.sql import functions as F
+
 from terrapanel.sources import files
 
 HEADER = ",".join(f'"{c}"' for c in files.GSOD_COLUMNS)
@@ -101,3 +103,43 @@ def test_written_station_day_files_keep_padding_and_headers(spark, tmpdir_path):
         with open(os.path.join(folder, name)) as fh:
             found[year] = fh.read().splitlines()
     assert found == {1960: ['"TEMP","NAME"', '"  1.5","A ""B"", C"'], 1961: ['"TEMP","NAME"', '" ",""']}
+
+
+def _reading_tables(spark, folder):
+    """400 readings of 5 stations, two of them unknown, over two years."""
+    from datetime import datetime, timedelta
+
+    lines = [(i, 1 + i % 3, i % 7, (i % 5) + 1, 10.0, 100.0, 0.01, 0.02, "N", "O", datetime(1995, 1, 1) + timedelta(days=(i * 37) % 700))
+             for i in range(400)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double,"
+                          " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(i, f"S{i}", 1, 0.0) for i in (1, 2, 3)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(1, "AA", 1)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    return {(10 * line[0] + line[1]): line for line in lines}
+
+
+def test_station_day_fields_come_ordered_by_year_while_narrow(spark, tmpdir_path):
+    """The write by year adds no sort of the wide fields: their plan is ordered by year already, and the sort holds no text field."""
+    from terrapanel.sources import tables
+
+    _reading_tables(spark, tmpdir_path)
+    fields = tables.station_day_file_fields(spark, tmpdir_path, 3)
+    plan = fields._jdf.queryExecution().optimizedPlan()
+    assert "year" in plan.outputOrdering().toString()
+    assert "FRSHTT" not in plan.toString().split("Sort [year", 1)[1]
+    assert sorted(map(str, fields.collect())) == sorted(map(str, tables.station_day_file_fields(spark, tmpdir_path).collect()))
+
+
+def test_raw_files_are_gzipped_and_whole(spark, tmpdir_path):
+    from terrapanel.plans.common import station_day_files
+
+    keys = _reading_tables(spark, tmpdir_path)
+    raw = station_day_files(spark, tmpdir_path)
+    assert raw.endswith(".csv.gz")
+    bad = [k for k in keys if 1 <= k % 97 <= 5]
+    assert files.read_observation_rejects(spark, raw).count() == len(bad) > 5
+    obs = files.read_observations(spark, raw, "file")
+    assert obs.count() == len(keys) - len(bad)
+    # A station's month is in one file, so sums by file are no more than sums by station.
+    month = F.date_format("obs_date", "yyyy-MM")
+    assert obs.groupBy("station", month).agg(F.count_distinct("file").alias("n")).where("n > 1").isEmpty()
