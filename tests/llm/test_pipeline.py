@@ -58,3 +58,24 @@ def test_awkward_rows_pass_every_stage(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = materialise(stage(spark, docs, SF001))
         docs.collect()
+
+
+def test_arrow_batches_are_short(spark):
+    """Workers get at most ARROW_BATCH_ROWS rows at a time; a lower bound of the session stays."""
+    from terrapanel.llm.common import ARROW_BATCH_ROWS, map_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def lengths(frames):
+        for frame in frames:
+            yield frame.head(1).assign(id=len(frame))
+
+    try:
+        spark.conf.set(name, "10000")
+        rows = spark.range(0, 3 * ARROW_BATCH_ROWS, 1, 1)
+        assert [r.id for r in map_batches(rows, lengths, "id long").collect()] == [ARROW_BATCH_ROWS] * 3
+        spark.conf.set(name, "100")
+        assert {r.id for r in map_batches(rows, lengths, "id long").collect()} == {100}
+    finally:
+        spark.conf.set(name, before)
