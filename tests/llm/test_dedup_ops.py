@@ -1,6 +1,7 @@
 """Substring dedup, near-duplicates, fingerprints."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrapanel.llm import fingerprints, graph, neardup, queries, substrings
-from terrapanel.llm.common import exact_windows
+from terrapanel.llm.common import exact_windows, materialise
 from tests.conftest import SF001
 from tests.llm import brute, fixtures
 
@@ -167,6 +168,26 @@ def test_one_of_each_keeps_user_columns(spark):
     assert sorted(map(tuple, out.collect())) == [r for i, r in enumerate(rows) if i % 2 == 0]
 
 
+def test_one_of_each_writes_a_text_once(spark, monkeypatch):
+    """What stays in the shared folder is about as large as the documents, not twice."""
+    written = []
+
+    def size(df):
+        return sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles())
+
+    def watched(df):
+        out = materialise(df)
+        written.append(size(out))
+        return out
+
+    rng = random.Random(17)
+    rows = [(i, " ".join(f"{rng.getrandbits(48):x}" for _ in range(1500))) for i in range(200)]
+    docs = materialise(fixtures.texts(spark, rows).repartition(4))
+    monkeypatch.setattr(neardup, "materialise", watched)
+    assert sorted((r.doc_id, r.text) for r in neardup.one_of_each(docs).collect()) == rows
+    assert size(docs) < sum(written) < 1.5 * size(docs)
+
+
 def test_one_of_each_keeps_a_row_of_every_group(spark):
     """Null and repeated doc_ids neither lose unrelated rows nor join unrelated groups."""
     awkward = [(r[0], r[1]) for r in fixtures.awkward_rows()]
